@@ -1,0 +1,23 @@
+"""Broadcast only behind a checked size.
+
+Everything else is left to adaptive execution, which turns a sort-merge join
+into a broadcast hash join only after it has measured the finished shuffle side
+against ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def broadcast_within(df: DataFrame, max_rows: int) -> DataFrame:
+    """Hint ``df`` for broadcast when it has at most ``max_rows`` rows.
+
+    Counting stops at ``max_rows + 1``, so the check reads at most that many
+    rows.  Over the bound the frame comes back without a hint and the planner
+    keeps a shuffle join.
+    """
+    if df.limit(max_rows + 1).count() <= max_rows:
+        return F.broadcast(df)
+    return df

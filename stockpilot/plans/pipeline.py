@@ -1,0 +1,146 @@
+"""The whole job as one lazy plan (CMP-10 recommendations, CMP-11 missing SKUs).
+
+``Stages`` names every intermediate result so queries, tests and the runner
+can pick any of them; nothing executes until an action.  Within one action
+Spark plans each shared intermediate once and reuses its shuffle output
+(``ReusedExchange``), so naming a stage twice costs nothing extra.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from functools import cached_property
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from stockpilot.config import RunConfig
+from stockpilot.operators import aggregates, forecast, packs, positions, replenishment, request
+from stockpilot.sources import extracts
+
+RECOMMENDATION_COLUMNS = (
+    "input_source_store", "parent_sku", "baby_sku", "recomended_order_units", "num_of_store", "next_ship_date", "request_id",
+)
+
+
+@dataclass(frozen=True)
+class Inputs:
+    request: DataFrame
+    catalog: DataFrame
+    inventory: DataFrame
+    warehouse_orders: DataFrame
+    store_orders: DataFrame
+    forecast: DataFrame
+
+
+class Stages:
+    """Every stage of one run, built on first use."""
+
+    def __init__(self, inputs: Inputs, cfg: RunConfig) -> None:
+        self.inputs = inputs
+        self.cfg = cfg
+        self.quirks = cfg.quirks
+
+    # -- extracts ----------------------------------------------------------
+    @cached_property
+    def expanded(self) -> DataFrame:
+        return request.expand_request(self.inputs.catalog, self.inputs.request)
+
+    @cached_property
+    def skus(self) -> DataFrame:
+        return extracts.sku_keys(self.expanded)
+
+    @cached_property
+    def warehouse_orders(self) -> DataFrame:
+        return extracts.extract_warehouse_orders(self.inputs.warehouse_orders, self.skus)
+
+    @cached_property
+    def store_orders(self) -> DataFrame:
+        return extracts.extract_store_orders(self.inputs.store_orders, self.skus)
+
+    @cached_property
+    def inventory(self) -> DataFrame:
+        return aggregates.with_store_count(extracts.extract_inventory(self.inputs.inventory, self.skus))
+
+    # -- positions ---------------------------------------------------------
+    @cached_property
+    def warehouse_onhand(self) -> DataFrame:
+        return positions.warehouse_onhand(self.inventory)
+
+    @cached_property
+    def warehouse_rows(self) -> DataFrame:
+        return positions.position_rows(self.warehouse_onhand, self.warehouse_orders, self.expanded, positions.WAREHOUSE, self.quirks)
+
+    @cached_property
+    def warehouse_position(self) -> DataFrame:
+        return positions.positions(self.warehouse_rows, positions.WAREHOUSE, self.quirks)
+
+    @cached_property
+    def store_rows(self) -> DataFrame:
+        return positions.position_rows(self.inventory, self.store_orders, self.expanded, positions.STORE, self.quirks)
+
+    @cached_property
+    def store_position(self) -> DataFrame:
+        return positions.positions(self.store_rows, positions.STORE, self.quirks)
+
+    # -- forecast ----------------------------------------------------------
+    @cached_property
+    def max_coverage(self) -> DataFrame:
+        return aggregates.max_coverage(self.store_rows)
+
+    @cached_property
+    def forecast(self) -> DataFrame:
+        babies = aggregates.distinct_keys(self.inventory, ["baby_sku"])
+        return extracts.extract_forecast(self.inputs.forecast, babies, self.max_coverage)
+
+    @cached_property
+    def store_forecast(self) -> DataFrame:
+        return forecast.store_period_forecast(self.store_position, self.forecast, self.cfg.as_of, self.quirks)
+
+    # -- replenishment -----------------------------------------------------
+    @cached_property
+    def store_need(self) -> DataFrame:
+        return replenishment.store_replenishment(self.store_forecast)
+
+    @cached_property
+    def warehouse_need(self) -> DataFrame:
+        return replenishment.warehouse_replenishment(self.store_need)
+
+    @cached_property
+    def projection(self) -> DataFrame:
+        return replenishment.projected_on_hand(self.warehouse_position, self.warehouse_need)
+
+    @cached_property
+    def recommended(self) -> DataFrame:
+        return replenishment.recommended_quantity(self.projection, self.store_forecast)
+
+    @cached_property
+    def packed(self) -> DataFrame:
+        return packs.pack_conversion(self.recommended, self.quirks)
+
+    # -- outputs -----------------------------------------------------------
+    @cached_property
+    def recommendations(self) -> DataFrame:
+        return self.packed.select(
+            "input_source_store",
+            "parent_sku",
+            "baby_sku",
+            "recomended_order_units",
+            "num_of_store",
+            F.col("coverage_date").alias("next_ship_date"),
+            F.lit(self.cfg.request_id).alias("request_id"),
+        )
+
+    @cached_property
+    def missing_skus(self) -> DataFrame:
+        return request.missing_skus(self.expanded, self.inventory, self.cfg.request_id)
+
+
+def recommend_orders(inputs: Inputs, cfg: RunConfig) -> DataFrame:
+    """CMP-10: recommended order units per warehouse, parent and baby SKU."""
+    return Stages(inputs, cfg).recommendations
+
+
+def missing_skus(inputs: Inputs, cfg: RunConfig) -> DataFrame:
+    """CMP-11: requested SKUs no active store carries."""
+    return Stages(inputs, cfg).missing_skus

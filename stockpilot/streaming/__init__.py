@@ -1,0 +1 @@
+"""Running the job on request files as they arrive (Structured Streaming)."""
