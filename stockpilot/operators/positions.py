@@ -26,8 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpilot.config import Quirks
-from stockpilot.functions import add_days, in_window, pack_units, to_int, zero
+from stockpilot.functions import add_days, arrival_date, in_window, pack_units, to_int, zero
 from stockpilot.operators.aggregates import first_per_key
+from stockpilot.operators.joins import without
 
 
 @dataclass(frozen=True)
@@ -160,13 +161,12 @@ def with_zero_positions(in_window_rows: DataFrame, zero_rows: DataFrame, grain:
     return in_window_rows.select(*cols).unionByName(filled.select(*cols))
 
 
-def positions(rows: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
-    """CMP-2 / CMP-3 from ``position_rows``: each position with its first- and
-    second-period open orders in units (totals x ``ppk_qty``), and ``copies``,
-    the number of times the reference lists the row."""
-    per_pos = per_position(rows, grain)
+def in_window_positions(per_pos: DataFrame, grain: Grain) -> DataFrame:
+    """AGG-4 + PRJ-12: positions with at least one in-window order, one row
+    each, with the (sku, location) totals in units (x ``ppk_qty``).  Rows with
+    a NULL position column drop out."""
     totals = open_order_totals(per_pos, grain)
-    in_win = (
+    return (
         per_pos.where(F.col("has_window"))
         .dropna(subset=list(grain.columns))
         .join(totals, ["parent_sku", grain.location], "inner")
@@ -174,14 +174,55 @@ def positions(rows: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
         .withColumn(grain.second_col, pack_units("second_period_units", "ppk_qty"))
         .withColumn("copies", F.lit(1).cast("bigint"))
     )
+
+
+def zero_positions(per_pos: DataFrame, in_win: DataFrame, quirks: Quirks) -> DataFrame:
+    """Positions to zero-fill: by default every position of a SKU with no
+    in-window position anywhere (JN-8 on ``parent_sku``), each with the number
+    of rows the reference lists for it."""
     if quirks.zero_fill_grain == "sku":
-        covered = in_win.select("parent_sku").distinct()
-        zero_rows = per_pos.join(covered, "parent_sku", "left_anti")
+        rows = without(per_pos, in_win, "parent_sku")
     else:
-        zero_rows = per_pos.where(~F.col("has_window"))
+        rows = per_pos.where(~F.col("has_window"))
     if quirks.dedupe_zero_fill:
-        zero_rows = zero_rows.withColumn("copies", F.lit(1).cast("bigint"))
-    return with_zero_positions(in_win, zero_rows, grain)
+        rows = rows.withColumn("copies", F.lit(1).cast("bigint"))
+    return rows
+
+
+def positions(rows: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
+    """CMP-2 / CMP-3 from ``position_rows``: each position with its first- and
+    second-period open orders in units, and ``copies``, the number of times
+    the reference lists the row."""
+    per_pos = per_position(rows, grain)
+    in_win = in_window_positions(per_pos, grain)
+    return with_zero_positions(in_win, zero_positions(per_pos, in_win, quirks), grain)
+
+
+def attach_orders(onhand: DataFrame, orders: DataFrame, location: str) -> DataFrame:
+    """JN-3: on-hand rows left-joined to raw order rows on
+    (parent_sku = sku, location); one row per matching order."""
+    return onhand.join(orders.withColumnRenamed("sku", "parent_sku"), ["parent_sku", location], "left")
+
+
+def lookup_attributes(df: DataFrame, expanded: DataFrame) -> DataFrame:
+    """JN-2: fill ``item_id``, ``style`` and ``color`` from the expanded
+    request by ``parent_sku`` (NULL when not requested); ``sku = parent_sku``."""
+    attrs = expanded.where(F.col("sku").isNotNull()).select(
+        F.col("sku").alias("parent_sku"), "item_id", "style", "color"
+    )
+    return df.join(attrs, "parent_sku", "left").withColumn("sku", F.col("parent_sku"))
+
+
+def order_rows(onhand: DataFrame, orders: DataFrame, expanded: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
+    """Row-level form of ``position_rows``: one row per (on-hand row, order
+    row) with dates, arrival date (PRJ-7) and the window flag.  Used to show
+    single steps; the job itself runs on the reduced form."""
+    extra = "lt_days" if (grain.extra_lead and quirks.store_extra_lead) else None
+    return (
+        with_coverage_dates(with_sku_attributes(attach_orders(onhand, orders, grain.location), expanded))
+        .withColumn("calculated_date", arrival_date("transit_date", "first_ship_date", "lt_days"))
+        .withColumn("in_window", in_window("calculated_date", "coverage_date", extra))
+    )
 
 
 def warehouse_onhand(inventory: DataFrame) -> DataFrame:

@@ -40,16 +40,22 @@ def warehouse_replenishment(need: DataFrame) -> DataFrame:
     )
 
 
-def projected_on_hand(warehouse_positions: DataFrame, replenishment: DataFrame) -> DataFrame:
-    """CMP-7: ``max(0, baby_oh + first-period on-order - store need)`` per
-    listed warehouse row, summed by projection key together with the
-    second-period on-order.  Rows count as often as the reference lists them
-    (``copies``)."""
+def projected_rows(warehouse_positions: DataFrame, replenishment: DataFrame) -> DataFrame:
+    """PRJ-8 + PRJ-9 per listed warehouse row: store need attached (0 when
+    none) and ``projected_warehouse_oh = max(0, baby_oh + first-period
+    on-order - need)``."""
     df = enrich(warehouse_positions, replenishment, WAREHOUSE_ITEM, fill={"total_replenishment_order_qty": 0.0})
     projected = clamp0(F.col("baby_oh") + F.col("first_period_short_term_oo") - F.col("total_replenishment_order_qty"))
+    return df.withColumn("projected_warehouse_oh", projected)
+
+
+def projected_on_hand(warehouse_positions: DataFrame, replenishment: DataFrame) -> DataFrame:
+    """CMP-7: projected on-hand and second-period on-order summed by
+    projection key, each row counted as often as the reference lists it
+    (``copies``)."""
     copies = F.col("copies")
     return (
-        df.withColumn("projected_warehouse_oh", projected)
+        projected_rows(warehouse_positions, replenishment)
         .dropna(subset=list(PROJECTION_KEYS))
         .groupBy(*PROJECTION_KEYS)
         .agg(
