@@ -189,11 +189,10 @@ def zero_positions(per_pos: DataFrame, in_win: DataFrame, quirks: Quirks) -> Dat
     return rows
 
 
-def positions(rows: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
-    """CMP-2 / CMP-3 from ``position_rows``: each position with its first- and
+def positions(per_pos: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
+    """CMP-2 / CMP-3 from ``per_position``: each position with its first- and
     second-period open orders in units, and ``copies``, the number of times
     the reference lists the row."""
-    per_pos = per_position(rows, grain)
     in_win = in_window_positions(per_pos, grain)
     return with_zero_positions(in_win, zero_positions(per_pos, in_win, quirks), grain)
 

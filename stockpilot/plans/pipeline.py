@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stockpilot.config import RunConfig
 from stockpilot.operators import aggregates, forecast, packs, positions, replenishment, request
+from stockpilot.plans.materialize import materialize
 from stockpilot.sources import extracts
 
 RECOMMENDATION_COLUMNS = (
@@ -34,12 +35,22 @@ class Inputs:
 
 
 class Stages:
-    """Every stage of one run, built on first use."""
+    """Every stage of one run, built on first use.
 
-    def __init__(self, inputs: Inputs, cfg: RunConfig) -> None:
+    With ``materialize`` (the default) the reused intermediates are written to
+    the shared folder once and read back (see ``plans.materialize``); that
+    runs one job per boundary as the stage is first used.  Without it the
+    whole run stays one lazy plan.
+    """
+
+    def __init__(self, inputs: Inputs, cfg: RunConfig, materialize: bool = True) -> None:
         self.inputs = inputs
         self.cfg = cfg
         self.quirks = cfg.quirks
+        self.materialize = materialize
+
+    def _keep(self, df: DataFrame, name: str) -> DataFrame:
+        return materialize(df, name) if self.materialize else df
 
     # -- extracts ----------------------------------------------------------
     @cached_property
@@ -71,22 +82,32 @@ class Stages:
     def warehouse_rows(self) -> DataFrame:
         return positions.position_rows(self.warehouse_onhand, self.warehouse_orders, self.expanded, positions.WAREHOUSE, self.quirks)
 
+    @cached_property
+    def warehouse_per_position(self) -> DataFrame:
+        return self._keep(positions.per_position(self.warehouse_rows, positions.WAREHOUSE), "warehouse-per-position")
+
     @cached_property
     def warehouse_position(self) -> DataFrame:
-        return positions.positions(self.warehouse_rows, positions.WAREHOUSE, self.quirks)
+        return positions.positions(self.warehouse_per_position, positions.WAREHOUSE, self.quirks)
 
     @cached_property
     def store_rows(self) -> DataFrame:
         return positions.position_rows(self.inventory, self.store_orders, self.expanded, positions.STORE, self.quirks)
 
+    @cached_property
+    def store_per_position(self) -> DataFrame:
+        return self._keep(positions.per_position(self.store_rows, positions.STORE), "store-per-position")
+
     @cached_property
     def store_position(self) -> DataFrame:
-        return positions.positions(self.store_rows, positions.STORE, self.quirks)
+        return positions.positions(self.store_per_position, positions.STORE, self.quirks)
 
     # -- forecast ----------------------------------------------------------
     @cached_property
     def max_coverage(self) -> DataFrame:
-        return aggregates.max_coverage(self.store_rows)
+        # Every store row is behind some position, so the per-position frame
+        # has the same largest coverage date.
+        return aggregates.max_coverage(self.store_per_position)
 
     @cached_property
     def forecast(self) -> DataFrame:
@@ -95,7 +116,8 @@ class Stages:
 
     @cached_property
     def store_forecast(self) -> DataFrame:
-        return forecast.store_period_forecast(self.store_position, self.forecast, self.cfg.as_of, self.quirks)
+        spf = forecast.store_period_forecast(self.store_position, self.forecast, self.cfg.as_of, self.quirks)
+        return self._keep(spf, "store-forecast")
 
     # -- replenishment -----------------------------------------------------
     @cached_property
@@ -112,7 +134,8 @@ class Stages:
 
     @cached_property
     def recommended(self) -> DataFrame:
-        return replenishment.recommended_quantity(self.projection, self.store_forecast)
+        rec = replenishment.recommended_quantity(self.projection, self.store_forecast)
+        return self._keep(rec, "recommended")
 
     @cached_property
     def packed(self) -> DataFrame:
@@ -136,11 +159,11 @@ class Stages:
         return request.missing_skus(self.expanded, self.inventory, self.cfg.request_id)
 
 
-def recommend_orders(inputs: Inputs, cfg: RunConfig) -> DataFrame:
+def recommend_orders(inputs: Inputs, cfg: RunConfig, materialize: bool = True) -> DataFrame:
     """CMP-10: recommended order units per warehouse, parent and baby SKU."""
-    return Stages(inputs, cfg).recommendations
+    return Stages(inputs, cfg, materialize).recommendations
 
 
-def missing_skus(inputs: Inputs, cfg: RunConfig) -> DataFrame:
+def missing_skus(inputs: Inputs, cfg: RunConfig, materialize: bool = True) -> DataFrame:
     """CMP-11: requested SKUs no active store carries."""
-    return Stages(inputs, cfg).missing_skus
+    return Stages(inputs, cfg, materialize).missing_skus

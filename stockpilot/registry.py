@@ -35,7 +35,7 @@ class Entry:
     sql: str | None
 
 
-def stages(spark: SparkSession, sf_dir: str, quirks: Quirks | None = None) -> Stages:
+def stages(spark: SparkSession, sf_dir: str, quirks: Quirks | None = None, materialize: bool = True) -> Stages:
     ft = fixture_tables(spark, sf_dir)
     inputs = Inputs(
         request=ft.request,
@@ -45,7 +45,7 @@ def stages(spark: SparkSession, sf_dir: str, quirks: Quirks | None = None) -> St
         store_orders=ft.store_orders,
         forecast=ft.forecast,
     )
-    return Stages(inputs, RunConfig(as_of=AS_OF, request_id=REQUEST_ID, quirks=quirks or Quirks()))
+    return Stages(inputs, RunConfig(as_of=AS_OF, request_id=REQUEST_ID, quirks=quirks or Quirks()), materialize)
 
 
 def _st(attr: str) -> Query:
@@ -171,8 +171,7 @@ def q_prj_replen_flag(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_prj_pack_units(spark: SparkSession, sf: str) -> DataFrame:
     st = stages(spark, sf)
-    per_pos = positions.per_position(st.warehouse_rows, positions.WAREHOUSE)
-    return positions.in_window_positions(per_pos, positions.WAREHOUSE).select(*positions.WAREHOUSE.output_columns)
+    return positions.in_window_positions(st.warehouse_per_position, positions.WAREHOUSE).select(*positions.WAREHOUSE.output_columns)
 
 
 def q_prj_request_id(spark: SparkSession, sf: str) -> DataFrame:
@@ -271,12 +270,12 @@ def q_agg_drop_duplicates(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_agg_warehouse_open_orders(spark: SparkSession, sf: str) -> DataFrame:
     st = stages(spark, sf)
-    return positions.open_order_totals(positions.per_position(st.warehouse_rows, positions.WAREHOUSE), positions.WAREHOUSE)
+    return positions.open_order_totals(st.warehouse_per_position, positions.WAREHOUSE)
 
 
 def q_agg_store_open_orders(spark: SparkSession, sf: str) -> DataFrame:
     st = stages(spark, sf)
-    return positions.open_order_totals(positions.per_position(st.store_rows, positions.STORE), positions.STORE)
+    return positions.open_order_totals(st.store_per_position, positions.STORE)
 
 
 def q_agg_period_forecast(spark: SparkSession, sf: str) -> DataFrame:
