@@ -1,0 +1,82 @@
+"""Run the job on request files as they arrive (Structured Streaming).
+
+A folder receives buyers' request CSVs.  Each micro-batch holds the new files;
+it is run as one request through the batch job (``plans.runner.run_job``) with
+the reference tables, and both results are appended.  The stream's checkpoint
+records which files were processed, so a restarted stream neither repeats nor
+skips a request.  The run id is ``<prefix>_<batch id>``; ``as_of`` is the
+processing day unless fixed.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from stockpilot import schemas
+from stockpilot.config import Quirks, RunConfig
+from stockpilot.plans.pipeline import Inputs
+from stockpilot.plans.runner import run_job
+
+
+@dataclass(frozen=True)
+class ReferenceTables:
+    """Everything but the request."""
+
+    catalog: DataFrame
+    inventory: DataFrame
+    warehouse_orders: DataFrame
+    store_orders: DataFrame
+    forecast: DataFrame
+
+
+def request_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """New request files in ``folder``; header names must match the buyer's
+    layout."""
+    raw = (
+        spark.readStream.schema(schemas.REQUEST_CSV)
+        .option("header", True)
+        .option("enforceSchema", False)
+        .csv(folder)
+    )
+    return raw.select(
+        "style",
+        "color",
+        F.col("first_ship_date").alias("provided_date"),
+        F.col("coverage_day").cast("int").alias("coverage_day"),
+    )
+
+
+def start(
+    spark: SparkSession,
+    folder: str,
+    tables: ReferenceTables,
+    recommendations_target: str,
+    missing_target: str,
+    checkpoint: str,
+    request_prefix: str = "request",
+    as_of: dt.date | None = None,
+    quirks: Quirks | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        cfg = RunConfig(as_of or dt.date.today(), f"{request_prefix}_{batch_id}", quirks or Quirks())
+        inputs = Inputs(batch, tables.catalog, tables.inventory, tables.warehouse_orders, tables.store_orders, tables.forecast)
+        run_job(inputs, cfg, recommendations_target, missing_target, mode="append")
+
+    writer = request_stream(spark, folder).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()
+
+
+def run_available(spark: SparkSession, folder: str, tables: ReferenceTables, *args: object, **kwargs: object) -> None:
+    """Process the files already in ``folder`` and stop."""
+    query = start(spark, folder, tables, *args, available_now=True, **kwargs)  # type: ignore[arg-type]
+    query.awaitTermination()
+
