@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockpilot.plans.broadcast import broadcast_within
+
 
 def distinct_keys(df: DataFrame, cols: Sequence[str], drop_null: bool = True) -> DataFrame:
     """AGG-1: distinct key tuples."""
@@ -31,9 +33,21 @@ def store_counts(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("input_source_store").agg(F.count_distinct("store").alias("num_of_store"))
 
 
-def with_store_count(inventory: DataFrame) -> DataFrame:
-    """AGG-2 joined back (JN-7).  The count table has one row per warehouse."""
-    return inventory.join(store_counts(inventory), "input_source_store", "left")
+# A warehouse count table beyond this many rows is not broadcast.
+STORE_COUNT_MAX_ROWS = 1_000_000
+
+
+def with_store_count(inventory: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """AGG-2 joined back (JN-7).
+
+    The count table has one row per warehouse.  Warehouses are few, so a
+    shuffle join on them would send all on-hand rows to a handful of tasks.
+    Given ``counts`` already written out, the planner sees its file size and
+    broadcasts it; otherwise it is computed here and broadcast once its row
+    count is checked."""
+    if counts is None:
+        counts = broadcast_within(store_counts(inventory), STORE_COUNT_MAX_ROWS)
+    return inventory.join(counts, "input_source_store", "left")
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:

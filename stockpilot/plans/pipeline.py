@@ -19,6 +19,9 @@ from stockpilot.operators import aggregates, forecast, packs, positions, repleni
 from stockpilot.plans.materialize import materialize
 from stockpilot.sources import extracts
 
+# Stages written to the shared folder by default.
+STAGED = frozenset({"store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
+
 RECOMMENDATION_COLUMNS = (
     "input_source_store", "parent_sku", "baby_sku", "recomended_order_units", "num_of_store", "next_ship_date", "request_id",
 )
@@ -43,14 +46,16 @@ class Stages:
     whole run stays one lazy plan.
     """
 
-    def __init__(self, inputs: Inputs, cfg: RunConfig, materialize: bool = True) -> None:
+    def __init__(self, inputs: Inputs, cfg: RunConfig, materialize: bool | frozenset[str] = True) -> None:
         self.inputs = inputs
         self.cfg = cfg
         self.quirks = cfg.quirks
-        self.materialize = materialize
+        if materialize is True:
+            materialize = STAGED
+        self.staged = frozenset(materialize or ())
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if self.materialize else df
+        return materialize(df, name) if name in self.staged else df
 
     # -- extracts ----------------------------------------------------------
     @cached_property
@@ -71,7 +76,10 @@ class Stages:
 
     @cached_property
     def inventory(self) -> DataFrame:
-        return aggregates.with_store_count(extracts.extract_inventory(self.inputs.inventory, self.skus))
+        extract = extracts.extract_inventory(self.inputs.inventory, self.skus)
+        if "store-counts" in self.staged:
+            return aggregates.with_store_count(extract, self._keep(aggregates.store_counts(extract), "store-counts"))
+        return aggregates.with_store_count(extract)
 
     # -- positions ---------------------------------------------------------
     @cached_property
