@@ -57,8 +57,16 @@ def _orders_view(linenumbers: str, location: str) -> str:
     FROM order_lines WHERE l_linenumber IN ({linenumbers})"""
 
 
-def ctes(q: Quirks | None = None, request_id: str = REQUEST_ID) -> list[tuple[str, str]]:
+FIXTURE_TABLES = ("request", "catalog", "inventory", "order_lines", "warehouse_orders", "store_orders", "forecast")
+
+
+def ctes(
+    q: Quirks | None = None, request_id: str = REQUEST_ID, as_of: str | None = None, given_tables: bool = False
+) -> list[tuple[str, str]]:
+    """The CTE chain.  With ``given_tables`` the six inputs are expected as
+    tables of those names instead of being derived from the TPC-H tables."""
     q = q or Quirks()
+    run_day = f"DATE '{as_of}'" if as_of else AS_OF
     store_window = "calculated_date + lt_days <= coverage_date" if q.store_extra_lead else "calculated_date <= coverage_date"
     second_lower = ">=" if q.include_received_day else ">"
     both_join = "JOIN" if q.require_both_periods else "LEFT JOIN"
@@ -72,7 +80,7 @@ def ctes(q: Quirks | None = None, request_id: str = REQUEST_ID) -> list[tuple[st
         cond = " AND ".join(f"w.{c.strip()} IS NOT DISTINCT FROM {alias}.{c.strip()}" for c in pos_cols.split(","))
         return f"NOT EXISTS (SELECT 1 FROM {pos_cte} w WHERE {cond})"
 
-    return [
+    chain = [
         # ---- fixture tables -------------------------------------------------
         ("request", f"""
     SELECT p_name AS style, p_brand AS color,
@@ -208,7 +216,7 @@ def ctes(q: Quirks | None = None, request_id: str = REQUEST_ID) -> list[tuple[st
     LEFT JOIN fc f ON f.sku = p.baby_sku AND f.store = p.store"""),
         ("f1", f"""
     SELECT parent_sku, baby_sku, store, COALESCE(sum(copies * forecast), 0) AS first_period_total_forecast
-    FROM sp_rows WHERE cal_date >= {AS_OF} AND cal_date < received_date GROUP BY parent_sku, baby_sku, store"""),
+    FROM sp_rows WHERE cal_date >= {run_day} AND cal_date < received_date GROUP BY parent_sku, baby_sku, store"""),
         ("f2", f"""
     SELECT parent_sku, baby_sku, store, COALESCE(sum(copies * forecast), 0) AS second_period_total_forecast
     FROM sp_rows WHERE cal_date {second_lower} received_date AND cal_date <= coverage_date GROUP BY parent_sku, baby_sku, store"""),
@@ -272,14 +280,19 @@ def ctes(q: Quirks | None = None, request_id: str = REQUEST_ID) -> list[tuple[st
     FROM packed"""),
         ("missing_skus", f"SELECT sku, '{request_id}' AS request_id FROM missing"),
     ]
+    if given_tables:
+        chain = [(n, b) for n, b in chain if n not in FIXTURE_TABLES]
+    return chain
 
 
 _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
-def with_ctes(select: str, q: Quirks | None = None, request_id: str = REQUEST_ID) -> str:
+def with_ctes(
+    select: str, q: Quirks | None = None, request_id: str = REQUEST_ID, as_of: str | None = None, given_tables: bool = False
+) -> str:
     """``select`` preceded by the CTEs it needs, directly or through others."""
-    defs = ctes(q, request_id)
+    defs = ctes(q, request_id, as_of, given_tables)
     names = {n for n, _ in defs}
     needed: set[str] = set()
     todo = [w for w in _WORD.findall(select) if w in names]
