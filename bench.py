@@ -4,8 +4,9 @@ Prints one JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Each query is built and fully executed (``noop`` sink, so every row is
 computed and nothing is collected); its time includes the staging jobs it
 runs.  Each query runs $BENCH_REPEAT times (default 2); the best run is
-reported, all runs are listed under "runs".  The session is warmed up once on the smallest tables first, so JVM
-start-up and class loading are not charged to the first query.
+reported, all runs are listed under "runs".  The session is warmed up first (one flagship run on the smallest tables,
+then $BENCH_WARMUP untimed flagship runs at the target size), so JVM start-up
+and JIT compilation are not charged to the timed runs.
 """
 
 from __future__ import annotations
@@ -46,6 +47,12 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="stockpilot-bench")
     if os.path.isdir(WARMUP_DIR) and os.path.abspath(WARMUP_DIR) != os.path.abspath(sf_dir):
         run(spark, "recommend_orders", WARMUP_DIR)
+    # The JVM keeps compiling hot paths over the first few runs; untimed runs
+    # of the flagship at the target size bring it to steady state.  Nothing
+    # carries over between runs: every run reads the tables again and writes
+    # its staged intermediates to new paths.
+    for _ in range(int(os.environ.get("BENCH_WARMUP", "2"))):
+        run(spark, "recommend_orders", sf_dir)
     repeat = int(os.environ.get("BENCH_REPEAT", "2"))
     runs = {k: [round(run(spark, k, sf_dir), 3) for _ in range(repeat)] for k in keys}
     times = {k: min(v) for k, v in runs.items()}

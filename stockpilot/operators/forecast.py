@@ -1,7 +1,7 @@
 """Store demand over the two periods (CMP-4: JN-5, FLT-3/4, AGG-8, JN-6, AGG-5).
 
-Plan.  Store positions are first reduced to distinct rows with a ``weight``
-(the number of times the reference lists each).  They join the daily forecast
+Plan.  Store positions carry a ``weight`` (the number of times the
+reference lists each).  They join the daily forecast
 on (baby_sku, store), the largest join of the job; the per-position sums, the
 per-(parent, baby, store) window totals and the both-periods filter all run on
 that join's hash partitioning, so nothing shuffles again.  A (parent, baby,
@@ -26,8 +26,11 @@ TOTAL_COLUMNS = ("first_period_total_forecast", "second_period_total_forecast")
 
 
 def weighted_positions(store_positions: DataFrame) -> DataFrame:
-    """Distinct store positions with ``weight`` = total ``copies``."""
-    return store_positions.groupBy(*POSITION_COLUMNS).agg(F.sum("copies").alias("weight"))
+    """Store positions with ``weight``, the number of times the reference
+    lists each.  ``positions`` emits one row per position (in-window and
+    zero-filled positions are disjoint), so this is its ``copies`` column; no
+    shuffle is spent re-grouping."""
+    return store_positions.select(*POSITION_COLUMNS, F.col("copies").alias("weight"))
 
 
 def attach_forecast(positions: DataFrame, forecast: DataFrame) -> DataFrame:

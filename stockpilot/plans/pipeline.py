@@ -8,6 +8,7 @@ Spark plans each shared intermediate once and reuses its shuffle output
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -20,7 +21,11 @@ from stockpilot.plans.materialize import materialize
 from stockpilot.sources import extracts
 
 # Stages written to the shared folder by default.
-STAGED = frozenset({"store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
+# The expanded request is small (one buyer's styles); written out, its size is
+# visible to the planner, so the semi joins that cut the large order and
+# on-hand tables down to the requested SKUs are broadcast joins and those
+# tables are filtered where they are read, not shuffled.
+STAGED = frozenset({"expanded", "store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
 
 RECOMMENDATION_COLUMNS = (
     "input_source_store", "parent_sku", "baby_sku", "recomended_order_units", "num_of_store", "next_ship_date", "request_id",
@@ -60,7 +65,7 @@ class Stages:
     # -- extracts ----------------------------------------------------------
     @cached_property
     def expanded(self) -> DataFrame:
-        return request.expand_request(self.inputs.catalog, self.inputs.request)
+        return self._keep(request.expand_request(self.inputs.catalog, self.inputs.request), "expanded")
 
     @cached_property
     def skus(self) -> DataFrame:
@@ -119,7 +124,10 @@ class Stages:
 
     @cached_property
     def forecast(self) -> DataFrame:
-        babies = aggregates.distinct_keys(self.inventory, ["baby_sku"])
+        # Every on-hand row of a requested SKU is behind one store position,
+        # so the positions hold exactly the on-hand extract's baby SKUs; read
+        # from the written positions, the key set has a known size.
+        babies = self.store_per_position.select("baby_sku").where(F.col("baby_sku").isNotNull())
         return extracts.extract_forecast(self.inputs.forecast, babies, self.max_coverage)
 
     @cached_property
@@ -140,8 +148,23 @@ class Stages:
     def projection(self) -> DataFrame:
         return replenishment.projected_on_hand(self.warehouse_position, self.warehouse_need)
 
+    def prepare(self) -> None:
+        """Write the staged intermediates, the two independent branches at the
+        same time: warehouse positions, and store positions then store
+        forecast.  Spark runs jobs submitted from several threads side by
+        side, so the branches share the executors instead of queueing.  The
+        stages both branches read are built first, in this thread."""
+        if not self.staged:
+            return
+        _ = self.inventory, self.expanded
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            branches = [pool.submit(lambda: self.warehouse_per_position), pool.submit(lambda: self.store_forecast)]
+            for b in branches:
+                b.result()
+
     @cached_property
     def recommended(self) -> DataFrame:
+        self.prepare()
         rec = replenishment.recommended_quantity(self.projection, self.store_forecast)
         return self._keep(rec, "recommended")
 
