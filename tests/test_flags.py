@@ -42,3 +42,16 @@ def test_bad_switch_values_are_refused():
         Quirks(pack_max_scope="store")
     with pytest.raises(ValueError):
         Quirks(zero_fill_grain="row")
+
+
+def test_pack_scope_changes_rows_at_sf001(spark):
+    """Q5 shows first at sf0.01 (246 rows in FIXTURES.md)."""
+    from conftest import SF001
+
+    quirks = Quirks(pack_max_scope="warehouse")
+    df = registry.stages(spark, SF001, quirks).recommendations
+    cols, expected = duckdb_rows(oracle.with_ctes("SELECT * FROM recommendations", quirks), SF001)
+    assert diff(df.columns, [tuple(r) for r in df.collect()], cols, expected) is None
+    dcols, default = duckdb_rows(oracle.with_ctes("SELECT * FROM recommendations"), SF001)
+    changed = canonical(cols, expected)[1] - canonical(dcols, default)[1]
+    assert sum(changed.values()) > 0

@@ -3,7 +3,6 @@
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF0001
 from stockpilot import registry
