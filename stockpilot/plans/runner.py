@@ -49,18 +49,20 @@ def run_job(
     missing_target: str,
     mode: str = "append",
     single_file: bool = False,
+    by_request: bool = False,
 ) -> JobResult:
     """Run the job and write both results.
 
     Raises ``quality.DuplicateRowsError`` before anything is written when an
     order extract has identical rows.  The two targets are separate (the
-    reference wrote both through one staging path).
+    reference wrote both through one staging path).  With ``by_request`` each
+    run id gets its own partition of the targets and a re-run replaces it.
     """
     nulls, extra = check_request(inputs.request)
     stages = Stages(inputs, cfg)
     quality.assert_no_duplicates(stages.warehouse_orders, "warehouse order rows")
     quality.assert_no_duplicates(stages.store_orders, "store order rows")
-    sinks.write_recommendations(stages.recommendations, recommendations_target, mode, single_file)
-    sinks.write_missing(stages.missing_skus, missing_target, mode, single_file)
+    sinks.write_recommendations(stages.recommendations, recommendations_target, mode, single_file, by_request)
+    sinks.write_missing(stages.missing_skus, missing_target, mode, single_file, by_request)
     log.info("request %s written to %s and %s", cfg.request_id, recommendations_target, missing_target)
     return JobResult(cfg.request_id, recommendations_target, missing_target, nulls, extra)

@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame
 from stockpilot import schemas
 
 
-def _write(df: DataFrame, target: str, mode: str, single_file: bool) -> str:
+def _write(df: DataFrame, target: str, mode: str, single_file: bool, by_request: bool) -> str:
     out = df.coalesce(1) if single_file else df
     writer = out.write.mode(mode)
+    if by_request:
+        # One folder per run id, and an overwrite replaces only the folders
+        # being written: a re-run of the same request replaces its rows.
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id")
     if "/" in target:
         writer.parquet(target)
     else:
@@ -22,15 +26,19 @@ def _write(df: DataFrame, target: str, mode: str, single_file: bool) -> str:
     return target
 
 
-def write_recommendations(df: DataFrame, target: str, mode: str = "append", single_file: bool = False) -> str:
+def write_recommendations(
+    df: DataFrame, target: str, mode: str = "append", single_file: bool = False, by_request: bool = False
+) -> str:
     """SNK-1.  ``single_file`` only suits small results: it funnels the write
-    through one task."""
-    return _write(schemas.conform(df, schemas.RECOMMENDATIONS), target, mode, single_file)
+    through one task.  ``by_request`` makes the write idempotent per run id."""
+    return _write(schemas.conform(df, schemas.RECOMMENDATIONS), target, mode, single_file, by_request)
 
 
-def write_missing(df: DataFrame, target: str, mode: str = "append", single_file: bool = False) -> str:
+def write_missing(
+    df: DataFrame, target: str, mode: str = "append", single_file: bool = False, by_request: bool = False
+) -> str:
     """SNK-2.  The schema is declared, so an empty report still writes."""
-    return _write(schemas.conform(df, schemas.MISSING_SKUS), target, mode, single_file)
+    return _write(schemas.conform(df, schemas.MISSING_SKUS), target, mode, single_file, by_request)
 
 
 def read_back(df: DataFrame, target: str) -> DataFrame:

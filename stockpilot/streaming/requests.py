@@ -2,9 +2,10 @@
 
 A folder receives buyers' request CSVs.  Each micro-batch holds the new files;
 it is run as one request through the batch job (``plans.runner.run_job``) with
-the reference tables, and both results are appended.  The stream's checkpoint
-records which files were processed, so a restarted stream neither repeats nor
-skips a request.  The run id is ``<prefix>_<batch id>``; ``as_of`` is the
+the reference tables.  The stream's checkpoint records which files were
+processed, so a restarted stream skips no request; a batch that is run again
+after a failure keeps its id and its write replaces that id's partition of
+the targets, so no request is written twice.  The run id is ``<prefix>_<batch id>``; ``as_of`` is the
 processing day unless fixed.
 """
 
@@ -68,7 +69,7 @@ def start(
             return
         cfg = RunConfig(as_of or dt.date.today(), f"{request_prefix}_{batch_id}", quirks or Quirks())
         inputs = Inputs(batch, tables.catalog, tables.inventory, tables.warehouse_orders, tables.store_orders, tables.forecast)
-        run_job(inputs, cfg, recommendations_target, missing_target, mode="append")
+        run_job(inputs, cfg, recommendations_target, missing_target, by_request=True)
 
     writer = request_stream(spark, folder).writeStream.foreachBatch(run_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")

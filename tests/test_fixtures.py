@@ -41,3 +41,14 @@ def test_final_rows_sf001(spark):
     assert rec.count() == 2259
     assert rec.where("recomended_order_units > 0").count() == 557
     assert rec.agg(F.sum("recomended_order_units")).first()[0] == 13029
+
+
+def test_final_rows_sf01(spark):
+    st = registry.stages(spark, "/root/testdata/sf0.1")
+    assert st.expanded.count() == 18612
+    assert st.missing_skus.count() == 1875
+    assert st.store_forecast.count() == 55239
+    rec = st.recommendations
+    assert rec.count() == 57553
+    assert rec.where("recomended_order_units > 0").count() == 11551
+    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 308524

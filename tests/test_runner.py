@@ -48,3 +48,11 @@ def test_stream_of_request_files(spark, tmp_path):
     assert {r.request_id for r in out.select("request_id").distinct().collect()} == {"buyer_0"}
     assert _rows(out) == _rows(st.recommendations)
     assert _rows(spark.read.parquet(missing)) == _rows(st.missing_skus)
+
+
+def test_rerun_of_a_request_replaces_its_rows(spark, tmp_path):
+    st = registry.stages(spark, SF0001)
+    recs, missing = str(tmp_path / "recs"), str(tmp_path / "missing")
+    for _ in range(2):
+        run_job(st.inputs, st.cfg, recs, missing, by_request=True)
+    assert _rows(spark.read.parquet(recs)) == _rows(st.recommendations)
