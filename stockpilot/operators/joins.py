@@ -54,8 +54,11 @@ def enrich(df: DataFrame, aggregate: DataFrame, keys: Sequence[str], fill: dict[
 
 def without(df: DataFrame, other: DataFrame, key: str, other_key: str | None = None) -> DataFrame:
     """JN-8: rows of ``df`` whose key is not among ``other``'s keys.  A NULL
-    key in ``df`` never matches, so it is kept (NOT EXISTS, not NOT IN)."""
-    right = other.select(F.col(other_key or key).alias(key))
+    key in ``df`` never matches, so it is kept (NOT EXISTS, not NOT IN).
+
+    ``other`` is reduced to its distinct keys first; with map-side partial
+    aggregation a key repeated on a third of its rows arrives as one row."""
+    right = other.select(F.col(other_key or key).alias(key)).distinct()
     return df.join(right, key, "left_anti")
 
 

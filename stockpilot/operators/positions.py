@@ -161,14 +161,18 @@ def with_zero_positions(in_window_rows: DataFrame, zero_rows: DataFrame, grain:
     return in_window_rows.select(*cols).unionByName(filled.select(*cols))
 
 
+def _valid(per_pos: DataFrame, grain: Grain) -> DataFrame:
+    """Positions with an in-window order and no NULL position column."""
+    return per_pos.where(F.col("has_window")).dropna(subset=list(grain.columns))
+
+
 def in_window_positions(per_pos: DataFrame, grain: Grain) -> DataFrame:
     """AGG-4 + PRJ-12: positions with at least one in-window order, one row
     each, with the (sku, location) totals in units (x ``ppk_qty``).  Rows with
     a NULL position column drop out."""
     totals = open_order_totals(per_pos, grain)
     return (
-        per_pos.where(F.col("has_window"))
-        .dropna(subset=list(grain.columns))
+        _valid(per_pos, grain)
         .join(totals, ["parent_sku", grain.location], "inner")
         .withColumn(grain.first_col, pack_units("first_period_units", "ppk_qty"))
         .withColumn(grain.second_col, pack_units("second_period_units", "ppk_qty"))
@@ -176,12 +180,13 @@ def in_window_positions(per_pos: DataFrame, grain: Grain) -> DataFrame:
     )
 
 
-def zero_positions(per_pos: DataFrame, in_win: DataFrame, quirks: Quirks) -> DataFrame:
+def zero_positions(per_pos: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
     """Positions to zero-fill: by default every position of a SKU with no
     in-window position anywhere (JN-8 on ``parent_sku``), each with the number
-    of rows the reference lists for it."""
+    of rows the reference lists for it.  Every valid in-window position has a
+    totals row, so the in-window SKUs are read off the positions directly."""
     if quirks.zero_fill_grain == "sku":
-        rows = without(per_pos, in_win, "parent_sku")
+        rows = without(per_pos, _valid(per_pos, grain), "parent_sku")
     else:
         rows = per_pos.where(~F.col("has_window"))
     if quirks.dedupe_zero_fill:
@@ -194,7 +199,7 @@ def positions(per_pos: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
     second-period open orders in units, and ``copies``, the number of times
     the reference lists the row."""
     in_win = in_window_positions(per_pos, grain)
-    return with_zero_positions(in_win, zero_positions(per_pos, in_win, quirks), grain)
+    return with_zero_positions(in_win, zero_positions(per_pos, grain, quirks), grain)
 
 
 def attach_orders(onhand: DataFrame, orders: DataFrame, location: str) -> DataFrame:
