@@ -26,6 +26,26 @@ PLAN_CONF = {
 }
 
 
+def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a run over ``input_bytes`` of input on a cluster.
+
+    The initial shuffle partition count is sized so that a partition of the
+    largest shuffle (about the size of the order and forecast extracts) is
+    near ``partition_bytes``; AQE then coalesces small partitions and splits
+    skewed ones.  Pass these to ``SparkSession.builder.config`` or
+    ``spark-submit --conf``; ``spark.checkpoint.dir`` must be set as well.
+    """
+    partitions = max(200, -(-input_bytes // partition_bytes))
+    return {
+        **PLAN_CONF,
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "stockpilot") -> SparkSession:
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
