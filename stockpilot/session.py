@@ -26,16 +26,21 @@ PLAN_CONF = {
 }
 
 
-def cluster_conf(input_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
-    """Settings for a run over ``input_bytes`` of input on a cluster.
-
-    The initial shuffle partition count is sized so that a partition of the
-    largest shuffle (about the size of the order and forecast extracts) is
-    near ``partition_bytes``; AQE then coalesces small partitions and splits
-    skewed ones.  Pass these to ``SparkSession.builder.config`` or
-    ``spark-submit --conf``; ``spark.checkpoint.dir`` must be set as well.
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a cluster run whose largest shuffle moves
+    ``largest_shuffle_bytes`` (for this job the projected order lines of the
+    orders join, or the date-bounded forecast, whichever is larger).
+
+    The initial shuffle partition count puts about ``partition_bytes`` in a
+    partition, between 200 and 100,000 partitions (past the cap partitions
+    grow instead); AQE then coalesces small partitions and splits skewed ones.
+    Pass these to ``SparkSession.builder.config`` or ``spark-submit --conf``;
+    ``spark.checkpoint.dir`` must be set as well.
     """
-    partitions = max(200, -(-input_bytes // partition_bytes))
+    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-largest_shuffle_bytes // partition_bytes)))
     return {
         **PLAN_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
