@@ -75,11 +75,12 @@ def store_period_forecast(positions: DataFrame, forecast: DataFrame, as_of: dt.d
     sums = period_sums(attach_forecast(weighted_positions(positions), forecast), as_of, quirks, POSITION_COLUMNS + ("weight",))
     group = Window.partitionBy(*STORE_KEYS)
     w = F.col("weight")
-    out = (
-        sums.withColumn("first_period_total_forecast", F.sum(w * F.col("first_sum")).over(group))
-        .withColumn("second_period_total_forecast", F.sum(w * F.col("second_sum")).over(group))
-        .withColumn("first_period_rows", F.sum("first_rows").over(group))
-        .withColumn("second_period_rows", F.sum("second_rows").over(group))
+    out = sums.select(
+        *POSITION_COLUMNS,
+        F.sum(w * F.col("first_sum")).over(group).alias("first_period_total_forecast"),
+        F.sum(w * F.col("second_sum")).over(group).alias("second_period_total_forecast"),
+        F.sum("first_rows").over(group).alias("first_period_rows"),
+        F.sum("second_rows").over(group).alias("second_period_rows"),
     )
     if quirks.require_both_periods:
         out = out.where((F.col("first_period_rows") > 0) & (F.col("second_period_rows") > 0))
