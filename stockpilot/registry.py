@@ -326,7 +326,7 @@ ENTRIES: dict[str, Entry] = {
     "sink_missing_skus": Entry(q_sink_missing_skus, "SELECT * FROM missing_skus"),
     # data quality
     "dq_null_check": Entry(q_dq_null_check, "SELECT "
-        + ", ".join(f"count_if({c} IS NULL) AS {c}" for c in
+        + ", ".join(f"CAST(count_if({c} IS NULL) AS BIGINT) AS {c}" for c in
                     ("sku", "store", "ord_units", "rcvd_units", "first_ship_date", "transit_date", "promo_fl"))
         + " FROM warehouse_orders"),
     "dq_duplicate_rows": Entry(q_dq_duplicate_rows, """
