@@ -1,9 +1,10 @@
-"""The whole job as one lazy plan (CMP-10 recommendations, CMP-11 missing SKUs).
+"""The whole job (CMP-10 recommendations, CMP-11 missing SKUs).
 
 ``Stages`` names every intermediate result so queries, tests and the runner
-can pick any of them; nothing executes until an action.  Within one action
-Spark plans each shared intermediate once and reuses its shuffle output
-(``ReusedExchange``), so naming a stage twice costs nothing extra.
+can pick any of them.  The reused intermediates listed in ``STAGED`` are
+written to the shared folder as they are first used (see
+``plans.materialize``); everything between two boundaries is one lazy plan,
+inside which Spark reuses shared shuffle output (``ReusedExchange``).
 """
 
 from __future__ import annotations
@@ -27,11 +28,6 @@ from stockpilot.sources import extracts
 # tables are filtered where they are read, not shuffled.
 STAGED = frozenset({"expanded", "store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
 
-RECOMMENDATION_COLUMNS = (
-    "input_source_store", "parent_sku", "baby_sku", "recomended_order_units", "num_of_store", "next_ship_date", "request_id",
-)
-
-
 @dataclass(frozen=True)
 class Inputs:
     request: DataFrame
