@@ -12,7 +12,7 @@ built-ins only; nothing runs in a Python worker.
 """
 
 from stockpilot.config import Quirks, RunConfig
-from stockpilot.plans.pipeline import Inputs, Stages, missing_skus, recommend_orders
+from stockpilot.plans.stages import Inputs, Stages, missing_skus, recommend_orders
 
 __all__ = [
     "Inputs",

@@ -18,7 +18,7 @@ import sys
 from pyspark.sql import DataFrame
 
 from stockpilot import registry
-from stockpilot.plans.pipeline import Stages
+from stockpilot.plans.stages import Stages
 
 
 class _Recording(Stages):

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 
 from stockpilot.config import RunConfig
 from stockpilot.operators import quality
-from stockpilot.plans.pipeline import Inputs, Stages
+from stockpilot.plans.stages import Inputs, Stages
 from stockpilot.sources import sinks
 
 log = logging.getLogger("stockpilot")

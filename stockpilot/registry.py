@@ -18,7 +18,7 @@ from stockpilot.config import Quirks, RunConfig
 from stockpilot.functions import blank_to, first_period, second_period, to_day, to_int
 from stockpilot.operators import aggregates, forecast, joins, positions, projection, quality, replenishment
 from stockpilot.oracle import sql as oracle
-from stockpilot.plans.pipeline import Inputs, Stages
+from stockpilot.plans.stages import Inputs, Stages
 from stockpilot.session import scratch_path
 from stockpilot.sources import extracts, sinks
 from stockpilot.sources.fixtures import AS_OF, REQUEST_ID, fixture_tables

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from stockpilot import schemas
-from stockpilot.plans.pipeline import Inputs
+from stockpilot.plans.stages import Inputs
 from stockpilot.sources.extracts import read_request
 
 

@@ -20,7 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stockpilot import schemas
 from stockpilot.config import Quirks, RunConfig
-from stockpilot.plans.pipeline import Inputs
+from stockpilot.plans.stages import Inputs
 from stockpilot.plans.runner import run_job
 
 

@@ -17,7 +17,7 @@ from stockpilot import schemas
 from stockpilot.config import Quirks, RunConfig
 from stockpilot.oracle import sql as oracle
 from stockpilot.oracle.compare import diff
-from stockpilot.plans.pipeline import Inputs, Stages
+from stockpilot.plans.stages import Inputs, Stages
 
 AS_OF = dt.date(2024, 1, 1)
 STAGES = {

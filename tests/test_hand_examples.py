@@ -4,7 +4,7 @@ import datetime as dt
 
 from stockpilot import schemas
 from stockpilot.config import Quirks, RunConfig
-from stockpilot.plans.pipeline import Inputs, Stages
+from stockpilot.plans.stages import Inputs, Stages
 
 AS_OF = dt.date(2024, 1, 1)
 D = dt.date

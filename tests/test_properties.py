@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF0001
 from stockpilot import registry
-from stockpilot.plans.pipeline import Inputs, Stages
+from stockpilot.plans.stages import Inputs, Stages
 
 
 def test_units_and_quantities_are_never_negative(spark):

@@ -7,7 +7,7 @@ import pytest
 from conftest import SF0001
 from stockpilot import registry
 from stockpilot.operators.quality import DuplicateRowsError
-from stockpilot.plans.pipeline import Inputs
+from stockpilot.plans.stages import Inputs
 from stockpilot.plans.runner import run_job
 from stockpilot.sources.extracts import write_request_csv
 from stockpilot.sources.fixtures import AS_OF
