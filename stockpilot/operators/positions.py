@@ -12,10 +12,12 @@ once per matched order row.
 Plan.  Orders are first reduced to one row per (sku, location, arrival base
 day) with their unit sums and row count, before any join; a SKU holding a large
 share of the orders is thus reduced map-side.  The reduced orders join the
-on-hand rows on (parent_sku, location); the per-position aggregate, the
-per-(sku, location) totals and the join of the two all reuse that hash
-partitioning, so they add no shuffle.  Zero-filled rows carry their repeat count
-in ``copies`` instead of being emitted several times.
+on-hand rows on (parent_sku, location), and the per-position aggregate runs on
+that join's hash partitioning without another shuffle.  The per-(sku, location)
+totals are a combinable aggregate of the (written) per-position frame with one
+row per key, joined back to it; the zero-fill test needs only the in-window
+SKUs' distinct keys.  Zero-filled rows carry their repeat count in ``copies``
+instead of being emitted several times.
 """
 
 from __future__ import annotations
