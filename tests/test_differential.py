@@ -99,8 +99,17 @@ def _arrow(rows, schema):
     return pa.table([pa.array(list(c), type=f.type) for c, f in zip(cols, fields)], schema=pa.schema(fields))
 
 
-CASES = [(1, Quirks()), (2, Quirks()), (3, Quirks()), (4, Quirks(store_extra_lead=False, include_received_day=True,
-         require_both_periods=False, pack_max_scope="warehouse", zero_fill_grain="position", dedupe_zero_fill=True))]
+CASES = [
+    (1, Quirks()),
+    (2, Quirks()),
+    (3, Quirks()),
+    (4, Quirks(store_extra_lead=False, include_received_day=True, require_both_periods=False,
+               pack_max_scope="warehouse", zero_fill_grain="position", dedupe_zero_fill=True)),
+    (5, Quirks(zero_fill_grain="position")),
+    (6, Quirks(dedupe_zero_fill=True)),
+    (7, Quirks(pack_max_scope="warehouse", require_both_periods=False)),
+    (8, Quirks(include_received_day=True, store_extra_lead=False)),
+]
 
 
 @pytest.mark.parametrize("seed,quirks", CASES)
