@@ -56,3 +56,27 @@ def test_rerun_of_a_request_replaces_its_rows(spark, tmp_path):
     for _ in range(2):
         run_job(st.inputs, st.cfg, recs, missing, by_request=True)
     assert _rows(spark.read.parquet(recs)) == _rows(st.recommendations)
+
+
+def test_command_line_run(spark, tmp_path, capsys):
+    import json
+
+    from stockpilot.__main__ import main
+
+    st = registry.stages(spark, SF0001)
+    i = st.inputs
+    src = {}
+    for name in ("catalog", "inventory", "warehouse_orders", "store_orders", "forecast"):
+        src[name] = str(tmp_path / name)
+        getattr(i, name).write.parquet(src[name])
+    request = write_request_csv(i.request, str(tmp_path / "request"))
+    recs, missing = str(tmp_path / "recs"), str(tmp_path / "missing")
+    main([
+        "--request", request, "--catalog", src["catalog"], "--inventory", src["inventory"],
+        "--warehouse-orders", src["warehouse_orders"], "--store-orders", src["store_orders"],
+        "--forecast", src["forecast"], "--recommendations", recs, "--missing-skus", missing,
+        "--as-of", AS_OF.isoformat(), "--request-id", st.cfg.request_id,
+    ])
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["request_id"] == st.cfg.request_id
+    assert _rows(spark.read.parquet(recs), ()) == _rows(st.recommendations, ())
+    assert _rows(spark.read.parquet(missing), ()) == _rows(st.missing_skus, ())
