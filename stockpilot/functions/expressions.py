@@ -13,6 +13,11 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
+# Fixed values, as the reference writes them: the replenishment flag is "Y" or
+# "N", and an empty promotion flag reads as "N".
+YES = "Y"
+NO = "N"
+
 
 def _c(x: ColumnOrName) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -70,7 +75,7 @@ def round_even(x: ColumnOrName) -> Column:
 def replen_flag(store_oh: ColumnOrName, expected: ColumnOrName, level: ColumnOrName) -> Column:
     """'Y' when stock after expected demand falls below the order-up-to level
     (PRJ-11); a NULL comparison gives 'N'."""
-    return F.when(_c(store_oh) - _c(expected) < _c(level), F.lit("Y")).otherwise(F.lit("N"))
+    return F.when(_c(store_oh) - _c(expected) < _c(level), F.lit(YES)).otherwise(F.lit(NO))
 
 
 def pack_units(units: ColumnOrName, ppk: ColumnOrName) -> Column:

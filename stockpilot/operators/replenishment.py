@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpilot.functions import clamp0, replen_flag, round_even
+from stockpilot.functions.expressions import YES
 from stockpilot.operators.aggregates import first_per_key
 from stockpilot.operators.joins import enrich
 
@@ -21,7 +22,7 @@ def store_replenishment(store_forecast: DataFrame) -> DataFrame:
     else 0, never below 0."""
     expected = F.col("expected_demand")
     need = F.when(
-        F.col("replenishment_order") == "Y",
+        F.col("replenishment_order") == YES,
         F.col("sks_ord_level") - (F.col("store_oh") + F.col("first_period_store_oo") - expected),
     ).otherwise(F.lit(0.0))
     return (

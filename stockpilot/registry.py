@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from stockpilot.config import Quirks, RunConfig
 from stockpilot.functions import blank_to, first_period, second_period, to_day, to_int
+from stockpilot.functions.expressions import NO
 from stockpilot.operators import aggregates, forecast, joins, positions, projection, quality, replenishment
 from stockpilot.oracle import sql as oracle
 from stockpilot.plans.stages import Inputs, Stages
@@ -140,7 +141,7 @@ def q_prj_coverage_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_prj_blank_to_n(spark: SparkSession, sf: str) -> DataFrame:
-    return fixture_tables(spark, sf).warehouse_orders.withColumn("promo_fl", blank_to("promo_fl", "N"))
+    return fixture_tables(spark, sf).warehouse_orders.withColumn("promo_fl", blank_to("promo_fl", NO))
 
 
 def q_prj_effective_date(spark: SparkSession, sf: str) -> DataFrame:

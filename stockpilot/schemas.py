@@ -70,6 +70,9 @@ FORECAST = _schema(
     ("forecast", T.DoubleType()),
 )
 
+# The two output tables keep the column names, and spelling, the
+# reference writes (``recomended_order_units`` with one "m"), so that readers of
+# those tables keep working.
 RECOMMENDATIONS = _schema(
     ("input_source_store", T.IntegerType()),
     ("parent_sku", T.LongType()),
