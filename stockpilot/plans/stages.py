@@ -75,9 +75,13 @@ class Stages:
     def store_orders(self) -> DataFrame:
         return extracts.extract_store_orders(self.inputs.store_orders, self.skus)
 
+    @cached_property
+    def inventory_extract(self) -> DataFrame:
+        return extracts.extract_inventory(self.inputs.inventory, self.skus)
+
     @cached_property
     def inventory(self) -> DataFrame:
-        extract = extracts.extract_inventory(self.inputs.inventory, self.skus)
+        extract = self.inventory_extract
         if "store-counts" in self.staged:
             return aggregates.with_store_count(extract, self._keep(aggregates.store_counts(extract), "store-counts"))
         return aggregates.with_store_count(extract)
@@ -183,7 +187,8 @@ class Stages:
 
     @cached_property
     def missing_skus(self) -> DataFrame:
-        return request.missing_skus(self.expanded, self.inventory, self.cfg.request_id)
+        # Only the extract's parent SKUs matter here, not the store counts.
+        return request.missing_skus(self.expanded, self.inventory_extract, self.cfg.request_id)
 
 
 def recommend_orders(inputs: Inputs, cfg: RunConfig, materialize: bool = True) -> DataFrame:
