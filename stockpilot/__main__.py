@@ -1,11 +1,14 @@
 """Command line: run one request end to end.
 
-    spark-submit --conf spark.checkpoint.dir=<shared folder> -m stockpilot \\
+    zip -r stockpilot.zip stockpilot
+    spark-submit --conf spark.checkpoint.dir=<shared folder> \\
+        --py-files stockpilot.zip stockpilot/__main__.py \\
         --request input.csv --catalog <src> --inventory <src> \\
         --warehouse-orders <src> --store-orders <src> --forecast <src> \\
         --recommendations <target> --missing-skus <target> \\
         --as-of 2024-01-01 --request-id buyer_2024_01_01
 
+or ``python -m stockpilot ...`` where pyspark picks up the cluster settings.
 Sources and targets are parquet folders (containing ``/``) or table names.
 """
 
