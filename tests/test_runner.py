@@ -80,3 +80,13 @@ def test_command_line_run(spark, tmp_path, capsys):
     assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["request_id"] == st.cfg.request_id
     assert _rows(spark.read.parquet(recs), ()) == _rows(st.recommendations, ())
     assert _rows(spark.read.parquet(missing), ()) == _rows(st.missing_skus, ())
+
+
+def test_request_checks_warn_and_count(spark):
+    from stockpilot import schemas
+    from stockpilot.plans.runner import check_request
+
+    request = spark.createDataFrame(
+        [("ST", "RED", "2024-01-10", 10), ("ST", "RED", "2024-01-10", 10), ("XX", None, "2024-01-10", 10)], schemas.REQUEST
+    )
+    assert check_request(request) == (True, 1)
