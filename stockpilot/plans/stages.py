@@ -28,6 +28,7 @@ from stockpilot.sources import extracts
 # tables are filtered where they are read, not shuffled.
 STAGED = frozenset({"expanded", "store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
 
+
 @dataclass(frozen=True)
 class Inputs:
     request: DataFrame
