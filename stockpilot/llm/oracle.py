@@ -24,4 +24,16 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP}
+EXACT_DEDUP = """
+WITH d AS (
+  SELECT doc_id, length(coalesce(text, '')) AS chars,
+         regexp_replace(coalesce(text, ''), '[\\x20\\x09-\\x0D]+', '', 'g') AS body
+  FROM documents
+), g AS (
+  SELECT body, count(*) AS n, arg_min(doc_id, (-chars, doc_id)) AS keep_id FROM d GROUP BY body
+)
+SELECT d.doc_id, g.keep_id, g.n AS group_size, d.doc_id = g.keep_id AS kept, sha256(d.body) AS text_sha256
+FROM d JOIN g ON d.body = g.body
+"""
+
+SQL: dict[str, str] = {"op1_line_dedup": LINE_DEDUP, "op10_exact_dedup": EXACT_DEDUP}

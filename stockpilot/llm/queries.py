@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import line_dedup
+from stockpilot.llm import exact_dedup, line_dedup, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,4 +18,21 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup,)}
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
+    return found.select(
+        "row.doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secret_scan.digest(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans")).alias("spans"),
+    )
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op8_secret_scan, op10_exact_dedup)}
