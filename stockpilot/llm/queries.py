@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import exact_dedup, line_dedup, secret_scan
+from stockpilot.llm import byte_bpe, chat_format, exact_dedup, line_dedup, packing, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +19,28 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return byte_bpe.byte_bpe(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
+# Fixed value: the conversation that the contract adds.
+EXTRA_CONVERSATION = -7
+EXTRA_TEXT = r"\### Assistant: </turn> ok"
+
+
+def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame(
+        [(EXTRA_CONVERSATION, turn, role, EXTRA_TEXT) for turn, role in enumerate(("user", "assistant"))], rows.schema
+    )
+    return chat_format.read_back(chat_format.chat_format(chat_format.threads(rows.unionByName(extra))))
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.secret_scan(table(spark, sf_dir, "documents"), columns=["doc_id"])
     count = lambda k: F.size(F.filter("base", lambda s: s["kind"] == k)).cast("bigint")
@@ -35,4 +58,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_line_dedup, op8_secret_scan, op10_exact_dedup)}
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_line_dedup, op2_byte_bpe, op3_chat_format, op7_packing, op8_secret_scan, op10_exact_dedup)
+}

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-import uuid
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
+import stockpilot
 from stockpilot.session import scratch_path
 
 # ASCII white space as the contracts name it: [\x20\x09-\x0D].  bytes.split()
 # without arguments splits on exactly these.
 SPACES = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_ASCII_LOWER = {ord(c): c.lower() for c in UPPER}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -50,20 +52,31 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[dict] | dict], schema: str) -> DataFrame:
-    """``mapInArrow`` over batches: ``function`` gives a dict of columns."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
+def arrow_schema(ddl: str) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(ddl))
 
-    target = to_arrow_schema(StructType.fromDDL(schema))
+
+def on_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, for
+    sessions that got it neither from ``--py-files`` nor from ``PYTHONPATH``."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(stockpilot.__file__)))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
+
+
+def map_partitions(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+    """``mapInArrow``: ``function`` gives dicts of columns for the batches of a partition."""
+    target = arrow_schema(schema)
+    on_workers(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            got = function(batch)
+        for got in function(batches):
             yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in target], schema=target)
 
     return df.mapInArrow(run, schema)
 
 
-def unique(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex}"
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+    """``mapInArrow`` over single batches: ``function`` gives a dict of columns."""
+    return map_partitions(df, lambda batches: map(function, batches), schema)
