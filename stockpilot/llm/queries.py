@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import byte_bpe, chat_format, exact_dedup, line_dedup, packing, secret_scan
+from stockpilot.llm import byte_bpe, chat_format, exact_dedup, language_id, line_dedup, packing, quality_rules, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,16 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.chat_format(chat_format.threads(rows.unionByName(extra))))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.language_id(table(spark, sf_dir, "documents"))
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.quality_rules(table(spark, sf_dir, "documents"), columns=["doc_id"])
+    base = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    return judged.select("row.doc_id", *[f"stats.{c}" for c in base], "base_failed", "kept")
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -60,5 +70,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_line_dedup, op2_byte_bpe, op3_chat_format, op7_packing, op8_secret_scan, op10_exact_dedup)
+    for f in (
+        op1_line_dedup,
+        op2_byte_bpe,
+        op3_chat_format,
+        op4_language_id,
+        op5_quality_rules,
+        op7_packing,
+        op8_secret_scan,
+        op10_exact_dedup,
+    )
 }
