@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import byte_bpe, chat_format, exact_dedup, language_id, line_dedup, packing, quality_rules, secret_scan
+from stockpilot.llm import byte_bpe, chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    joined = ngram_join.ngram_join(table(spark, sf_dir, "documents"))
+    return joined.select(F.col("doc").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op5_quality_rules,
         op7_packing,
         op8_secret_scan,
+        op9_ngram_join,
         op10_exact_dedup,
     )
 }
