@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import byte_bpe, chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan
+from stockpilot.llm import brown_lm, byte_bpe, chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +47,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("row.doc_id", *[f"stats.{c}" for c in base], "base_failed", "kept")
 
 
+def op6_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return brown_lm.brown_lm(table(spark, sf_dir, "documents"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packing(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
@@ -81,6 +85,7 @@ QUERIES: dict[str, Query] = {
         op3_chat_format,
         op4_language_id,
         op5_quality_rules,
+        op6_brown_lm,
         op7_packing,
         op8_secret_scan,
         op9_ngram_join,
