@@ -178,7 +178,8 @@ def exchange(pairs: np.ndarray, exchanged: int, classes: int, sweeps: int) -> np
             table[now] -= after
             table[:, now] -= before
             table[now, now] -= own
-            rows, columns = table.sum(axis=1), table.sum(axis=0)
+            # Whatever class the word gets, its neighbours' classes have it beside them.
+            rows, columns = table.sum(axis=1) + before, table.sum(axis=0) + after
             c = np.arange(classes)
             # Rows and columns of a class gain; its own cell, counted twice so far, is set right.
             gain = (_xlogx(table[:classes] + after) - _xlogx(table[:classes])).sum(axis=1)
