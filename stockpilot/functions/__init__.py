@@ -3,11 +3,9 @@ from stockpilot.functions.expressions import (
     arrival_date,
     blank_to,
     clamp0,
-    coverage_date,
     first_period,
     in_window,
     pack_units,
-    received_date,
     replen_flag,
     round_even,
     second_period,
@@ -21,11 +19,9 @@ __all__ = [
     "arrival_date",
     "blank_to",
     "clamp0",
-    "coverage_date",
     "first_period",
     "in_window",
     "pack_units",
-    "received_date",
     "replen_flag",
     "round_even",
     "second_period",

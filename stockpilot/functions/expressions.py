@@ -29,31 +29,25 @@ def to_int(x: ColumnOrName) -> Column:
 
 
 def to_day(x: ColumnOrName) -> Column:
-    """Parse to a date, cutting any time of day; NULL stays NULL (PRJ-4)."""
-    return F.to_date(_c(x))
+    """Parse to a date, cutting any time of day; NULL stays NULL (PRJ-4).  Text is
+    ISO or month/day/year; anything else is an error."""
+    slashed = F.regexp_extract(_c(x).cast("string"), r"^\s*(\d{1,2}/\d{1,2}/\d{4})(\s.*)?$", 1)
+    return F.coalesce(F.try_to_date(slashed, "M/d/yyyy"), F.to_date(_c(x)))
 
 
 def add_days(day: ColumnOrName, n: ColumnOrName) -> Column:
     return F.date_add(_c(day), _c(n))
 
 
-def received_date(provided: ColumnOrName, lead_days: ColumnOrName) -> Column:
-    """Day the new order arrives: provided date + lead time (PRJ-5)."""
-    return add_days(to_day(provided), lead_days)
-
-
-def coverage_date(received: ColumnOrName, coverage_days: ColumnOrName) -> Column:
-    """Last day the new order has to cover (PRJ-5)."""
-    return add_days(received, coverage_days)
-
-
 def blank_to(x: ColumnOrName, value: str) -> Column:
-    """Replace the empty string; NULL stays NULL (PRJ-6)."""
+    """Replace the empty string; NULL stays NULL (PRJ-6).  A view of this single
+    step: no result of the job reads the flag."""
     return F.when(_c(x) == "", F.lit(value)).otherwise(_c(x))
 
 
 def arrival_date(transit: ColumnOrName, first_ship: ColumnOrName, lead_days: ColumnOrName) -> Column:
-    """Transit date when known, else first ship date, plus lead time (PRJ-7)."""
+    """Transit date when known, else first ship date, plus lead time (PRJ-7), for the
+    row-level view; the job adds the lead time to ``order_buckets``' base day."""
     return add_days(F.coalesce(_c(transit), _c(first_ship)), lead_days)
 
 

@@ -1,4 +1,4 @@
-"""Keyed aggregates (AGG-1..5, AGG-10..12).
+"""Keyed aggregates (AGG-1..5, AGG-10).
 
 Every aggregate here is combinable: Spark computes a partial result on the map
 side before the shuffle, so a key that holds a large share of the rows arrives
@@ -8,13 +8,12 @@ list or set.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockpilot.plans.broadcast import broadcast_within
-
 
 def distinct_keys(df: DataFrame, cols: Sequence[str], drop_null: bool = True) -> DataFrame:
     """AGG-1: distinct key tuples."""
@@ -33,20 +32,11 @@ def store_counts(inventory: DataFrame) -> DataFrame:
     return inventory.groupBy("input_source_store").agg(F.count_distinct("store").alias("num_of_store"))
 
 
-# A warehouse count table beyond this many rows is not broadcast.
-STORE_COUNT_MAX_ROWS = 1_000_000
-
-
-def with_store_count(inventory: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+def with_store_count(inventory: DataFrame, counts: DataFrame) -> DataFrame:
     """AGG-2 joined back (JN-7).
 
-    The count table has one row per warehouse.  Warehouses are few, so a
-    shuffle join on them would send all on-hand rows to a handful of tasks.
-    Given ``counts`` already written out, the planner sees its file size and
-    broadcasts it; otherwise it is computed here and broadcast once its row
-    count is checked."""
-    if counts is None:
-        counts = broadcast_within(store_counts(inventory), STORE_COUNT_MAX_ROWS)
+    The count table has one row per warehouse.  Written out, its size is known
+    to the planner, which broadcasts it while it is small."""
     return inventory.join(counts, "input_source_store", "left")
 
 
@@ -65,12 +55,14 @@ def first_per_key(df: DataFrame, keys: Sequence[str], values: Sequence[str]) ->
 
 
 def distinct_positions(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """AGG-4: collapse rows to one per position; NULL keys drop out."""
+    """AGG-4: collapse rows to one per position; NULL keys drop out.  A view of this
+    single step: the job's ``per_position`` aggregate does it with the sums."""
     return df.select(*cols).dropna(subset=list(cols)).distinct()
 
 
 def drop_daily(df: DataFrame, daily: Sequence[str] = ("cal_date", "forecast")) -> DataFrame:
-    """AGG-5: distinct rows once the daily columns are removed."""
+    """AGG-5: distinct rows once the daily columns are removed.  A view of this
+    single step: the job never makes the daily rows (see ``forecast``)."""
     return df.drop(*daily).distinct()
 
 
@@ -79,20 +71,6 @@ def max_coverage(rows: DataFrame) -> DataFrame:
     return rows.agg(F.max("coverage_date").alias("max_coverage_date"))
 
 
-def parent_max(rec: DataFrame, scope: Sequence[str] = ("parent_sku",)) -> DataFrame:
-    """AGG-11: largest quantity and pack size per parent (or per parent and
-    warehouse when ``scope`` says so)."""
-    return rec.groupBy(*scope).agg(
-        F.max("recomended_order_qty").alias("max_order_qty"),
-        F.max("ppk_qty").alias("max_ppk_qty"),
-    )
-
-
-def single_baby(rec: DataFrame) -> DataFrame:
-    """AGG-12: does the parent have exactly one distinct baby SKU?
-
-    min == max over the non-NULL babies: combinable, with no set to grow.
-    """
-    return rec.groupBy("parent_sku").agg(
-        (F.min("baby_sku") == F.max("baby_sku")).alias("single_baby")
-    )
+def first_day_needed(rows: DataFrame, as_of: dt.date) -> DataFrame:
+    """The first day that falls in any period, as a one-row frame."""
+    return rows.agg(F.least(F.lit(as_of), F.min("received_date")).alias("first_day"))

@@ -54,7 +54,8 @@ def period_sums(joined: DataFrame, as_of: dt.date, quirks: Quirks, keys: tuple[s
 def period_totals(positions: DataFrame, forecast: DataFrame, as_of: dt.date, quirks: Quirks) -> DataFrame:
     """AGG-8: forecast per (parent, baby, store) in each period, summed over
     every listed position row (weights included), with the rows behind each
-    total."""
+    total.  A view of this single step: the job takes the same totals in a window
+    over ``period_sums``."""
     sums = period_sums(attach_forecast(weighted_positions(positions), forecast), as_of, quirks, POSITION_COLUMNS + ("weight",))
     w = F.col("weight")
     return sums.groupBy(*STORE_KEYS).agg(

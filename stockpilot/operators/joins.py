@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 def join_left_wins(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """PRJ-2: join on same-named keys; where both sides have a non-key column
     of the same name, the left copy is kept.  The right copies are dropped
-    before the join, so they are never read."""
+    before the join, so they are never read.  A view of this single step: the job's
+    joins select the columns that they need from either side."""
     keys = set(on)
     right_cols = [c for c in right.columns if c in keys or c not in left.columns]
     return left.join(right.select(*right_cols), list(on), how)
@@ -28,7 +29,9 @@ def full_outer_by_parts(left: DataFrame, right: DataFrame, on: Sequence[str]) ->
     is an inner or anti join, which adaptive execution can split when one key
     holds a large share of the rows; a sort-merge full outer join would keep
     all rows of such a key in one task's memory.  The anti parts only read the
-    other side's distinct keys.
+    other side's distinct keys.  A view of this single step: in the job every
+    catalog row that is read matches, so ``request.expand_request`` needs the inner
+    part and one anti join only.
     """
     keys = list(on)
     cols = keys + [c for c in left.columns if c not in keys] + [c for c in right.columns if c not in keys and c not in left.columns]
@@ -63,5 +66,6 @@ def without(df: DataFrame, other: DataFrame, key: str, other_key: str | None = N
 
 
 def only(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """JN-9: rows of ``df`` whose key is in ``keys``."""
+    """JN-9: rows of ``df`` whose key is in ``keys``.  A view of this single step: the
+    job's zero-fill test is the anti join ``without``."""
     return df.join(keys.select(key), key, "left_semi")

@@ -206,13 +206,15 @@ def positions(per_pos: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
 
 def attach_orders(onhand: DataFrame, orders: DataFrame, location: str) -> DataFrame:
     """JN-3: on-hand rows left-joined to raw order rows on
-    (parent_sku = sku, location); one row per matching order."""
+    (parent_sku = sku, location); one row per matching order.  A view of this single
+    step: the job joins orders already reduced by ``order_buckets``."""
     return onhand.join(orders.withColumnRenamed("sku", "parent_sku"), ["parent_sku", location], "left")
 
 
 def lookup_attributes(df: DataFrame, expanded: DataFrame) -> DataFrame:
     """JN-2: fill ``item_id``, ``style`` and ``color`` from the expanded
-    request by ``parent_sku`` (NULL when not requested); ``sku = parent_sku``."""
+    request by ``parent_sku`` (NULL when not requested); ``sku = parent_sku``.  A view
+    of this single step: the job takes these columns in ``with_sku_attributes``."""
     attrs = expanded.where(F.col("sku").isNotNull()).select(
         F.col("sku").alias("parent_sku"), "item_id", "style", "color"
     )

@@ -14,7 +14,8 @@ def shape(
     rename: Mapping[str, str] | None = None,
     drop: Sequence[str] | None = None,
 ) -> DataFrame:
-    """PRJ-1: drop, then select, then rename columns."""
+    """PRJ-1: drop, then select, then rename columns.  A view of this single step:
+    the job selects its columns where it reads them."""
     out = df.drop(*drop) if drop else df
     if select:
         out = out.select(*select)

@@ -43,29 +43,43 @@ def _not_null(cols: str, alias: str = "") -> str:
     return " AND ".join(f"{pre}{c.strip()} IS NOT NULL" for c in cols.split(","))
 
 
-def _orders_view(linenumbers: str, location: str) -> str:
+def _order_feed(odd: int, location: str) -> str:
     def shifted(day: str) -> str:
         return f"{AS_OF} + CAST(date_diff('day', {EPOCH}, {day}) % 120 - 30 AS INTEGER)"
 
     return f"""
-    SELECT DISTINCT l_partkey AS sku, CAST({location} AS INTEGER) AS store,
+    SELECT l_partkey AS sku, CAST({location} AS INTEGER) AS store,
            CAST(trunc(l_quantity) AS INTEGER) AS ord_units,
            CASE WHEN l_linestatus = 'F' THEN CAST(trunc(l_quantity / 2) AS INTEGER) ELSE 0 END AS rcvd_units,
            {shifted('order_day')} AS first_ship_date,
            CASE WHEN l_returnflag = 'N' THEN NULL ELSE {shifted('ship_day')} END AS transit_date,
            CASE l_returnflag WHEN 'A' THEN 'Y' WHEN 'R' THEN '' WHEN 'N' THEN 'N' END AS promo_fl
-    FROM order_lines WHERE l_linenumber IN ({linenumbers})"""
+    FROM (SELECT * FROM order_lines UNION ALL SELECT * FROM order_lines WHERE l_partkey % 40 = 0)
+    WHERE l_linenumber % 2 = {odd}"""
 
 
-FIXTURE_TABLES = ("request", "catalog", "inventory", "order_lines", "warehouse_orders", "store_orders", "forecast")
+FIXTURE_TABLES = (
+    "request", "catalog", "inventory", "order_lines", "warehouse_feed", "store_feed", "warehouse_orders", "store_orders", "forecast",
+)
 
 
 def ctes(
-    q: Quirks | None = None, request_id: str = REQUEST_ID, as_of: str | None = None, given_tables: bool = False
+    q: Quirks | None = None,
+    request_id: str = REQUEST_ID,
+    as_of: str | None = None,
+    given_tables: bool = False,
+    fractional: bool = False,
+    text_keys: bool = False,
 ) -> list[tuple[str, str]]:
     """The CTE chain.  With ``given_tables`` the six inputs are expected as
-    tables of those names instead of being derived from the TPC-H tables."""
+    tables of those names instead of being derived from the TPC-H tables; with
+    ``fractional`` their quantities are doubles.  ``text_keys`` turns the SKUs
+    of the fixture tables into zero-padded text."""
     q = q or Quirks()
+
+    def as_quantity(total: str) -> str:
+        return total if fractional else f"CAST({total} AS BIGINT)"
+
     run_day = f"DATE '{as_of}'" if as_of else AS_OF
     store_window = "calculated_date + lt_days <= coverage_date" if q.store_extra_lead else "calculated_date <= coverage_date"
     second_lower = ">=" if q.include_received_day else ">"
@@ -74,11 +88,11 @@ def ctes(
     pack_on = " AND ".join(f"s.{k} = r.{k}" for k in pack_keys)
     zero_copies = "CAST(1 AS BIGINT)" if q.dedupe_zero_fill else "count(*)"
 
-    def zero_filter(alias: str, pos_cte: str, pos_cols: str) -> str:
+    def zero_filter(alias: str, pos_cte: str, window_cte: str, pos_cols: str) -> str:
         if q.zero_fill_grain == "sku":
             return f"NOT EXISTS (SELECT 1 FROM {pos_cte} w WHERE w.parent_sku = {alias}.parent_sku)"
         cond = " AND ".join(f"w.{c.strip()} IS NOT DISTINCT FROM {alias}.{c.strip()}" for c in pos_cols.split(","))
-        return f"NOT EXISTS (SELECT 1 FROM {pos_cte} w WHERE {cond})"
+        return f"NOT EXISTS (SELECT 1 FROM {window_cte} w WHERE {cond})"
 
     chain = [
         # ---- fixture tables -------------------------------------------------
@@ -106,10 +120,11 @@ def ctes(
     SELECT l_partkey, l_linenumber, l_quantity, l_returnflag, l_linestatus,
            CAST(l_shipdate AS DATE) AS ship_day, CAST(o_orderdate AS DATE) AS order_day, n_nationkey, n_regionkey
     FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
-    WHERE l_linenumber IN (1, 2, 3)"""),
-        ("warehouse_orders", _orders_view("2", "n_regionkey")),
-        ("store_orders", _orders_view("1, 3", "n_nationkey")),
+    JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey"""),
+        ("warehouse_feed", _order_feed(0, "n_regionkey")),
+        ("store_feed", _order_feed(1, "n_nationkey")),
+        ("warehouse_orders", "SELECT DISTINCT * FROM warehouse_feed"),
+        ("store_orders", "SELECT DISTINCT * FROM store_feed"),
         ("forecast", f"""
     SELECT sku, store, {AS_OF} + CAST(7 * k AS INTEGER) AS cal_date,
            CAST((sku + store * 3 + k) % 9 AS DOUBLE) * 2.5 AS forecast
@@ -170,7 +185,7 @@ def ctes(
         ("wh_zero", f"""
     SELECT {WH_POS}, CAST(0 AS BIGINT) AS first_period_short_term_oo, CAST(0 AS BIGINT) AS second_period_short_term_oo,
            {zero_copies} AS copies
-    FROM whx_d d WHERE {zero_filter('d', 'wh_in', WH_POS)}
+    FROM whx_d d WHERE {zero_filter('d', 'wh_in', 'whx_in', WH_POS)}
     GROUP BY {WH_POS}"""),
         ("warehouse_position", "SELECT * FROM wh_in UNION ALL SELECT * FROM wh_zero"),
         # ---- store positions ------------------------------------------------
@@ -203,14 +218,16 @@ def ctes(
         ("st_zero", f"""
     SELECT {ST_POS}, CAST(0 AS BIGINT) AS first_period_store_oo, CAST(0 AS BIGINT) AS second_period_store_oo,
            {zero_copies} AS copies
-    FROM stx_d d WHERE {zero_filter('d', 'st_in', ST_POS)}
+    FROM stx_d d WHERE {zero_filter('d', 'st_in', 'stx_in', ST_POS)}
     GROUP BY {ST_POS}"""),
         ("store_position", "SELECT * FROM st_in UNION ALL SELECT * FROM st_zero"),
         # ---- forecast ---------------------------------------------------------
         ("max_cov", "SELECT max(coverage_date) AS max_coverage_date FROM stx_d"),
+        ("first_day_needed", f"SELECT least({run_day}, min(received_date)) AS first_day FROM stx_d"),
         ("fc", """
     SELECT * FROM forecast
-    WHERE sku IN (SELECT baby_sku FROM inv) AND cal_date <= (SELECT max_coverage_date FROM max_cov)"""),
+    WHERE sku IN (SELECT baby_sku FROM inv) AND cal_date <= (SELECT max_coverage_date FROM max_cov)
+      AND cal_date >= (SELECT first_day FROM first_day_needed)"""),
         ("sp_rows", """
     SELECT p.*, f.cal_date, f.forecast FROM store_position p
     LEFT JOIN fc f ON f.sku = p.baby_sku AND f.store = p.store"""),
@@ -250,13 +267,13 @@ def ctes(
       ON n.parent_sku = w.parent_sku AND n.baby_sku = w.baby_sku AND n.input_source_store = w.input_source_store"""),
         ("projection", f"""
     SELECT parent_sku, baby_sku, ppk_qty, input_source_store, num_of_store, coverage_date,
-           CAST(sum(second_period_short_term_oo * copies) AS BIGINT) AS total_second_period_short_term_oo,
+           {as_quantity('sum(second_period_short_term_oo * copies)')} AS total_second_period_short_term_oo,
            sum(projected_warehouse_oh * copies) AS total_projected_warehouse_oh
     FROM proj_rows WHERE {_not_null('parent_sku, baby_sku, ppk_qty, input_source_store, num_of_store, coverage_date')}
     GROUP BY parent_sku, baby_sku, ppk_qty, input_source_store, num_of_store, coverage_date"""),
-        ("wfc", """
+        ("wfc", f"""
     SELECT parent_sku, baby_sku, input_source_store,
-           CAST(sum(second_period_store_oo) AS BIGINT) AS second_period_store_oo,
+           {as_quantity('sum(second_period_store_oo)')} AS second_period_store_oo,
            sum(second_period_total_forecast) AS second_period_total_forecast
     FROM spf GROUP BY parent_sku, baby_sku, input_source_store"""),
         ("recommended", """
@@ -282,6 +299,17 @@ def ctes(
     ]
     if given_tables:
         chain = [(n, b) for n, b in chain if n not in FIXTURE_TABLES]
+    if text_keys:
+        keys = {"catalog": ["sku"], "inventory": ["parent_sku", "baby_sku"], "forecast": ["sku"],
+                "warehouse_orders": ["sku"], "store_orders": ["sku"]}
+        renamed = [(f"{n}_by_number" if n in keys else n, b) for n, b in chain]
+        chain = []
+        for (n, b), (old, _) in zip(renamed, ctes(q, request_id, as_of)):
+            # A fixture table reads the numbered form of another one.
+            chain.append((n, re.sub(r"\binventory\b", "inventory_by_number", b) if old == "forecast" else b))
+            if old in keys:
+                text = ", ".join(f"lpad(CAST({k} AS VARCHAR), 12, '0') AS {k}" for k in keys[old])
+                chain.append((old, f"SELECT * REPLACE ({text}) FROM {n}"))
     return chain
 
 
@@ -289,10 +317,16 @@ _WORD = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 
 
 def with_ctes(
-    select: str, q: Quirks | None = None, request_id: str = REQUEST_ID, as_of: str | None = None, given_tables: bool = False
+    select: str,
+    q: Quirks | None = None,
+    request_id: str = REQUEST_ID,
+    as_of: str | None = None,
+    given_tables: bool = False,
+    fractional: bool = False,
+    text_keys: bool = False,
 ) -> str:
     """``select`` preceded by the CTEs it needs, directly or through others."""
-    defs = ctes(q, request_id, as_of, given_tables)
+    defs = ctes(q, request_id, as_of, given_tables, fractional, text_keys)
     names = {n for n, _ in defs}
     needed: set[str] = set()
     todo = [w for w in _WORD.findall(select) if w in names]

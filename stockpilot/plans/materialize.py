@@ -14,11 +14,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from stockpilot.session import scratch_path
+from stockpilot.sources.extracts import stage
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    # The declared schema keeps an empty result readable.
-    return spark.read.schema(df.schema).parquet(path)
+def materialize(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
+    """``written`` collects the path, for whoever removes it when the run ends."""
+    path = scratch_path(df.sparkSession, name)
+    if written is not None:
+        written.append(path)
+    return stage(df, path)

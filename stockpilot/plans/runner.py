@@ -20,6 +20,9 @@ from stockpilot.sources import sinks
 
 log = logging.getLogger("stockpilot")
 
+# Repeated request rows named in the log.
+SHOWN = 5
+
 
 @dataclass(frozen=True)
 class JobResult:
@@ -31,14 +34,17 @@ class JobResult:
 
 
 def check_request(request: DataFrame) -> tuple[bool, int]:
-    """DQ-1 and DQ-2 on the request: both only warn, as in the reference."""
+    """DQ-1 and DQ-2 on the request: both only warn, as in the reference.  The
+    repeated rows themselves are ``quality.duplicate_rows(request)``; a few are
+    logged."""
     nulls = quality.has_nulls(request)
     if nulls:
         log.warning("the request has missing values; review it and make sure every field is filled")
     summary = quality.duplicate_summary(request).first()
     extra = int(summary["extra_rows"]) if summary else 0
     if extra:
-        log.warning("the request has %d repeated rows; they are kept", extra)
+        some = [tuple(r) for r in quality.duplicate_rows(request).limit(SHOWN).collect()]
+        log.warning("the request has %d repeated rows, among them %s", extra, some)
     return nulls, extra
 
 
@@ -53,8 +59,10 @@ def run_job(
 ) -> JobResult:
     """Run the job and write both results.
 
-    Raises ``quality.DuplicateRowsError`` before anything is written when an
-    order extract has identical rows.  The two targets are separate (the
+    Raises before anything is written: ``quality.DuplicateRowsError`` when an
+    order extract has identical rows, ``request.RepeatedRequestError`` when the
+    request asks for a SKU more than once.  The staged folders are removed when the
+    run ends well and kept when it fails.  The two targets are separate (the
     reference wrote both through one staging path).  With ``by_request`` each
     run id gets its own partition of the targets and a re-run replaces it.
     """
@@ -64,5 +72,6 @@ def run_job(
     quality.assert_no_duplicates(stages.store_orders, "store order rows")
     sinks.write_recommendations(stages.recommendations, recommendations_target, mode, single_file, by_request)
     sinks.write_missing(stages.missing_skus, missing_target, mode, single_file, by_request)
+    stages.close()
     log.info("request %s written to %s and %s", cfg.request_id, recommendations_target, missing_target)
     return JobResult(cfg.request_id, recommendations_target, missing_target, nulls, extra)

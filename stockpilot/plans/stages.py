@@ -17,16 +17,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockpilot.config import RunConfig
-from stockpilot.operators import aggregates, forecast, packs, positions, replenishment, request
+from stockpilot.operators import aggregates, forecast, packs, positions, projection, replenishment, request
 from stockpilot.plans.materialize import materialize
+from stockpilot.session import discard
 from stockpilot.sources import extracts
 
 # Stages written to the shared folder by default.
 # The expanded request is small (one buyer's styles); written out, its size is
 # visible to the planner, so the semi joins that cut the large order and
 # on-hand tables down to the requested SKUs are broadcast joins and those
-# tables are filtered where they are read, not shuffled.
-STAGED = frozenset({"expanded", "store-counts", "warehouse-per-position", "store-per-position", "store-forecast", "recommended"})
+# tables are filtered where they are read, not shuffled.  The three extracts are
+# what is left of the large tables: each of these is read once, and the checks
+# and both branches read the extract.  Where the request is too large to be
+# broadcast, nothing but the write follows the extract's semi join, so adaptive
+# execution may split a SKU that holds a large share of the orders; reduced by
+# ``order_buckets`` it then leaves each task as a row per location and day.
+STAGED = frozenset({
+    "matched", "expanded", "warehouse-orders", "store-orders", "inventory", "store-counts", "warehouse-per-position",
+    "store-per-position", "store-forecast", "recommended",
+})
 
 
 @dataclass(frozen=True)
@@ -55,14 +64,23 @@ class Stages:
         if materialize is True:
             materialize = STAGED
         self.staged = frozenset(materialize or ())
+        self.written: list[str] = []
 
     def _keep(self, df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, name) if name in self.staged else df
+        return materialize(df, name, self.written) if name in self.staged else df
+
+    def close(self) -> None:
+        """Remove the staged folders; no stage may be read any more."""
+        while self.written:
+            discard(self.inputs.request.sparkSession, self.written.pop())
 
     # -- extracts ----------------------------------------------------------
     @cached_property
     def expanded(self) -> DataFrame:
-        return self._keep(request.expand_request(self.inputs.catalog, self.inputs.request), "expanded")
+        matched = self._keep(request.matched_skus(self.inputs.catalog, self.inputs.request), "matched")
+        expanded = self._keep(request.expand_request(self.inputs.catalog, self.inputs.request, matched), "expanded")
+        request.assert_no_repeats(expanded)
+        return expanded
 
     @cached_property
     def skus(self) -> DataFrame:
@@ -70,22 +88,20 @@ class Stages:
 
     @cached_property
     def warehouse_orders(self) -> DataFrame:
-        return extracts.extract_warehouse_orders(self.inputs.warehouse_orders, self.skus)
+        return self._keep(extracts.extract_warehouse_orders(self.inputs.warehouse_orders, self.skus), "warehouse-orders")
 
     @cached_property
     def store_orders(self) -> DataFrame:
-        return extracts.extract_store_orders(self.inputs.store_orders, self.skus)
+        return self._keep(extracts.extract_store_orders(self.inputs.store_orders, self.skus), "store-orders")
 
     @cached_property
     def inventory_extract(self) -> DataFrame:
-        return extracts.extract_inventory(self.inputs.inventory, self.skus)
+        return self._keep(extracts.extract_inventory(self.inputs.inventory, self.skus), "inventory")
 
     @cached_property
     def inventory(self) -> DataFrame:
         extract = self.inventory_extract
-        if "store-counts" in self.staged:
-            return aggregates.with_store_count(extract, self._keep(aggregates.store_counts(extract), "store-counts"))
-        return aggregates.with_store_count(extract)
+        return aggregates.with_store_count(extract, self._keep(aggregates.store_counts(extract), "store-counts"))
 
     # -- positions ---------------------------------------------------------
     @cached_property
@@ -128,8 +144,9 @@ class Stages:
         # Every on-hand row of a requested SKU is behind one store position,
         # so the positions hold exactly the on-hand extract's baby SKUs; read
         # from the written positions, the key set has a known size.
-        babies = self.store_per_position.select("baby_sku").where(F.col("baby_sku").isNotNull())
-        return extracts.extract_forecast(self.inputs.forecast, babies, self.max_coverage)
+        babies = aggregates.distinct_keys(self.store_per_position, ["baby_sku"])
+        first_day = aggregates.first_day_needed(self.store_per_position, self.cfg.as_of)
+        return extracts.extract_forecast(self.inputs.forecast, babies, first_day, self.max_coverage)
 
     @cached_property
     def store_forecast(self) -> DataFrame:
@@ -157,7 +174,7 @@ class Stages:
         stages both branches read are built first, in this thread."""
         if not self.staged:
             return
-        _ = self.inventory, self.expanded
+        _ = self.inventory, self.warehouse_orders, self.store_orders
         with ThreadPoolExecutor(max_workers=2) as pool:
             branches = [pool.submit(lambda: self.warehouse_per_position), pool.submit(lambda: self.store_forecast)]
             for b in branches:
@@ -176,15 +193,15 @@ class Stages:
     # -- outputs -----------------------------------------------------------
     @cached_property
     def recommendations(self) -> DataFrame:
-        return self.packed.select(
+        columns = self.packed.select(
             "input_source_store",
             "parent_sku",
             "baby_sku",
             "recomended_order_units",
             "num_of_store",
             F.col("coverage_date").alias("next_ship_date"),
-            F.lit(self.cfg.request_id).alias("request_id"),
         )
+        return projection.with_request_id(columns, self.cfg.request_id)
 
     @cached_property
     def missing_skus(self) -> DataFrame:

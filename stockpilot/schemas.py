@@ -1,13 +1,14 @@
 """Declared schemas of the job's inputs and outputs.
 
-The reference reads whatever its extract queries return; here every table has a
-fixed schema, so an input that drifts fails at read time instead of producing
-silently different numbers.
+Columns are checked by name.  Dates, flags, lead times, unit counts and forecasts
+have fixed types.  Keys (SKUs, stores, items) keep the type that they come with,
+text or number, which has to agree across the tables; quantities stay whole
+numbers or doubles as they come.  NaN in a double counts as missing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,12 +90,43 @@ MISSING_SKUS = _schema(
 )
 
 
+KEYS = ("sku", "parent_sku", "baby_sku", "item_id", "store", "input_source_store")
+QUANTITIES = ("parent_oh", "baby_oh", "store_oh", "ppk_qty", "sks_ord_level")
+WHOLE = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def _column(df: DataFrame, field: T.StructField) -> Column:
+    c, given = F.col(field.name), df.schema[field.name].dataType
+    if isinstance(given, (T.DoubleType, T.FloatType)):
+        c = F.nanvl(c, F.lit(None).cast(given))
+    if field.name in KEYS:
+        return c
+    if field.name in QUANTITIES:
+        return c.cast("bigint" if isinstance(given, WHOLE) else "double")
+    return c.cast(field.dataType)
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s columns in order, cast to the declared types.
+    """Select ``schema``'s columns in order, with their declared types.
 
-    Missing columns are an error; extra columns are dropped.
+    Missing columns are an error; extra columns are dropped; keys keep their type.
     """
     missing = [f.name for f in schema.fields if f.name not in df.columns]
     if missing:
         raise ValueError(f"missing columns {missing}; have {df.columns}")
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return df.select(*[_column(df, f).alias(f.name) for f in schema.fields])
+
+
+def check_keys(**tables: DataFrame) -> None:
+    """Raise when a key has different types in different tables: joining them
+    would need a cast that may change keys ('00123' and 123)."""
+    places = {
+        "sku": (("catalog", "sku"), ("inventory", "parent_sku"), ("inventory", "baby_sku"), ("warehouse_orders", "sku"),
+                ("store_orders", "sku"), ("forecast", "sku")),
+        "store": (("inventory", "store"), ("store_orders", "store"), ("forecast", "store")),
+        "warehouse": (("inventory", "input_source_store"), ("warehouse_orders", "store")),
+    }
+    for key, where in places.items():
+        types = {f"{t}.{c}": tables[t].schema[c].dataType.simpleString() for t, c in where}
+        if len(set(types.values())) > 1:
+            raise TypeError(f"the {key} key has different types: {types}")

@@ -26,21 +26,18 @@ PLAN_CONF = {
 }
 
 
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
 def cluster_conf(largest_shuffle_bytes: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run whose largest shuffle moves
     ``largest_shuffle_bytes`` (for this job the projected order lines of the
     orders join, or the date-bounded forecast, whichever is larger).
 
     The initial shuffle partition count puts about ``partition_bytes`` in a
-    partition, between 200 and 100,000 partitions (past the cap partitions
-    grow instead); AQE then coalesces small partitions and splits skewed ones.
+    partition, 200 partitions at least; AQE then coalesces small partitions and
+    splits skewed ones.
     Pass these to ``SparkSession.builder.config`` or ``spark-submit --conf``;
     ``spark.checkpoint.dir`` must be set as well.
     """
-    partitions = min(MAX_SHUFFLE_PARTITIONS, max(200, -(-largest_shuffle_bytes // partition_bytes)))
+    partitions = max(200, -(-largest_shuffle_bytes // partition_bytes))
     return {
         **PLAN_CONF,
         "spark.sql.shuffle.partitions": str(partitions),
@@ -91,3 +88,9 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path under the shared folder."""
     return f"{shared_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a path that ``scratch_path`` gave and that is no longer read."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)

@@ -10,25 +10,37 @@ subquery instead.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpilot import schemas
 
 
+# The texts that the reference's CSV reader takes as missing.
+MISSING_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN",
+    "None", "n/a", "nan", "null",
+)
+
+
 def read_request(spark: SparkSession, path: str) -> DataFrame:
     """SRC-1: the buyer's CSV, every column read as text and picked by header
-    name; ``coverage_day`` becomes an int (a bad value is an error) and
+    name; a quote inside a quoted value is doubled, usual spellings of a missing
+    value are NULL, ``coverage_day`` becomes an int (a bad value is an error) and
     ``first_ship_date`` is renamed ``provided_date``."""
-    raw = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    raw = spark.read.option("header", True).option("inferSchema", False).option("escape", '"').option("multiLine", True).csv(path)
     missing = [c for c in schemas.REQUEST_CSV.fieldNames() if c not in raw.columns]
     if missing:
         raise ValueError(f"request file lacks columns {missing}")
+
+    def value(c: str) -> Column:
+        return F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c))
+
     return raw.select(
-        "style",
-        "color",
-        F.col("first_ship_date").alias("provided_date"),
-        F.col("coverage_day").cast("int").alias("coverage_day"),
+        value("style").alias("style"),
+        value("color").alias("color"),
+        value("first_ship_date").alias("provided_date"),
+        value("coverage_day").cast("int").alias("coverage_day"),
     )
 
 
@@ -43,13 +55,16 @@ def write_request_csv(request: DataFrame, path: str) -> str:
         )
         .write.mode("overwrite")
         .option("header", True)
+        .option("escape", '"')
         .csv(path)
     )
     return path
 
 
 def lookup_skus(catalog: DataFrame, request: DataFrame) -> DataFrame:
-    """SRC-2: catalog rows whose (style, color) is one of the requested pairs."""
+    """SRC-2: catalog rows whose (style, color) is one of the requested pairs.  A
+    view of this single step: the job takes it together with the request's columns
+    in ``request.matched_skus``."""
     return catalog.join(request.select("style", "color"), ["style", "color"], "left_semi")
 
 
@@ -77,18 +92,21 @@ def extract_inventory(inventory: DataFrame, skus: DataFrame) -> DataFrame:
     return inventory.join(keys, "parent_sku", "left_semi").drop("lead_time")
 
 
-def extract_forecast(forecast: DataFrame, babies: DataFrame, max_coverage: DataFrame) -> DataFrame:
-    """SRC-6: forecast of the stocked baby SKUs up to the largest coverage date.
+def extract_forecast(forecast: DataFrame, babies: DataFrame, first_day: DataFrame, max_coverage: DataFrame) -> DataFrame:
+    """SRC-6: forecast of the stocked baby SKUs, from the first day that any
+    period can count to the largest coverage date.
 
-    ``max_coverage`` is a one-row, one-column frame; it enters as a scalar
-    subquery, evaluated once and pushed to the scan as a runtime filter.
+    Both bounds are one-row, one-column frames; they enter as scalar subqueries,
+    evaluated once and pushed to the scan as runtime filters.
     """
     keys = babies.select(F.col("baby_sku").alias("sku"))
-    return forecast.join(keys, "sku", "left_semi").where(F.col("cal_date") <= max_coverage.scalar())
+    day = F.col("cal_date")
+    return forecast.join(keys, "sku", "left_semi").where((day >= first_day.scalar()) & (day <= max_coverage.scalar()))
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """SRC-7: materialise to parquet (overwrite) and read back.  Optional in
-    Spark: it cuts lineage at a point that must survive executor loss."""
+    """SRC-7: materialise to parquet (overwrite) and read back: it cuts lineage at a
+    point that must survive executor loss."""
     df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    # The declared schema keeps an empty result readable.
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stockpilot import schemas
-from stockpilot.plans.broadcast import broadcast_within
 
 # Fixed values of the fixture definition.
 AS_OF = dt.date(1998, 6, 1)
@@ -24,9 +23,9 @@ UNMATCHED_REQUEST = ("no such style", "Brand#0", "1998-06-15", 28)
 FORECAST_WEEKS = 18
 PROMO_TYPE = "PROMO"
 REQUEST_ID = "fixture_run"
-# TPC-H fixes nation at 25 rows; the check allows far more before giving up
-# the broadcast.
-NATION_MAX_ROWS = 10_000
+# Order lines of every RESENT-th part appear twice in the order feeds, as an
+# extract that overlaps the one before would hold them.
+RESENT = 40
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +63,8 @@ def catalog_view(part: DataFrame) -> DataFrame:
 def inventory_view(part: DataFrame, nation: DataFrame) -> DataFrame:
     """part x nation x j, kept where (partkey + nationkey) % 4 = 0.
 
-    The modulus condition is an equi-join on the residue class, with nation
-    broadcast after a row-count check, so no part row meets every nation.
+    The modulus condition is an equi-join on the residue class, so no part row
+    meets every nation; nation is read from a file whose size the planner sees.
     """
     p = (
         part.where(F.col("p_partkey") % 10 != 0)
@@ -77,10 +76,7 @@ def inventory_view(part: DataFrame, nation: DataFrame) -> DataFrame:
         )
         .withColumn("j", F.explode(F.when(F.col("promo"), F.array(F.lit(1), F.lit(2), F.lit(3))).otherwise(F.array(F.lit(1)))))
     )
-    n = broadcast_within(
-        nation.select("n_nationkey", "n_regionkey", (F.col("n_nationkey") % 4).cast("int").alias("residue")),
-        NATION_MAX_ROWS,
-    )
+    n = nation.select("n_nationkey", "n_regionkey", (F.col("n_nationkey") % 4).cast("int").alias("residue"))
     k, r, s, j = F.col("p_partkey"), F.col("n_regionkey"), F.col("n_nationkey"), F.col("j")
     promo = F.col("promo")
     rows = p.join(n, "residue").select(
@@ -99,17 +95,13 @@ def inventory_view(part: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 def order_lines(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame, nation: DataFrame) -> DataFrame:
-    """Line items 1-3 with their order date and the supplier's nation/region.
-
-    Both order views are cut from this one frame, so the large
-    lineitem-orders shuffle is planned once and reused.
-    """
-    li = lineitem.where(F.col("l_linenumber").isin(1, 2, 3)).select(
+    """Line items with their order date and the supplier's nation/region."""
+    li = lineitem.select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus", "l_shipdate"
     )
     o = orders.select("o_orderkey", "o_orderdate")
     s = supplier.select("s_suppkey", "s_nationkey")
-    n = broadcast_within(nation.select("n_nationkey", "n_regionkey"), NATION_MAX_ROWS)
+    n = nation.select("n_nationkey", "n_regionkey")
     return (
         li.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(s, F.col("l_suppkey") == F.col("s_suppkey"))
@@ -122,9 +114,10 @@ def _shifted(day_col: str) -> F.Column:
     return F.date_add(F.lit(AS_OF), days % 120 - 30)
 
 
-def orders_view(lines: DataFrame, linenumbers: tuple[int, ...], location_col: str) -> DataFrame:
+def order_feed(lines: DataFrame, odd: int, location_col: str) -> DataFrame:
+    """Even line numbers are warehouse orders, odd ones store orders."""
     rf = F.col("l_returnflag")
-    rows = lines.where(F.col("l_linenumber").isin(*linenumbers)).select(
+    rows = lines.where(F.col("l_linenumber") % 2 == odd).select(
         F.col("l_partkey").alias("sku"),
         F.col(location_col).alias("store"),
         F.col("l_quantity").cast("int").alias("ord_units"),
@@ -133,15 +126,8 @@ def orders_view(lines: DataFrame, linenumbers: tuple[int, ...], location_col: st
         F.when(rf == "N", F.lit(None).cast("date")).otherwise(_shifted("l_shipdate")).alias("transit_date"),
         F.when(rf == "A", F.lit("Y")).when(rf == "R", F.lit("")).when(rf == "N", F.lit("N")).alias("promo_fl"),
     )
-    return schemas.conform(rows, schemas.ORDERS).distinct()
-
-
-def warehouse_orders_view(lines: DataFrame) -> DataFrame:
-    return orders_view(lines, (2,), "n_regionkey")
-
-
-def store_orders_view(lines: DataFrame) -> DataFrame:
-    return orders_view(lines, (1, 3), "n_nationkey")
+    once = schemas.conform(rows, schemas.ORDERS)
+    return once.unionByName(once.where(F.col("sku") % RESENT == 0))
 
 
 def forecast_view(inventory: DataFrame) -> DataFrame:
@@ -170,9 +156,41 @@ class FixtureTables:
     request: DataFrame
     catalog: DataFrame
     inventory: DataFrame
+    # The flows read the feeds without their repeated rows.
     warehouse_orders: DataFrame
     store_orders: DataFrame
     forecast: DataFrame
+    warehouse_feed: DataFrame
+    store_feed: DataFrame
+
+
+def slashed_request(request: DataFrame) -> DataFrame:
+    """The request as a buyer's spreadsheet may write it."""
+    day = F.to_date("provided_date")
+    return request.select(
+        F.concat("style", F.lit(' 5" "POT"')).alias("style"),
+        F.when(F.col("coverage_day") == 28, F.lit("N/A")).otherwise(F.col("color")).alias("color"),
+        F.date_format(day, "M/d/yyyy").alias("provided_date"),
+        F.when(F.col("coverage_day") == 35, F.lit("NaN")).otherwise(F.col("coverage_day").cast("string")).alias("coverage_day"),
+    )
+
+
+def text_key_tables(ft: FixtureTables) -> FixtureTables:
+    """The same tables with SKUs as zero-padded text."""
+
+    def text(df: DataFrame, *keys: str) -> DataFrame:
+        return df.withColumns({k: F.lpad(F.col(k).cast("string"), 12, "0") for k in keys})
+
+    return FixtureTables(
+        ft.request,
+        text(ft.catalog, "sku"),
+        text(ft.inventory, "parent_sku", "baby_sku"),
+        text(ft.warehouse_orders, "sku"),
+        text(ft.store_orders, "sku"),
+        text(ft.forecast, "sku"),
+        text(ft.warehouse_feed, "sku"),
+        text(ft.store_feed, "sku"),
+    )
 
 
 def fixture_tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
@@ -182,11 +200,14 @@ def fixture_tables(spark: SparkSession, sf_dir: str) -> FixtureTables:
     part, nation = t("part"), t("nation")
     lines = order_lines(t("lineitem"), t("orders"), t("supplier"), nation)
     inventory = inventory_view(part, nation)
+    warehouse_feed, store_feed = order_feed(lines, 0, "n_regionkey"), order_feed(lines, 1, "n_nationkey")
     return FixtureTables(
         request=request_view(spark, part),
         catalog=catalog_view(part),
         inventory=inventory,
-        warehouse_orders=warehouse_orders_view(lines),
-        store_orders=store_orders_view(lines),
+        warehouse_orders=warehouse_feed.distinct(),
+        store_orders=store_feed.distinct(),
         forecast=forecast_view(inventory),
+        warehouse_feed=warehouse_feed,
+        store_feed=store_feed,
     )

@@ -12,25 +12,43 @@ from pyspark.sql import DataFrame
 from stockpilot import schemas
 
 
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+
+
 def _write(df: DataFrame, target: str, mode: str, single_file: bool, by_request: bool) -> str:
-    out = df.coalesce(1) if single_file else df
-    writer = out.write.mode(mode)
+    # Only the write runs in one task, not the stage before it.
+    out = df.repartition(1) if single_file else df
     if by_request:
-        # One folder per run id, and an overwrite replaces only the folders
-        # being written: a re-run of the same request replaces its rows.
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id")
-    if "/" in target:
-        writer.parquet(target)
+        _replace_request(out, target)
+    elif "/" in target:
+        out.write.mode(mode).parquet(target)
     else:
-        writer.saveAsTable(target)
+        out.write.mode(mode).saveAsTable(target)
     return target
 
 
+def _replace_request(df: DataFrame, target: str) -> None:
+    """One partition per run id; only the partitions being written are replaced,
+    so a re-run of a request replaces its rows and no others."""
+    spark = df.sparkSession
+    if "/" in target:
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("request_id").parquet(target)
+    elif not spark.catalog.tableExists(target):
+        df.write.partitionBy("request_id").saveAsTable(target)
+    else:
+        before = spark.conf.get(OVERWRITE_MODE)
+        spark.conf.set(OVERWRITE_MODE, "dynamic")
+        try:
+            # By position: the partition column is the last one, as in the table.
+            df.select(*spark.table(target).columns).write.mode("overwrite").insertInto(target)
+        finally:
+            spark.conf.set(OVERWRITE_MODE, before)
+
+
 def write_recommendations(
     df: DataFrame, target: str, mode: str = "append", single_file: bool = False, by_request: bool = False
 ) -> str:
-    """SNK-1.  ``single_file`` only suits small results: it funnels the write
-    through one task.  ``by_request`` makes the write idempotent per run id."""
+    """SNK-1.  ``single_file`` only suits small results: one task writes them.  ``by_request`` makes the write idempotent per run id."""
     return _write(schemas.conform(df, schemas.RECOMMENDATIONS), target, mode, single_file, by_request)
 
 

@@ -1,8 +1,9 @@
 """Loading the job's inputs with their declared schemas.
 
 Each source is a parquet folder (a name containing ``/``) or a table name;
-either way the columns are checked and cast to ``stockpilot.schemas``, and a
-``lead_time`` column on the on-hand snapshot is dropped.  For a database
+either way the columns are checked against ``stockpilot.schemas``, keys must
+have one type throughout, and a ``lead_time`` column on the on-hand snapshot is
+dropped.  For a database
 source, read it with ``spark.read.jdbc`` first and pass the frame to
 ``Inputs`` directly.
 """
@@ -29,7 +30,7 @@ def load_inputs(
     store_orders: str,
     forecast: str,
 ) -> Inputs:
-    return Inputs(
+    inputs = Inputs(
         request=schemas.conform(read_request(spark, request_csv), schemas.REQUEST),
         catalog=schemas.conform(read_source(spark, catalog), schemas.CATALOG),
         inventory=schemas.conform(read_source(spark, inventory).drop("lead_time"), schemas.INVENTORY),
@@ -37,3 +38,11 @@ def load_inputs(
         store_orders=schemas.conform(read_source(spark, store_orders), schemas.ORDERS),
         forecast=schemas.conform(read_source(spark, forecast), schemas.FORECAST),
     )
+    schemas.check_keys(
+        catalog=inputs.catalog,
+        inventory=inputs.inventory,
+        warehouse_orders=inputs.warehouse_orders,
+        store_orders=inputs.store_orders,
+        forecast=inputs.forecast,
+    )
+    return inputs

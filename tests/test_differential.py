@@ -2,8 +2,9 @@
 
 Each case has stores under two warehouses, parents with several babies,
 on-hand values that vary within a warehouse, repeated on-hand rows, NULL
-on-hand values and dates, NULL forecasts, zero pack sizes, orders for SKUs
-nobody asked for and a request no catalog entry matches.
+on-hand values, levels, pack sizes and dates, NULL and NaN forecasts, fractional
+quantities, zero pack sizes, orders for SKUs nobody asked for and a request no
+catalog entry matches.
 """
 
 import datetime as dt
@@ -12,6 +13,7 @@ import random
 import duckdb
 import pyarrow as pa
 import pytest
+from pyspark.sql import types as T
 
 from stockpilot import schemas
 from stockpilot.config import Quirks, RunConfig
@@ -40,8 +42,12 @@ def _day(rng, lo, hi):
     return AS_OF + dt.timedelta(days=rng.randint(lo, hi))
 
 
-def make_case(seed):
+def make_case(seed, fractional=False):
     rng = random.Random(seed)
+
+    def part():
+        return rng.choice((0.0, 0.25, 0.5, 0.75)) if fractional else 0
+
     pairs = [(s, c) for s in ("S1", "S2", "S3", "S4") for c in ("RED", "BLUE")]
     skus = list(range(1, 25))
     catalog = [(*rng.choice(pairs), k, k * 10) for k in skus]
@@ -60,7 +66,12 @@ def make_case(seed):
                 for b in babies:
                     parent_oh = None if rng.random() < 0.05 else (p * 7 + wh) % 30 + (rng.randint(0, 3) if rng.random() < 0.2 else 0)
                     baby_oh = (b * 3 + wh) % 25
-                    inventory.append((wh, store, p, b, parent_oh, baby_oh, rng.randint(0, 20), ppk, lead[wh], level))
+                    store_oh = None if rng.random() < 0.05 else rng.randint(0, 20) + part()
+                    own_level = None if rng.random() < 0.04 else level + part()
+                    own_ppk = None if rng.random() < 0.04 else ppk
+                    if baby_oh is not None:
+                        baby_oh += part()
+                    inventory.append((wh, store, p, b, parent_oh, baby_oh, store_oh, own_ppk, lead[wh], own_level))
     inventory += rng.sample(inventory, 3)
 
     def orders(locations, n):
@@ -79,7 +90,7 @@ def make_case(seed):
         for off in range(-5, 70, step):
             if rng.random() < 0.1:
                 continue
-            value = None if rng.random() < 0.03 else rng.randint(0, 16) * 0.5
+            value = None if rng.random() < 0.03 else float("nan") if rng.random() < 0.03 else rng.randint(0, 16) * 0.5
             forecast.append((b, s, AS_OF + dt.timedelta(days=off), value))
     return dict(
         request=request, catalog=catalog, inventory=inventory,
@@ -87,6 +98,7 @@ def make_case(seed):
     )
 
 
+QUANTITIES = [f if f.name not in schemas.QUANTITIES else T.StructField(f.name, T.DoubleType()) for f in schemas.INVENTORY.fields]
 SCHEMAS = dict(
     request=schemas.REQUEST, catalog=schemas.CATALOG, inventory=schemas.INVENTORY,
     warehouse_orders=schemas.ORDERS, store_orders=schemas.ORDERS, forecast=schemas.FORECAST,
@@ -114,15 +126,20 @@ CASES = [
 
 @pytest.mark.parametrize("seed,quirks", CASES)
 def test_random_case_matches_oracle(spark, seed, quirks):
-    case = make_case(seed)
-    inputs = Inputs(**{n: spark.createDataFrame(rows, SCHEMAS[n]) for n, rows in case.items()})
+    fractional = seed % 2 == 0
+    case = make_case(seed, fractional)
+    given = dict(SCHEMAS, inventory=T.StructType(QUANTITIES)) if fractional else SCHEMAS
+    rows_of = {n: [tuple(float(v) if fractional and f.name in schemas.QUANTITIES and v is not None else v for v, f in zip(r, given[n].fields)) for r in rows] for n, rows in case.items()}
+    # As the sources are loaded: NaN becomes NULL.
+    inputs = Inputs(**{n: schemas.conform(spark.createDataFrame(rows, given[n]), SCHEMAS[n]) for n, rows in rows_of.items()})
     st = Stages(inputs, RunConfig(AS_OF, "diff", quirks))
     con = duckdb.connect()
-    for n, rows in case.items():
-        con.register(n, _arrow(rows, SCHEMAS[n]))
+    for n, rows in rows_of.items():
+        con.register(n, _arrow([tuple(None if v != v else v for v in r) for r in rows], given[n]))
     for attr, cte in STAGES.items():
         df = getattr(st, attr)
-        cur = con.execute(oracle.with_ctes(f"SELECT * FROM {cte}", quirks, "diff", AS_OF.isoformat(), given_tables=True))
+        select = oracle.with_ctes(f"SELECT * FROM {cte}", quirks, "diff", AS_OF.isoformat(), given_tables=True, fractional=fractional)
+        cur = con.execute(select)
         expected = cur.fetchall()
         cols = [d[0] for d in cur.description]
         assert diff(df.columns, [tuple(r) for r in df.collect()], cols, expected) is None, attr

@@ -8,8 +8,10 @@ from stockpilot import registry
 from stockpilot.sources.fixtures import fixture_tables
 
 VIEW_ROWS = {
-    SF0001: dict(request=53, catalog=200, inventory=1556, warehouse_orders=833, store_orders=1682, forecast=26005),
-    SF001: dict(request=343, catalog=2000, inventory=14872, warehouse_orders=8583, store_orders=17079, forecast=248846),
+    SF0001: dict(request=53, catalog=200, inventory=1556, warehouse_orders=2501, store_orders=3499, forecast=26005,
+                 warehouse_feed=2577, store_feed=3590),
+    SF001: dict(request=343, catalog=2000, inventory=14872, warehouse_orders=25701, store_orders=34299, forecast=248846,
+                warehouse_feed=26352, store_feed=35174),
 }
 
 
@@ -26,29 +28,29 @@ def test_stage_rows_sf0001(spark):
     assert st.missing_skus.count() == 5
     assert st.missing_skus.where(F.col("sku").isNull()).count() == 1
     assert st.inventory.count() == 460
-    assert st.warehouse_position.agg(F.sum("copies")).first()[0] == 179
-    assert st.store_position.agg(F.sum("copies")).first()[0] == 197
-    assert st.store_forecast.count() == 172
-    assert st.store_need.where("replenishment_order_qty > 0").count() == 148
+    assert st.warehouse_position.agg(F.sum("copies")).first()[0] == 294
+    assert st.store_position.agg(F.sum("copies")).first()[0] == 181
+    assert st.store_forecast.count() == 160
+    assert st.store_need.where("replenishment_order_qty > 0").count() == 107
     rec = st.recommendations
-    assert rec.count() == 179
-    assert rec.where("recomended_order_units > 0").count() == 19
-    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 552
+    assert rec.count() == 294
+    assert rec.where("recomended_order_units > 0").count() == 15
+    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 303
 
 
 def test_final_rows_sf001(spark):
     rec = registry.stages(spark, SF001).recommendations
-    assert rec.count() == 2259
-    assert rec.where("recomended_order_units > 0").count() == 557
-    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 13029
+    assert rec.count() == 3657
+    assert rec.where("recomended_order_units > 0").count() == 337
+    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 8200
 
 
 def test_final_rows_sf01(spark):
     st = registry.stages(spark, "/root/testdata/sf0.1")
     assert st.expanded.count() == 18612
     assert st.missing_skus.count() == 1875
-    assert st.store_forecast.count() == 55239
+    assert st.store_forecast.count() == 52491
     rec = st.recommendations
-    assert rec.count() == 57553
-    assert rec.where("recomended_order_units > 0").count() == 11551
-    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 308524
+    assert rec.count() == 94951
+    assert rec.where("recomended_order_units > 0").count() == 8709
+    assert rec.agg(F.sum("recomended_order_units")).first()[0] == 224553
