@@ -18,11 +18,16 @@ it take part in both.
 
 Only which documents hang together is asked for, so pairs inside a component need
 no check.  First each node is compared with the one list head that it shares most
-lists with; then, once more, with one of another component; at last all pairs of
-different components that meet in any list are compared, the smaller side of a
-list against the rest.  No pair of different components is left out, and a group
-of copies costs a few comparisons for each member.  Every comparison counts the
-whole sets.
+lists with; the head of a list is its node with the fewest shingles of its own,
+that is, the least changed of a group of copies.  Then all pairs of different
+components that meet in a list are compared, the smaller side of a list against
+the rest.  Where two sets meet in a list, what precedes that shingle in either is
+shared no more, or they meet in an earlier list: a pair is left to that list where
+the rest of either set is too short for the needed overlap.  And each node carries
+the parities of its shingles in ``BITS`` groups: two sets differ in at least as many
+shingles as parities, so pairs that differ in too many are left out.  No similar pair of
+different components is left out, and a group of copies costs a few comparisons for
+each member.  Every comparison counts the whole sets.
 
 Cases: a text without words (or null) has an empty set and is linked with nothing;
 fewer than five words are one shingle; rows that repeat a ``doc_id`` are nodes by
@@ -61,6 +66,9 @@ HOT_MAX = 200_000
 HOT_CHUNK = 1 << 21
 HOT_LEAST = 3
 
+#: Parities that stand for a set where pairs are left out.
+BITS = 512
+
 _known = Recent(xxhash.xxh3_64_intdigest, 200_000)
 
 
@@ -116,6 +124,12 @@ def prefix(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
     return np.concatenate((cold, shingles[is_hot]))[:size]
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """The parities of the shingles in each of ``BITS`` groups, as whole numbers of 64."""
+    odd = np.bincount((shingles % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(bool)).view(np.int64)
+
+
 def hot_shingles(texts: DataFrame) -> np.ndarray:
     """The most frequent shingles, at most ``HOT_MAX``, over all texts.  What they
     are decides how long the lists get, not which pairs are found."""
@@ -160,32 +174,34 @@ def _texts(docs: DataFrame, *more: Column) -> DataFrame:
 
 
 def described(docs: DataFrame, hot: np.ndarray) -> DataFrame:
-    """doc, version, n, digest, listed, whole (of small sets) for each row."""
+    """doc, version, n, digest, listed, bits, whole (of small sets) for each row."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        out: dict[str, list] = {"n": [], "digest": [], "listed": [], "whole": []}
+        out: dict[str, list] = {"n": [], "digest": [], "listed": [], "bits": [], "whole": []}
         for text in batch.column("text"):
             shingles = shingle_set(text.as_py())
             out["n"].append(len(shingles))
             out["digest"].append(xxhash.xxh3_128_digest(shingles.tobytes()))
             out["listed"].append(prefix(shingles, hot).view(np.int64) if len(shingles) else [])
+            out["bits"].append(parities(shingles))
             out["whole"].append(shingles.view(np.int64) if len(shingles) <= SMALL_MAX else None)
         return out | {c: batch.column(c) for c in ("doc", "version")}
 
-    schema = "doc bigint, version bigint, n bigint, digest binary, listed array<bigint>, whole array<bigint>"
+    schema = "doc bigint, version bigint, n bigint, digest binary, listed array<bigint>, bits array<bigint>, whole array<bigint>"
     return map_batches(_texts(docs), run, schema)
 
 
 def node_table(described_docs: DataFrame) -> DataFrame:
-    """id, digest, n, low (smallest doc_id), doc, version (one of its rows), listed, whole."""
+    """id, digest, n, low (smallest doc_id), doc, version (one of its rows), listed, bits, whole."""
     nodes = described_docs.where("n > 0").groupBy("digest").agg(
         F.first("n").alias("n"),
         F.min("doc").alias("low"),
         F.min(F.struct("doc", "version")).alias("place"),
         F.first("listed").alias("listed"),
+        F.first("bits").alias("bits"),
         F.first("whole").alias("whole"),
     )
-    return nodes.select(F.monotonically_increasing_id().alias("id"), "digest", "n", "low", "place.doc", "place.version", "listed", "whole")
+    return nodes.select(F.monotonically_increasing_id().alias("id"), "digest", "n", "low", "place.doc", "place.version", "listed", "bits", "whole")
 
 
 def boundary(nodes: DataFrame) -> int:
@@ -229,8 +245,10 @@ def small_links(nodes: DataFrame, most: int) -> DataFrame:
     return subsets.join(staged(met, "shared-subsets"), ["a", "b", "subset"]).where("id <> head").select(F.col("id").alias("a"), F.col("head").alias("b"))
 
 
-def similar_sizes(n: str, m: str) -> Column:
-    return 100 * F.least(F.col(n), F.col(m)) >= PERCENT * F.greatest(F.col(n), F.col(m))
+def may_be_similar(n: str, at: str, m: str, m_at: str) -> Column:
+    """Whether sets of n and m, that meet at these positions first, can share enough."""
+    rest = F.least(F.col(n) - F.col(at), F.col(m) - F.col(m_at))
+    return (100 + PERCENT) * rest >= PERCENT * (F.col(n) + F.col(m))
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -247,60 +265,78 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     return map_batches(found, run, "id bigint, shingles binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those of the pairs (a, b) that are similar, counted on the whole sets."""
+def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, shared, either: the sizes of intersection and union of whole sets."""
 
     def run(batch: pa.RecordBatch) -> dict:
-        keep = []
+        shared, either = [], []
         for left, right in zip(batch.column("left"), batch.column("right")):
             x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint64) for v in (left, right))
-            shared = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(100 * shared >= PERCENT * (len(x) + len(y) - shared))
-        kept = pa.array(keep, type=pa.bool_())
-        return {c: batch.column(c).filter(kept) for c in ("a", "b")}
+            shared.append(len(np.intersect1d(x, y, assume_unique=True)))
+            either.append(len(x) + len(y) - shared[-1])
+        return {"a": batch.column("a"), "b": batch.column("b"), "shared": shared, "either": either}
 
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("right"))
-    return map_batches(pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right"), run, "a bigint, b bigint")
+    both = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+    return map_batches(both, run, "a bigint, b bigint, shared bigint, either bigint")
 
 
-def labelled(entries: DataFrame, roots: DataFrame) -> DataFrame:
-    """entries with the component of each node."""
-    known = roots.select(F.col("node").alias("id"), "root")
-    return entries.join(known, "id", "left").select("s", "id", "n", F.coalesce("root", "id").alias("part"))
+def similar() -> Column:
+    return 100 * F.col("shared") >= PERCENT * F.col("either")
+
+
+def list_heads(entries: DataFrame, nodes: DataFrame) -> DataFrame:
+    """s, head, head_n, head_at: of each list the node that has the largest share of its
+    entries in lists with others.  entries: s, id, n, at; nodes: id, listed_as."""
+    shares = entries.groupBy("id").agg(F.count(F.lit(1)).alias("lists")).join(nodes, "id")
+    rank = F.struct((-F.col("lists") / F.col("listed_as")).alias("own"), F.xxhash64("id").alias("tie"), F.col("id"))
+    ranked = entries.join(shares.select("id", rank.alias("rank")), "id")
+    return ranked.groupBy("s").agg(F.min(F.struct("rank", "n", "at")).alias("head")).select(
+        "s", F.col("head.rank.id").alias("head"), F.col("head.n").alias("head_n"), F.col("head.at").alias("head_at")
+    )
 
 
 def best_heads(entries: DataFrame, heads: DataFrame) -> DataFrame:
-    """a, b: each node with the head of another component that it shares most lists with.
-    entries: s, id, n, part; heads: s, head, head_n, head_part."""
+    """a, b: each node with the head that it shares most lists with."""
     shared = (
         entries.join(heads, "s")
-        .where((F.col("part") != F.col("head_part")) & similar_sizes("n", "head_n"))
+        .where((F.col("id") != F.col("head")) & may_be_similar("n", "at", "head_n", "head_at"))
         .groupBy("id", "head")
         .agg(F.count(F.lit(1)).alias("lists"))
     )
     return shared.groupBy("id").agg(F.max_by("head", F.struct("lists", "head")).alias("b")).select(F.col("id").alias("a"), "b")
 
 
-def list_heads(entries: DataFrame, salt: int) -> DataFrame:
-    """s, head, head_n, head_part of the lists in which components meet."""
-    head = F.struct(F.xxhash64("id", F.lit(salt)).alias("rank"), "id", "n", "part")
-    lists = entries.groupBy("s").agg(F.min(head).alias("head"), F.min("part").alias("low"), F.max("part").alias("high"))
-    return lists.where("low <> high").select("s", F.col("head.id").alias("head"), F.col("head.n").alias("head_n"), F.col("head.part").alias("head_part"))
+def labelled(entries: DataFrame, roots: DataFrame) -> DataFrame:
+    """entries with the component of each node."""
+    known = roots.select(F.col("node").alias("id"), "root")
+    return entries.join(known, "id", "left").select("s", "id", "n", "at", F.coalesce("root", "id").alias("part"))
 
 
-def crossing_pairs(entries: DataFrame) -> DataFrame:
+def few_differences(n: str, bits: str, m: str, m_bits: str) -> Column:
+    """Whether the parities of two sets of n and m allow for enough shared shingles."""
+    words = [F.bit_count(F.get(bits, F.lit(i)).bitwiseXOR(F.get(m_bits, F.lit(i)))) for i in range(BITS // 64)]
+    both = F.col(n) + F.col(m)
+    return (100 + PERCENT) * (both - sum(words, F.lit(0))) >= 2 * PERCENT * both
+
+
+def crossing_pairs(entries: DataFrame, nodes: DataFrame) -> DataFrame:
     """All pairs of different components that meet in a list and may be similar:
-    in each list, the nodes outside of its most frequent component with all others."""
+    in each list, the nodes outside of its most frequent component with all others.
+    entries: s, id, n, at, part; nodes: id, bits."""
     parts = entries.groupBy("s", "part").agg(F.count(F.lit(1)).alias("of"))
     main = parts.groupBy("s").agg(F.max_by("part", F.struct("of", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
     main = staged(main.where("parts > 1").select("s", "main"), "list-components")
-    marked = staged(entries.join(main, "s"), "crossing-lists")
-    fewer = marked.where("part <> main").select("s", F.col("id").alias("a"), F.col("n").alias("a_n"), F.col("part").alias("a_part"))
+    marked = staged(entries.join(main, "s").join(nodes, "id"), "crossing-lists")
+    fewer = marked.where("part <> main").select("s", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "at", "part", "bits")])
     met = fewer.join(marked, "s").where(
-        (F.col("a_part") != F.col("part")) & similar_sizes("a_n", "n") & ((F.col("part") == F.col("main")) | (F.col("a") < F.col("id")))
+        (F.col("a_part") != F.col("part"))
+        & may_be_similar("a_n", "a_at", "n", "at")
+        & few_differences("a_n", "a_bits", "n", "bits")
+        & ((F.col("part") == F.col("main")) | (F.col("a_id") < F.col("id")))
     )
-    return met.select(F.greatest("a", "id").alias("a"), F.least("a", "id").alias("b")).distinct()
+    return met.select(F.greatest("a_id", "id").alias("a"), F.least("a_id", "id").alias("b")).distinct()
 
 
 def ngram_join(docs: DataFrame) -> DataFrame:
@@ -310,19 +346,17 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     nodes = staged(node_table(rows), "shingle-nodes")
     most = boundary(nodes)
     links = [staged(small_links(nodes, most), "small-links")]
-    listed = nodes.where(F.col("n") >= first_listed(most)).select("id", "n", F.explode("listed").alias("s"))
+    listed = nodes.where(F.col("n") >= first_listed(most)).select("id", "n", F.posexplode("listed").alias("at", "s"))
     shared = staged(listed.groupBy("s").agg(F.count(F.lit(1)).alias("of")).where("of > 1").select("s"), "shared-shingles")
-    entries = staged(listed.join(shared, "s").select("s", "id", "n"), "inverted-lists")
+    entries = staged(listed.join(shared, "s").select("s", "id", "n", "at"), "inverted-lists")
     wanted = entries.select("id").distinct().join(nodes.select("id", "doc", "version"), "id")
     sets = staged(sets_of(docs, wanted), "shingle-sets")
-    roots = staged(components(links[0]), "components")
-    for salt in (0, 1):
-        marked = staged(labelled(entries, roots), "labelled-lists")
-        pairs = staged(best_heads(marked, list_heads(marked, salt)), "head-pairs")
-        links.append(staged(verified(pairs, sets), "head-links"))
-        roots = components(_all(links))
-    pairs = staged(crossing_pairs(labelled(entries, roots)), "crossing-pairs")
-    links.append(staged(verified(pairs, sets), "crossing-links"))
+    heads = list_heads(entries, nodes.select("id", F.size("listed").alias("listed_as")))
+    pairs = staged(best_heads(entries, heads), "head-pairs")
+    links.append(staged(compared(pairs, sets).where(similar()).select("a", "b"), "head-links"))
+    roots = components(_all(links))
+    pairs = staged(crossing_pairs(staged(labelled(entries, roots), "labelled-lists"), nodes.select("id", "bits")), "crossing-pairs")
+    links.append(staged(compared(pairs, sets).where(similar()).select("a", "b"), "crossing-links"))
     roots = components(_all(links))
     named = nodes.join(roots, nodes["id"] == roots["node"], "left").select("digest", "low", F.coalesce("root", "id").alias("root"))
     named = staged(named, "node-components")

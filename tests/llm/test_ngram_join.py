@@ -126,3 +126,14 @@ def test_components(spark):
 def test_query(spark):
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()]
     assert sorted(map(tuple, queries.op9_ngram_join(spark, SF0001).collect()), key=str) == brute(rows)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.integers(1, 300), st.integers(1, 300), st.integers(0, 300))
+def test_parities_never_rule_out_a_similar_pair(a, b, shared):
+    shared = min(shared, a, b)
+    rng = np.random.default_rng(a * 1000 + b)
+    pool = np.unique(rng.integers(0, 2**63, a + b + 10, dtype=np.uint64))[: a + b - shared]
+    x, y = ngram_join.parities(pool[:a]), ngram_join.parities(pool[a - shared :])
+    differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+    assert differ <= a + b - 2 * shared
