@@ -220,21 +220,27 @@ def robust_params(rows: DataFrame) -> DataFrame:
     return staged(estimated(clean, consistency(0.975)), "quality-params")
 
 
+def _with_features(stats: DataFrame) -> DataFrame:
+    return stats.withColumn("base_failed", base_failed()).withColumns({f"x{i}": x for i, x in enumerate(features())})
+
+
 def quality_rules(docs: DataFrame, columns: list[str] | None = None, reject: float = REJECT) -> DataFrame:
     """row (the input's columns, or ``columns``), stats, base_failed, distance, kept."""
     on_workers(docs.sparkSession)
     group = {c: F.col(c).cast("string") if c in docs.columns else F.lit(None).cast("string") for c in ("lang", "source")}
     row = F.struct(*[F.col(f"`{c}`") for c in columns or docs.columns]).alias("row")
     read = docs.select(row, *[v.alias(c) for c, v in group.items()], stats_column(F.col("text").cast("string")).alias("stats"))
-    read = staged(read, "quality-stats")
-    with_x = read.withColumn("base_failed", base_failed()).withColumns({f"x{i}": x for i, x in enumerate(features())})
+    # Whole rows are not staged: their statistics are taken a second time, which costs
+    # less than another copy of all texts.
+    stats = staged(read if columns else read.drop("row"), "quality-stats")
+    with_x = _with_features(stats)
     sound = with_x.where("not base_failed").select("lang", "source", *[f"x{i}" for i in range(N)])
     rows = staged(with_cells(sound).select("cell", *[f"x{i}" for i in range(N)]), "quality-vectors")
     params = robust_params(rows)
     # Every group of a sound row has parameters; a row that fails the plain limits needs none.
     groups = staged(with_cells(sound).select("lang", "source", "cell").distinct().join(params, "cell"), "quality-by-group")
     key = F.struct("lang", "source")
-    judged = with_x.withColumn("group", key).join(groups.select(key.alias("group"), "centre", "inverse"), "group", "left")
+    judged = (with_x if columns else _with_features(read)).withColumn("group", key).join(groups.select(key.alias("group"), "centre", "inverse"), "group", "left")
     limit = chi2_quantile(1 - reject, N)
     return judged.withColumn("distance", distance()).select(
         "row", "stats", "base_failed", "distance", (~F.col("base_failed") & F.coalesce(F.col("distance") <= limit, F.lit(True))).alias("kept")
