@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from stockpilot.llm.text import map_batches
 
 MAX_STATES = 150_000
-MAX_UNITS = 100_000
+MAX_UNITS = 250_000
 WINDOW = 1024
 
 RESULT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
