@@ -10,15 +10,21 @@ mixed letters, base 62 or 64):
 * serial correlation of neighbouring characters.
 
 A run that is too uneven, or too regular, for random characters (Bonferroni over
-the three) is no key.  For the rest the chi-squared statistic is compared with
-what running text of that length would give: its mean and spread follow from the
-letter frequencies of the corpus' own single-case words, and both grow with the
-length, so short runs need more than long ones.  Benjamini-Hochberg control
-within bands of length picks the runs that are reported.
+the three) is no key.  For the rest, what the three tests look at is compared with
+what text would give: the likelihood of the characters (frequencies), of the changes
+between digits, lower case, upper case and signs (runs) and of neighbours (serial)
+under a chain learnt from the corpus' own runs, against that of random characters.
+Text exceeds a ratio of r in one run of r at most, so 1 / ratio is a p-value; it is
+small for random runs of 20 characters already.  Random runs hardly teach the chain:
+each run counts by the chance that it is text, found in ``ROUNDS`` rounds from
+English letters on.  Parts of a run between signs are tested too, for keys inside of
+paths and names; of overlapping finds the one with the highest ratio is reported.
+Benjamini-Hochberg control within bands of length picks the runs that are reported.
 
 Spans in texts come from splitting at a pattern and adding up the lengths of the
 pieces.  Everything is DataFrame functions; whole texts are read once, and only
-a histogram of p-values (bands x levels, a fixed number of rows) is aggregated.
+pairs of characters and a histogram of p-values (fixed numbers of rows) are
+aggregated.
 
 Cases: a null text counts as empty; empty texts and tables have no spans; rows
 that repeat a ``doc_id`` are scanned each on their own; further columns pass
@@ -43,6 +49,7 @@ KINDS = ("assign", "access", "hex", "random")
 
 MIN_CHARS = 20
 RUN = rf"[A-Za-z0-9+/_-]{{{MIN_CHARS},}}"
+PART = rf"[A-Za-z0-9]{{{MIN_CHARS},}}"
 #: Chance of calling random characters uneven.
 ALPHA = 0.001
 #: Share of false discoveries among the reported runs.
@@ -52,14 +59,24 @@ BANDS = (20, 24, 28, 32, 40, 48, 64, 96, 128, 256)
 #: Levels of -log10 p: a tenth each, up to 60.
 LEVELS = 600
 
-# Share of equal pairs and triples of letters in English text,
-# which stand in where a corpus has no single-case words to learn from, and the
-# share of equal pairs among the letters a to f alone.
-TEXT_PAIRS, TEXT_TRIPLES, HEX_PAIRS, HEX_TRIPLES = 0.0655, 0.0056, 0.26, 0.085
-PRIOR_WORDS = 100.0
-
+#: Rounds in which the text's chain is learnt.
+ROUNDS = 3
+#: Alphabets that a run may be written in.
+ALPHABETS = (16, 36, 52, 62, 64)
+#: First share of random ones among the mixed runs.
+RANDOM_SHARE = 0.01
+SYMBOLS = 64
+#: Digits, lower case, upper case, signs.
+CLASS_OF = (0,) * 10 + (1,) * 26 + (2,) * 26 + (3,) * 2
+# Fixed value: letters in a thousand of English text, which teach what a corpus does not.
+ENGLISH = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
+#: What the prior counts for: characters of a class, changes from a class, pairs with a character.
+PRIOR_CHARS, PRIOR_CHANGES, PRIOR_PAIRS = 200.0, 50.0, 20.0
+PRIOR_STAY = 0.9
+
+ADDED = "struct<start:bigint,kind:int,end:bigint>"
 SPAN = "struct<kind:int,start:bigint,end:bigint>"
-PROBE = "struct<start:bigint,end:bigint,k:int,n:int,s2:double,s3:double,regular:double>"
+PROBE = "struct<start:bigint,end:bigint,k:int,n:int,regular:double,codes:array<int>,part:boolean>"
 
 
 def _starts(text: Column, pattern: str, found: Column) -> Column:
@@ -135,17 +152,15 @@ def _alphabet(s: Column) -> Column:
     )
 
 
-def _indexes(s: Column, k: Column) -> Column:
-    """Place of each character in its alphabet: digits, lower case, upper case, signs."""
-    one_case = F.when(k < 52, F.lower(s)).otherwise(s)
-    skip = F.when(k.isin(26, 52), 10).otherwise(0)
+def _codes(s: Column) -> Column:
+    """Place of each character among all: digits, lower case, upper case, signs."""
 
     def place(i: Column) -> Column:
-        c = F.ascii(F.substring(one_case, i, F.lit(1)))
+        c = F.ascii(F.substring(s, i, F.lit(1)))
         return (
             F.when(c.between(48, 57), c - 48)
-            .when(c.between(97, 122), c - 87 - skip)
-            .when(c.between(65, 90), c - 29 - skip)
+            .when(c.between(97, 122), c - 87)
+            .when(c.between(65, 90), c - 29)
             .when(c.isin(43, 45), 62)
             .otherwise(63)
         )
@@ -153,11 +168,17 @@ def _indexes(s: Column, k: Column) -> Column:
     return F.transform(F.sequence(F.lit(1), F.length(s)), place)
 
 
-def _probe(s: Column, span: Column) -> Column:
+def _indexes(codes: Column, k: Column) -> Column:
+    """Place of each character in its alphabet."""
+    skip = F.when(k.isin(26, 52), 10).otherwise(0)
+    return F.transform(codes, lambda c: F.when((k < 52) & c.between(36, 61), c - 26).otherwise(c) - skip)
+
+
+def _probe(s: Column, span: Column, part: Column) -> Column:
     """The statistics of one run of characters."""
-    k = _alphabet(s)
     return F.transform(
-        F.array(F.struct(k.alias("k"), _indexes(s, k).alias("x"))), lambda a: _statistics(a["k"], a["x"], span)
+        F.transform(F.array(F.struct(_alphabet(s).alias("k"), _codes(s).alias("codes"))), lambda a: F.struct(a["k"], a["codes"], _indexes(a["codes"], a["k"]).alias("x"))),
+        lambda a: _statistics(a["k"], a["codes"], a["x"], span, part),
     )[0].cast(PROBE)
 
 
@@ -165,10 +186,10 @@ def _total(xs: Column, f) -> Column:
     return F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + f(x).cast("double"))
 
 
-def _statistics(k: Column, x: Column, span: Column) -> Column:
+def _statistics(k: Column, codes: Column, x: Column, span: Column, part: Column) -> Column:
     n = F.size(x).cast("double")
     counts = F.transform(F.sequence(F.lit(0), k - 1), lambda j: F.size(F.filter(x, lambda v: v == j)))
-    s2, s3 = _total(counts, lambda c: c * c), _total(counts, lambda c: c.cast("double") * c * c)
+    s2 = _total(counts, lambda c: c * c)
     # chi-squared, large values only
     chi = k * s2 / n - n
     z_chi = (chi - (k - 1)) / F.sqrt(2 * (k - 1) * (n - 1) / n)
@@ -187,16 +208,29 @@ def _statistics(k: Column, x: Column, span: Column) -> Column:
     z_serial = F.when(around > 0, _total(pairs, lambda w: (w["p"] - mean) * (w["q"] - mean)) / around * F.sqrt(n)).otherwise(F.lit(99.0))
     regular = F.greatest(_tail(z_chi), _two_sided(z_runs), _two_sided(z_serial))
     return F.struct(
-        span["start"].alias("start"), span["end"].alias("end"), k.alias("k"), n.cast("int").alias("n"), s2.alias("s2"), s3.alias("s3"), regular.alias("regular")
+        span["start"].alias("start"), span["end"].alias("end"), k.alias("k"), n.cast("int").alias("n"), regular.alias("regular"), codes.alias("codes"), part.alias("part")
     )
 
 
 def probes(text: Column) -> Column:
-    """array of statistics, one for each run of key-like characters."""
-    found = _all(text, RUN)
-    runs = F.arrays_zip(_starts(text, RUN, found).alias("span"), found.alias("run"))
+    """array of statistics, one for each run of key-like characters and for each long part of one."""
+
+    def runs(s: Column, pattern: str, offset: Column, part: bool) -> Column:
+        found = _all(s, pattern)
+        return F.transform(
+            F.arrays_zip(_starts(s, pattern, found).alias("span"), found.alias("run")),
+            lambda r: F.struct(
+                F.struct((r["span"]["start"] + offset).alias("start"), (r["span"]["end"] + offset).alias("end")).alias("span"), r["run"].alias("run"), F.lit(part).alias("part")
+            ),
+        )
+
+    def with_parts(r: Column) -> Column:
+        parts = F.filter(runs(r["run"], PART, r["span"]["start"], True), lambda p: F.length(p["run"]) < F.length(r["run"]))
+        return F.concat(F.array(r), F.when(r["run"].rlike("[+/_-]"), parts).otherwise(F.slice(F.array(r), 1, 0)))
+
+    tested = F.flatten(F.transform(runs(text, RUN, F.lit(0).cast("bigint"), False), with_parts))
     none = F.array().cast(f"array<{PROBE}>")
-    return F.when(text.rlike(RUN), F.transform(runs, lambda r: _probe(r["run"], r["span"]))).otherwise(none)
+    return F.when(text.rlike(RUN), F.transform(tested, lambda r: _probe(r["run"], r["span"], r["part"]))).otherwise(none)
 
 
 def scanned(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -206,28 +240,79 @@ def scanned(docs: DataFrame, columns: list[str]) -> DataFrame:
     return docs.select(row, base_spans(text).alias("base"), probes(text).alias("probes"))
 
 
-def text_model(scan: DataFrame) -> tuple[float, float]:
-    """Share of equal pairs and of equal triples of letters in single-case words."""
-    s2, s3, n = F.col("p.s2"), F.col("p.s3"), F.col("p.n").cast("double")
-    got = (
-        scan.select(F.explode("probes").alias("p"))
-        .where("p.k = 26")
-        .agg(F.sum(s2 - n), F.sum(n * (n - 1)), F.sum(s3 - 3 * s2 + 2 * n), F.sum(n * (n - 1) * (n - 2)))
-        .first()
-    )
-    same2, of2, same3, of3 = (float(v or 0) for v in got)
-    add2, add3 = PRIOR_WORDS * 20 * 19, PRIOR_WORDS * 20 * 19 * 18
-    return (same2 + TEXT_PAIRS * add2) / (of2 + add2), (same3 + TEXT_TRIPLES * add3) / (of3 + add3)
+def _chain(pairs: dict[tuple[int, int, bool], float]) -> tuple[list[float], list[float]]:
+    """log10 of the chances of a first character, and of each character after each
+    other, from counts by (first, second, whether the run is mixed)."""
+    own: dict[int, list[int]] = {c: [x for x in range(SYMBOLS) if CLASS_OF[x] == c] for c in range(4)}
+    follows = [[0.0] * SYMBOLS for _ in range(SYMBOLS)]
+    changes = [[0.0] * 4 for _ in range(4)]
+    for (a, b, mixed), n in pairs.items():
+        follows[a][b] += n
+        if mixed:
+            changes[CLASS_OF[a]][CLASS_OF[b]] += n
+    seen = [sum(follows[a][b] for a in range(SYMBOLS)) for b in range(SYMBOLS)]
+    share = [0.0] * SYMBOLS
+    for c, chars in own.items():
+        prior = [ENGLISH[i] if c in (1, 2) else 1 for i in range(len(chars))]
+        whole = sum(seen[x] for x in chars) + PRIOR_CHARS
+        for x, w in zip(chars, prior):
+            share[x] = (seen[x] + PRIOR_CHARS * w / sum(prior)) / whole
+    into = [sum(changes[c][d] for c in range(4)) + PRIOR_CHANGES / 4 for d in range(4)]
+    first = [math.log10(into[CLASS_OF[x]] / sum(into) * share[x]) for x in range(SYMBOLS)]
+    after = []
+    for a in range(SYMBOLS):
+        c = CLASS_OF[a]
+        for b in range(SYMBOLS):
+            d = CLASS_OF[b]
+            change = (changes[c][d] + PRIOR_CHANGES * (PRIOR_STAY if c == d else (1 - PRIOR_STAY) / 3)) / (sum(changes[c]) + PRIOR_CHANGES)
+            char = (follows[a][b] + PRIOR_PAIRS * share[b]) / (sum(follows[a][x] for x in own[d]) + PRIOR_PAIRS)
+            after.append(math.log10(change * char))
+    return first, after
+
+
+def _numbers(xs: list[float]) -> Column:
+    """A constant array, as one literal."""
+    return F.split(F.lit(",".join(f"{x:.5f}" for x in xs)), ",").cast("array<double>")
+
+
+def _steps(codes: Column) -> Column:
+    """Each character with the one before it, as one number."""
+    size = F.size(codes)
+    return F.zip_with(F.slice(codes, F.lit(1), size - 1), F.slice(codes, F.lit(2), size - 1), lambda a, b: a * SYMBOLS + b)
+
+
+def _mixed(p: Column) -> Column:
+    return ~p["k"].isin(10, 26)
+
+
+def _ratio(p: Column, model: tuple[list[float], list[float]]) -> Column:
+    """log10 of how much likelier random characters of its alphabet make a run than text."""
+    first, after = _numbers(model[0]), _numbers(model[1])
+    text = F.get(first, p["codes"][0]) + F.aggregate(_steps(p["codes"]), F.lit(0.0), lambda acc, i: acc + F.get(after, i))
+    return -p["n"] * F.log10(p["k"].cast("double")) - math.log10(len(ALPHABETS)) - text
+
+
+def text_model(scan: DataFrame) -> tuple[list[float], list[float]]:
+    """The chain of the corpus' runs that are text: changes between kinds of characters
+    from mixed runs, which are those tested, and characters from all but digits."""
+    p = F.col("p")
+    runs = scan.select(F.explode("probes").alias("p")).where(~p["part"] & (p["k"] != 10))
+    model, odds = _chain({}), RANDOM_SHARE / (1 - RANDOM_SHARE)
+    for _ in range(ROUNDS):
+        random = F.when(_mixed(p) & (p["regular"] <= -math.log10(ALPHA / 3)), 1 / (1 + F.pow(F.lit(10.0), F.least(-_ratio(p, model), F.lit(300.0))) / odds)).otherwise(0.0)
+        weighed = runs.select(p, random.alias("random"))
+        step = weighed.select(F.explode(_steps(p["codes"])).alias("step"), _mixed(p).alias("mixed"), (1 - F.col("random")).alias("weight"))
+        pairs = step.groupBy("step", "mixed").agg(F.sum("weight").alias("n")).collect()  # at most 2 x 64 x 64 rows
+        share, count = weighed.where(_mixed(p)).agg(F.sum("random"), F.count(F.lit(1))).first()
+        model = _chain({(r["step"] // SYMBOLS, r["step"] % SYMBOLS, r["mixed"]): r["n"] for r in pairs})
+        share = ((share or 0.0) + RANDOM_SHARE) / (count + 1)
+        odds = share / (1 - share)
+    return model
 
 
-def _level(p: Column, pairs: float, triples: float) -> Column:
-    """-log10 of the chance that text gives a chi-squared statistic as low, in tenths."""
-    k, n = p["k"].cast("double"), p["n"].cast("double")
-    q2 = F.when(p["k"] == 16, HEX_PAIRS).otherwise(pairs)
-    q3 = F.when(p["k"] == 16, HEX_TRIPLES).otherwise(triples)
-    mean = n * (n - 1) * q2 + n
-    spread = F.sqrt(4 * n * n * n * F.greatest(q3 - q2 * q2, F.lit(1e-4)) + 2 * n * n * q2)
-    return F.least(F.floor(10 * _tail((mean - p["s2"]) / spread)), F.lit(LEVELS)).cast("int")
+def _level(p: Column, model: tuple[list[float], list[float]]) -> Column:
+    """-log10 of the chance that text gives a ratio as high, in tenths."""
+    return F.greatest(F.least(F.floor(10 * _ratio(p, model)), F.lit(LEVELS)), F.lit(0)).cast("int")
 
 
 def _band(p: Column) -> Column:
@@ -238,16 +323,16 @@ def _band(p: Column) -> Column:
 
 
 def _testable(p: Column) -> Column:
-    return ~p["k"].isin(10, 26) & (p["regular"] <= -math.log10(ALPHA / 3))
+    return _mixed(p) & (p["regular"] <= -math.log10(ALPHA / 3))
 
 
-def thresholds(scan: DataFrame, model: tuple[float, float], fdr: float) -> dict[int, int]:
+def thresholds(scan: DataFrame, model: tuple[list[float], list[float]], fdr: float) -> dict[int, int]:
     """band -> lowest reported level, by Benjamini-Hochberg within the band."""
     p = F.col("p")
     levels = (
         scan.select(F.explode("probes").alias("p"))
-        .where(~p["k"].isin(10, 26))
-        .select(_band(p).alias("band"), F.when(_testable(p), _level(p, *model)).otherwise(0).alias("level"))
+        .where(_mixed(p))
+        .select(_band(p).alias("band"), F.when(_testable(p), _level(p, model)).otherwise(0).alias("level"))
         .groupBy("band", "level")
         .count()
         .collect()  # at most bands x levels rows
@@ -263,7 +348,7 @@ def thresholds(scan: DataFrame, model: tuple[float, float], fdr: float) -> dict[
     return found
 
 
-def _added(base: Column, probed: Column, model: tuple[float, float], limits: dict[int, int]) -> Column:
+def _added(base: Column, probed: Column, model: tuple[list[float], list[float]], limits: dict[int, int]) -> Column:
     """The spans that the tests add, outside of the plain ones."""
 
     def reported(p: Column) -> Column:
@@ -271,12 +356,22 @@ def _added(base: Column, probed: Column, model: tuple[float, float], limits: dic
         for band, level in sorted(limits.items()):
             limit = F.when(_band(p) == band, level).otherwise(limit)
         clear = ~F.exists(base, lambda b: (b["start"] < p["end"]) & (p["start"] < b["end"]))
-        return _testable(p) & F.coalesce(_level(p, *model) >= limit, F.lit(False)) & clear
+        return _testable(p) & F.coalesce(_level(p, model) >= limit, F.lit(False)) & clear
 
-    return F.transform(
+    rated = F.transform(
         F.filter(probed, reported),
-        lambda p: F.struct(p["start"].alias("start"), F.lit(3).alias("kind"), p["end"].alias("end")),
+        lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["part"].alias("part"), _ratio(p, model).alias("ratio")),
+    )
+    # Highest first; a run lies before its parts where both are the same.
+    order = F.sort_array(F.transform(rated, lambda r: F.struct((-r["ratio"]).alias("less"), r["part"], r["start"], r["end"])))
+    taken = F.aggregate(
+        order,
+        F.array().cast(f"array<{ADDED}>"),
+        lambda acc, r: F.when(F.exists(acc, lambda t: (t["start"] < r["end"]) & (r["start"] < t["end"])), acc).otherwise(
+            F.concat(acc, F.array(F.struct(r["start"].alias("start"), F.lit(3).alias("kind"), r["end"].alias("end"))))
+        ),
     )
+    return F.when(F.size(probed) == 0, F.array().cast(f"array<{ADDED}>")).otherwise(taken)
 
 
 def secret_scan(docs: DataFrame, fdr: float = FDR, columns: list[str] | None = None) -> DataFrame:

@@ -94,3 +94,53 @@ def test_query(spark):
 def test_no_python_on_the_main_path(spark):
     plan = secret_scan.secret_scan(documents(spark).drop("text").selectExpr("*", "'x' text"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+STEMS = "order item count name read write index value table column first last user group stock level store price total date number list size open close state file path node edge north river house garden water letter paper summer winter question answer".split()
+ALPHABETS = {
+    16: "0123456789abcdef",
+    36: "0123456789abcdefghijklmnopqrstuvwxyz",
+    62: "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ",
+}
+
+
+def name(rng):
+    """A mixed run of 20 characters or more, as names in text and code are."""
+    while True:
+        stems = [rng.choice(STEMS) for _ in range(rng.randint(3, 7))]
+        made = rng.choice(["_".join(stems), "-".join(stems), "/".join(stems), "".join(s.capitalize() for s in stems), "".join(stems) + str(rng.randint(1, 2030))])
+        if len(made) >= 20:
+            return made
+
+
+def test_rare_keys_of_every_length_are_found(spark):
+    """One key in 1,000 runs, from 20 characters on, in every alphabet."""
+    rng = random.Random(11)
+    texts, keys = [], {}
+    for length in (20, 24, 32, 40):
+        for alphabet in (16, 36, 62):
+            if alphabet == 16 and length >= 32:
+                continue  # the plain pattern has these
+            for _ in range(4):
+                keys[len(texts)] = "".join(rng.choices(ALPHABETS[alphabet], k=length))
+                texts.append(" ".join(name(rng) for _ in range(500)) + f" {keys[len(texts)]} " + " ".join(name(rng) for _ in range(500)))
+    found = secret_scan.secret_scan(plain(spark, texts))
+    hits, wrong = {20: 0, 24: 0, 32: 0, 40: 0}, 0
+    for doc, spans in found.select("row.doc_id", secret_scan.digest(found["spans"])).collect():
+        for span in filter(None, spans.split(",")):
+            kind, a, z = span.split(":")
+            if texts[doc][int(a) : int(z)] == keys[doc]:
+                hits[len(keys[doc])] += 1
+            else:
+                wrong += 1
+    assert hits[20] >= 11 and hits[24] >= 11 and hits[32] >= 7 and hits[40] >= 7, hits
+    assert wrong <= 1
+
+
+def test_key_inside_of_a_path(spark):
+    rng = random.Random(12)
+    key = "".join(rng.choices(ALPHABETS[62], k=24))
+    text = " ".join(name(rng) for _ in range(300)) + f" server/list_of_items/{key}/open_file_names end"
+    found = secret_scan.secret_scan(plain(spark, [text]))
+    spans = found.select(secret_scan.digest(found["spans"])).first()[0]
+    assert [text[int(a) : int(z)] for _, a, z in (s.split(":") for s in spans.split(",") if s)] == [key]
