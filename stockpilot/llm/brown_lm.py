@@ -1,19 +1,23 @@
 """Class-based bigram language model with exchange clustering.
 
 P(word | previous) = P(class | class of previous) P(word | class).  The most
-frequent words (``EXCHANGED`` of them, the model's size) get their classes by
-exchange: word by word, each moves to the class that gives the class bigrams of
-the training texts the highest likelihood, until few move.  All other words fall
-into classes by how they end; the end of a text is a class of its own.  Every word
+frequent words (``EXCHANGED`` of them) get their classes by exchange on the driver:
+word by word, each moves to the class that gives the class bigrams of the training
+texts the highest likelihood, until few move.  Then every other word that occurs
+``MOVED`` times or more takes part in one exchange on Spark: its neighbours' classes
+are counted, shuffled by word, and the task that holds a word picks its best class.
+Words begin in classes by how they end, where rarer words and those that gain
+nothing stay; the end of a text is a class of its own.  Every word
 keeps its own count: emissions are (count + 0.1) / (class total + 0.1 (words in
 the class + 1)), transitions are smoothed towards the classes' shares.
 
 Counts cover all training texts: each task counts its words and its pairs of
 symbols, Spark adds them up.  Only tables whose size the parameters bound reach
-the driver: the ``HEAD`` most frequent words with their counts, and the pairs of
-symbols.  Texts are scored where they are read, except for words outside of the
-head: these meet their counts in a shuffle join, one row for each text and word.
-No such word has more than one part in ``HEAD`` of all tokens, so none is hot.
+the driver: the ``HEAD`` most frequent words with their counts and classes, and the
+pairs of symbols.  Texts are read as classes with the head at hand; words outside
+of it meet their counts and classes in a shuffle join, one row for each text and
+word, and go back to their text.  No such word has more than one part in ``HEAD`` of
+all tokens, so none is hot.
 
 Cases: a null text is empty and has the end token only; rows that repeat a
 ``doc_id`` are counted and scored each; without training texts every token has
@@ -30,6 +34,7 @@ from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,17 +47,21 @@ FOLDS, HELD_OUT = 10, 0
 ADD = 0.1
 HEAD = 200_000
 EXCHANGED = 1024
+#: How often a word occurs at least that leaves the class of its ending.
+MOVED = 5
 CLASSES = 64
 SWEEPS = 6
 ENDINGS = 48
 PULL = 5.0
 FLUSH = 300_000
+#: Neighbours that a task counts before it hands them on; fits a count of PACK bits.
+HAND_ON, PACK = 4_000_000, 24
 
 _LETTERS = bytes(b for b in range(256) if b >= 128 or chr(b).isalpha())
 
 
 def ending(word: bytes) -> int:
-    """The class of a word outside of the exchanged ones."""
+    """The first class of a word outside of the exchanged ones."""
     if word.translate(None, _LETTERS) == word:
         return 0  # no letter
     return 1 + zlib.crc32(word[-2:]) % (ENDINGS - 1)
@@ -202,22 +211,128 @@ def exchange(pairs: np.ndarray, exchanged: int, classes: int, sweeps: int) -> np
     return of
 
 
+def best_class(table: np.ndarray, now: int, after: np.ndarray, before: np.ndarray, own: float, classes: int) -> int:
+    """The class, among the first ``classes`` and its own, where a word gives the class
+    bigrams the highest likelihood.  after, before: how often each class stands beside
+    it, apart from the word itself (``own``)."""
+    c = np.arange(classes) if now < classes else np.append(np.arange(classes), now)
+    here = c == now
+    a, b = np.flatnonzero(after), np.flatnonzero(before)
+    # The tables without the word.
+    right, left = table[c[:, None], a] - here[:, None] * after[a], table[b, c[:, None]] - here[:, None] * before[b]
+    right[:, a == now] -= (before[c] + here * own)[:, None]
+    left[:, b == now] -= (after[c] + here * own)[:, None]
+    cell = table[c, c] - here * (after[now] + before[now] + own)
+    rows, columns = table.sum(axis=1)[c] - here * (after.sum() + own), table.sum(axis=0)[c] - here * (before.sum() + own)
+    gain = (_xlogx(right + after[a]) - _xlogx(right)).sum(axis=1) + (_xlogx(left + before[b]) - _xlogx(left)).sum(axis=1)
+    gain -= _xlogx(cell + after[c]) + _xlogx(cell + before[c]) - 2 * _xlogx(cell)
+    gain += _xlogx(cell + after[c] + before[c] + own) - _xlogx(cell)
+    gain -= _xlogx(rows + after.sum() + own) - _xlogx(rows)
+    gain -= _xlogx(columns + before.sum() + own) - _xlogx(columns)
+    best = int(gain.argmax())
+    return int(c[best]) if gain[best] > gain[here][0] + 1e-9 else now
+
+
+def neighbours(train: DataFrame, symbols: Symbols, classes: np.ndarray) -> DataFrame:
+    """word, packed: the classes after (slots from 0) and before (from ``size``) each word
+    outside of the exchanged ones, and the word itself after it (last slot), with counts."""
+    size, end = int(classes.max()) + 1, symbols.end
+    slots = 2 * size + 1
+
+    def run(batches):
+        read, known = symbols.reader(), len(symbols.words)
+        others: dict[bytes, int] = {}
+        counted, held = [], 0
+
+        def hand_on() -> dict:
+            nonlocal counted, held
+            keys = np.concatenate([k for k, _ in counted]) if counted else np.empty(0, dtype=np.int64)
+            times = np.concatenate([n for _, n in counted]) if counted else keys
+            keys, place = np.unique(keys, return_inverse=True)
+            times = np.bincount(place, weights=times, minlength=len(keys)).astype(np.uint32)
+            packed = (keys % slots).astype(np.uint32) << PACK | times
+            ids, starts = np.unique(keys // slots, return_index=True)
+            names = list(others)
+            out = {
+                "word": [symbols.words[i] if i < known else names[i - known] for i in ids.tolist()],
+                "packed": [x.tobytes() for x in np.split(packed, starts[1:])] if len(ids) else [],
+            }
+            others.clear()
+            counted, held = [], 0
+            return out
+
+        for batch in batches:
+            for text in batch.column("text"):
+                words = lower_bytes(text.as_py()).split()
+                places, numbers, rest = read(words)
+                ids = places.copy()
+                ids[places < 0] = [known + others.setdefault(w, len(others)) for w in rest]
+                line = classes[np.concatenate(([end], numbers, [end]))]
+                same = np.concatenate(([False], ids[1:] == ids[:-1], [False])) if len(ids) else np.zeros(1, dtype=bool)
+                moves = numbers >= symbols.exchanged
+                first = moves & ~same[1:]
+                second = moves & ~same[:-1]
+                itself = moves & same[1:]
+                keys = np.concatenate(
+                    (ids[first] * slots + line[2:][first], ids[second] * slots + size + line[:-2][second], ids[itself] * slots + 2 * size)
+                )
+                counted.append((keys, np.ones(len(keys), dtype=np.int64)))
+                held += len(keys)
+                if held > HAND_ON:
+                    yield hand_on()
+        yield hand_on()
+
+    return map_partitions(train, run, "word binary, packed binary")
+
+
+MOVES = "word binary, class int, ending int, n bigint"
+
+
+def moved_words(train: DataFrame, symbols: Symbols, classes: np.ndarray, table: np.ndarray, exchanged: int, least: int) -> DataFrame:
+    """The words that leave the class of their ending, with their best classes."""
+    size = int(classes.max()) + 1
+    gathered = neighbours(train, symbols, classes).groupBy("word").agg(F.collect_list("packed").alias("packed"))
+
+    def run(batches):
+        for batch in batches:
+            out: dict[str, list] = {k: [] for k in ("word", "class", "ending", "n")}
+            for word, packed in zip(batch.column("word").to_pylist(), batch.column("packed").to_pylist()):
+                got = np.frombuffer(b"".join(packed), dtype=np.uint32)
+                sums = np.bincount(got >> PACK, weights=got & ((1 << PACK) - 1), minlength=2 * size + 1)
+                after, before, own = sums[:size], sums[size:-1], sums[-1]
+                n = int(before.sum() + own)
+                if n < least:
+                    continue
+                e = ending(word)
+                now = int(classes[symbols.exchanged + e])
+                best = best_class(table, now, after, before, own, exchanged)
+                if best != now:
+                    for k, v in zip(out, (word, best, e, n)):
+                        out[k].append(v)
+            yield out
+
+    return map_partitions(gathered, run, MOVES)
+
+
 @dataclass(frozen=True)
 class Model:
     symbols: Symbols
-    classes: np.ndarray  # of each symbol
-    transitions: np.ndarray  # log10
+    size: int  # classes
+    end: int  # class of the end
+    by_ending: int  # class of the first ending
+    head: np.ndarray  # classes of the words of the head
     emissions: np.ndarray  # log10, of the words of the head
     base: np.ndarray  # log10, of the words of the head
     base_total: float
     base_end: float
-    class_totals: list[float]  # by ending: what an emission is divided by
+    class_totals: list[float]  # what an emission is divided by
     train_tokens: int
     end_known: bool
 
 
-def learn(train: DataFrame, vocabulary: DataFrame) -> Model:
-    """The model from the training texts and their word counts."""
+def learn(train: DataFrame, vocabulary: DataFrame) -> tuple[Model, DataFrame]:
+    """The model but for its transitions, from the training texts and their word
+    counts, and the words that left the class of their ending."""
     by_ending = {r["ending"]: (r["words"], r["n"]) for r in vocabulary.groupBy("ending").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect()}
     ends = train.count()
     tokens = ends + sum(n for _, n in by_ending.values())
@@ -230,11 +345,15 @@ def learn(train: DataFrame, vocabulary: DataFrame) -> Model:
     symbols = Symbols(exchanged, [w for w, _, _ in head], numbers)
     pairs = pair_counts(train, symbols)
     classes = exchange(pairs, exchanged, CLASSES, SWEEPS)
-    size = int(classes.max()) + 1
+    size, first = int(classes.max()) + 1, int(classes[exchanged])
     table = np.zeros((size, size))
     np.add.at(table, (classes[:, None].repeat(len(pairs), 1), classes[None, :].repeat(len(pairs), 0)), pairs)
-    share = (table.sum(axis=0) + 1) / (table.sum() + size)
-    transitions = np.log10((table + PULL * share) / (table.sum(axis=1, keepdims=True) + PULL))
+    moved = staged(moved_words(train, symbols, classes, table, first, MOVED), "moved-words")
+    head_classes = classes[numbers] if len(head) else numbers
+    places = dict(zip(symbols.words, range(len(head))))
+    for r in moved.where(F.col("n") >= head[-1][2]).collect() if head else []:  # the head has all words as frequent
+        if bytes(r["word"]) in places:
+            head_classes[places[bytes(r["word"])]] = r["class"]
     # Tokens and distinct words of each class, exchanged words apart from the others.
     words_of, tokens_of = np.zeros(size), np.zeros(size)
     np.add.at(words_of, classes[:exchanged], 1)
@@ -242,80 +361,157 @@ def learn(train: DataFrame, vocabulary: DataFrame) -> Model:
     for e in range(ENDINGS):
         words, n = by_ending.get(e, (0, 0))
         out = endings[:exchanged] == e
-        words_of[classes[exchanged + e]] = words - out.sum()
-        tokens_of[classes[exchanged + e]] = n - counts[:exchanged][out].sum()
+        words_of[first + e] = words - out.sum()
+        tokens_of[first + e] = n - counts[:exchanged][out].sum()
+    for r in moved.groupBy("class", "ending").agg(F.count(F.lit(1)).alias("words"), F.sum("n").alias("n")).collect():  # classes x endings
+        for c, sign in ((r["class"], 1), (first + r["ending"], -1)):
+            words_of[c] += sign * r["words"]
+            tokens_of[c] += sign * r["n"]
     divisor = tokens_of + ADD * (words_of + 1)
     base_total = tokens + ADD * (distinct + 1)
-    return Model(
+    model = Model(
         symbols,
-        classes,
-        transitions,
-        np.log10((counts + ADD) / divisor[classes[numbers]]) if len(head) else counts,
+        size,
+        int(classes[symbols.end]),
+        first,
+        head_classes,
+        np.log10((counts + ADD) / divisor[head_classes]) if len(head) else counts,
         np.log10((counts + ADD) / base_total),
         base_total,
         math.log10((ends + ADD) / base_total),
-        [float(divisor[classes[exchanged + e]]) for e in range(ENDINGS)],
+        divisor.tolist(),
         tokens,
         ends > 0,
     )
+    return model, moved
 
 
 SCORED = (
     "id bigint, doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, "
-    "rest array<struct<word:binary,ending:int,n:bigint>>"
+    "codes binary, rest array<struct<word:binary,ending:int,n:bigint>>"
 )
 
 
 def scored_heads(rows: DataFrame, model: Model) -> DataFrame:
-    """The scores of each text but for its words outside of the head, and these."""
+    """Each text as classes, and the scores of its words but for those outside of the
+    head, which are listed: their codes are negative and hold place in the list and ending."""
 
     def run(batches):
-        read, end = model.symbols.reader(), model.classes[model.symbols.end]
+        read = model.symbols.reader()
         first = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out: dict[str, list] = {k: [] for k in ("id", "n_tokens", "n_known", "base_score", "score", "rest")}
+            out: dict[str, list] = {k: [] for k in ("id", "n_tokens", "n_known", "base_score", "score", "codes", "rest")}
             for text in batch.column("text"):
                 words = lower_bytes(text.as_py()).split()
                 places, numbers, rest = read(words)
                 inside = places[places >= 0]
-                line = np.concatenate(([end], model.classes[numbers], [end]))
-                score = model.transitions[line[:-1], line[1:]].sum() + model.emissions[inside].sum()
+                times = Counter(rest)
+                at = {w: i for i, w in enumerate(times)}
+                codes = np.empty(len(words), dtype=np.int32)
+                codes[places >= 0] = model.head[inside]
+                outside = np.array([at[w] for w in rest], dtype=np.int64) * ENDINGS + numbers[places < 0] - model.symbols.exchanged
+                codes[places < 0] = -1 - outside
                 out["id"].append(first)
                 out["n_tokens"].append(len(words) + 1)
                 out["n_known"].append(len(inside) + model.end_known)
                 out["base_score"].append(float(model.base[inside].sum() + model.base_end))
-                out["score"].append(float(score))
-                out["rest"].append([{"word": w, "ending": ending(w), "n": n} for w, n in Counter(rest).items()])
+                out["score"].append(float(model.emissions[inside].sum()))
+                out["codes"].append(codes.tobytes())
+                out["rest"].append([{"word": w, "ending": ending(w), "n": n} for w, n in times.items()])
                 first += 1
             yield out | {c: batch.column(c) for c in ("doc_id", "held_out")}
 
     return map_partitions(rows, run, SCORED)
 
 
-def brown_lm(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
-    out = remainder(folds) == held_out
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), out.alias("held_out"), F.col("text").cast("string").alias("text"))
-    train = rows.where("not held_out").select("text")
-    vocabulary = staged(word_counts(train), "vocabulary")
-    model = learn(train, vocabulary)
-    scored = staged(scored_heads(rows, model), "scored-heads")
-    rest = scored.select("id", F.explode("rest").alias("r")).select("id", F.col("r.word").alias("word"), "r.ending", F.col("r.n").alias("times"))
+KEPT = ("doc_id", "held_out", "n_tokens", "n_known", "base_score", "score")
+LINES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, base_score double, score double, line binary"
+
+
+def class_lines(scored: DataFrame, vocabulary: DataFrame, moved: DataFrame, model: Model) -> DataFrame:
+    """The texts with the scores of all their words, and the classes of these between two ends."""
+    rest = scored.select("id", F.posexplode("rest").alias("at", "r")).select("id", "at", F.col("r.word").alias("word"), "r.ending", F.col("r.n").alias("times"))
     n = F.coalesce(F.col("n"), F.lit(0))
-    found = rest.join(vocabulary.select("word", "n"), "word", "left")
-    divisor = F.element_at(F.array(*[F.lit(x) for x in model.class_totals]), F.col("ending") + 1)
+    found = rest.join(vocabulary.select("word", "n"), "word", "left").join(moved.select("word", "class"), "word", "left")
+    divisor = F.element_at(F.array(*[F.lit(x) for x in model.class_totals]), F.coalesce(F.col("class"), F.col("ending") + model.by_ending) + 1)
     sums = found.groupBy("id").agg(
         F.sum(F.when(n > 0, F.col("times")).otherwise(0)).alias("known"),
         F.sum(F.col("times") * F.log10((n + ADD) / model.base_total)).alias("base"),
         F.sum(F.col("times") * F.log10((n + ADD) / divisor)).alias("own"),
+        F.collect_list(F.when(F.col("class").isNotNull(), F.struct("at", "class"))).alias("moved"),  # a text's own words
     )
-    return scored.drop("rest").join(sums, "id", "left").select(
+    joined = scored.drop("rest").join(sums, "id", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("known", F.lit(0))).alias("n_known"),
-        F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("base", F.lit(0.0))).alias("base_score"),
         (F.col("score") + F.coalesce("own", F.lit(0.0))).alias("score"),
+        "codes",
+        "moved",
     )
 
+    def run(batches):
+        end = [model.end]
+        for batch in batches:
+            moves = batch.column("moved")
+            flat = moves.flatten()
+            at, to = (flat.field(k).to_numpy(zero_copy_only=False) for k in range(2))
+            ends = np.cumsum(pc.fill_null(pc.list_value_length(moves), 0).to_numpy(zero_copy_only=False)).astype(np.int64)
+            lines = []
+            for i, codes in enumerate(batch.column("codes").to_pylist()):
+                line = np.frombuffer(codes, dtype=np.int32).copy()
+                outside = line < 0
+                places, endings = np.divmod(-1 - line[outside], ENDINGS)
+                class_of = np.full(int(places.max()) + 1 if len(places) else 0, -1, dtype=np.int32)
+                own = slice(ends[i - 1] if i else 0, ends[i])
+                class_of[at[own]] = to[own]
+                line[outside] = np.where(class_of[places] >= 0, class_of[places], model.by_ending + endings)
+                lines.append(np.concatenate((end, line, end)).astype(np.uint16).tobytes())
+            yield {c: batch.column(c) for c in KEPT} | {"line": lines}
+
+    return map_partitions(joined, run, LINES)
+
+
+def transitions(lines: DataFrame, size: int) -> np.ndarray:
+    """log10 of the chances of each class after each, from the training texts."""
+
+    def run(batches):
+        total = np.zeros(size * size, dtype=np.int64)
+        for batch in batches:
+            for line in batch.column("line").to_pylist():
+                classes = np.frombuffer(line, dtype=np.uint16).astype(np.int64)
+                np.add.at(total, classes[:-1] * size + classes[1:], 1)
+        found = np.flatnonzero(total)
+        yield {"pair": found, "n": total[found]}
+
+    table = np.zeros(size * size)
+    for r in map_partitions(lines.where("not held_out").select("line"), run, "pair bigint, n bigint").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+        table[r["pair"]] = r["n"]  # at most size x size rows
+    table = table.reshape(size, size)
+    share = (table.sum(axis=0) + 1) / (table.sum() + size)
+    return np.log10((table + PULL * share) / (table.sum(axis=1, keepdims=True) + PULL))
+
+
+def brown_lm(docs: DataFrame, folds: int = FOLDS, held_out: int = HELD_OUT) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10)."""
+    out = remainder(folds) == held_out
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), out.alias("held_out"), F.col("text").cast("string").alias("text"))
+    train = rows.where("not held_out").select("text")
+    vocabulary = staged(word_counts(train), "vocabulary")
+    model, moved = learn(train, vocabulary)
+    scored = staged(scored_heads(rows, model), "scored-heads")
+    lines = staged(class_lines(scored, vocabulary, moved, model), "class-lines")
+    chances, train_tokens = transitions(lines, model.size), model.train_tokens
+
+    def run(batches):
+        for batch in batches:
+            scores = []
+            for line, score in zip(batch.column("line").to_pylist(), batch.column("score").to_pylist()):
+                classes = np.frombuffer(line, dtype=np.uint16)
+                scores.append(score + float(chances[classes[:-1], classes[1:]].sum()))
+            same = {c: batch.column(c) for c in KEPT if c != "score"}
+            yield same | {"train_tokens": [train_tokens] * len(scores), "score": scores}
+
+    schema = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+    return map_partitions(lines, run, schema)

@@ -83,3 +83,45 @@ def test_exchange_finds_hidden_classes():
         other = of.copy()
         other[word] = 1 - other[word]
         assert likelihood(pairs, other) <= best + 1e-6
+
+
+@pytest.mark.parametrize("head", [200_000, 30])
+def test_words_beyond_the_exchanged_ones_get_learnt_classes(spark, monkeypatch, head):
+    """Words of two kinds that alternate, most of them outside of the exchanged ones."""
+    monkeypatch.setattr(brown_lm, "EXCHANGED", 20)
+    monkeypatch.setattr(brown_lm, "CLASSES", 2)
+    monkeypatch.setattr(brown_lm, "HEAD", head)
+    rng = np.random.default_rng(3)
+    names = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 7)) for _ in range(400)]
+    odds = 1 / (np.arange(200) + 10)
+    texts = []
+    for i in range(300):
+        drawn = rng.choice(200, 100, p=odds / odds.sum())
+        texts.append((i, " ".join(names[200 * (j % 2) + d] for j, d in enumerate(drawn)), "en", "s"))
+    got = [r for r in brown_lm.brown_lm(documents(spark, texts)).collect() if r["held_out"]]
+    tokens = sum(r["n_tokens"] for r in got)
+    gained = (sum(r["score"] for r in got) - sum(r["base_score"] for r in got)) / tokens
+    assert gained > 0.25, gained  # log10(2) = 0.30 for the kind of each word
+
+
+def test_best_class_has_the_highest_likelihood():
+    rng = np.random.default_rng(4)
+    pairs = rng.poisson(0.8, (24, 24)).astype(float)
+    of = np.concatenate((np.arange(20) % 4, np.arange(4, 8)))
+    for word in range(24):
+        size = of.max() + 1
+        table = np.zeros((size, size))
+        np.add.at(table, (of[:, None].repeat(24, 1), of[None, :].repeat(24, 0)), pairs)
+        after, before = pairs[word].copy(), pairs[:, word].copy()
+        after[word] = before[word] = 0
+        sums = [np.bincount(of, weights=x, minlength=size) for x in (after, before)]
+        best = brown_lm.best_class(table, int(of[word]), *sums, pairs[word, word], 4)
+
+        def moved(c):
+            other = np.append(of, size - 1)
+            other[word] = c
+            grown = np.zeros((25, 25))
+            grown[:24, :24] = pairs
+            return likelihood(grown, other)
+
+        assert moved(best) >= max(moved(c) for c in {0, 1, 2, 3, int(of[word])}) - 1e-6
