@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockpilot.llm import brown_lm, byte_bpe, chat_format, exact_dedup, language_id, line_dedup, ngram_join, packing, quality_rules, secret_scan
+from stockpilot.llm import brown_lm, byte_bpe, chat_format, exact_dedup, fingerprints, language_id, line_dedup, merkle, ngram_join, packing, periodic_runs, quality_rules, secret_scan
 from stockpilot.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,6 +77,44 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(periodic_runs.with_periods(table(spark, sf_dir, "documents")))
+    return found.select(
+        "row.doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(periodic_runs.runs_text(), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = fingerprints.with_edit(table(spark, sf_dir, "documents"))
+    shown = pairs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", "next_text")
+    compared = fingerprints.compare(shown, "text", ["edited", "next_text"], columns=["doc_id", "n_chars", "edited_sha256"], digests=False)
+    return compared.select(
+        "row.*",
+        "fingerprint",
+        F.col("edited.fingerprint").alias("edited_fingerprint"),
+        F.col("edited.likeness").alias("near_edited"),
+        F.col("next_text.likeness").alias("near_next"),
+        F.col("edited.cells").alias("edited_cells"),
+    )
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    broken = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    fields = {c: F.col(c) for c in merkle.FIELDS} | {"text": F.when(broken, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))}
+    listed = merkle.manifest(docs, keep={"doc_id": F.col("doc_id"), "read": merkle.leaf(list(fields.values()))})
+    folded = listed.withColumn("folded_root", merkle.fold(F.col("row.read")))
+    proof = merkle.proof_digest().alias("proof_sha256")
+    return folded.select("row.doc_id", "leaf", "subroot", "root", proof, "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -90,5 +128,8 @@ QUERIES: dict[str, Query] = {
         op8_secret_scan,
         op9_ngram_join,
         op10_exact_dedup,
+        op11_periodic_runs,
+        op12_fingerprints,
+        op13_merkle_manifest,
     )
 }

@@ -52,8 +52,13 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def arrow_schema(ddl: str) -> pa.Schema:
-    return to_arrow_schema(StructType.fromDDL(ddl))
+def arrow_schema(schema: str | StructType) -> pa.Schema:
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+
+
+def with_fields(df: DataFrame, column: str, ddl: str) -> StructType:
+    """The schema of ``column`` of ``df`` and the fields of ``ddl`` after it."""
+    return StructType([df.schema[column], *StructType.fromDDL(ddl)])
 
 
 def on_workers(spark: SparkSession) -> None:
@@ -65,7 +70,7 @@ def on_workers(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (env.get("PYTHONPATH"), root) if x)
 
 
-def map_partitions(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
+def map_partitions(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str | StructType) -> DataFrame:
     """``mapInArrow``: ``function`` gives dicts of columns for the batches of a partition."""
     target = arrow_schema(schema)
     on_workers(df.sparkSession)
@@ -77,6 +82,6 @@ def map_partitions(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]],
     return df.mapInArrow(run, schema)
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], dict], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` over single batches: ``function`` gives a dict of columns."""
     return map_partitions(df, lambda batches: map(function, batches), schema)

@@ -43,7 +43,7 @@ def test_registered():
     entry = importlib.import_module("__spark_entry__")
     names = set(entry.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_entry_without_the_package(monkeypatch):
