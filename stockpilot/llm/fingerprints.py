@@ -3,8 +3,9 @@
 A text is a set of paragraph digests: its lines without white space at the ends;
 a line of more than ``LONGEST`` code points is cut after the ends of its sentences,
 and a sentence that is still longer after words whose hash is divisible by 8, so a
-change in one place leaves the other parts as they were.  A paragraph that comes
-again counts again, with its number in the digest.
+change in one place leaves the other parts as they were.  Texts are cut and hashed by
+Spark's functions; only digests go to Python.  A paragraph that comes again counts
+again, with its number in the digest.
 
 Each digest goes to one cell in each of three parts of a sketch.  A cell holds the
 number of its digests, and their exclusive or beside that of their check values.
@@ -32,18 +33,15 @@ from __future__ import annotations
 
 import base64
 import math
-import re
 import struct
-import zlib
 from collections import Counter
 from collections.abc import Iterable
 
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stockpilot.llm.text import SPACES, map_partitions, packed, text_or_empty, with_fields
+from stockpilot.llm.text import SPACES, map_partitions, text_or_empty, with_fields
 
 CELLS = 24
 GROWTH = 4
@@ -55,40 +53,41 @@ LOW = (1 << 32) - 1
 PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 CHECK = 0xD6E8FEB86659FD93
 
-SENTENCE_END = re.compile(r"(?<=[.!?])[\x20\x09-\x0D]+")
+SPACE = r"[\x20\x09-\x0D]+"
+SENTENCE_END = rf"(?<=[.!?]){SPACE}"
 
 FIRST_ID = -(2**63)
 #: Ranges of ids for each shuffle partition: several, so that partitions come out even.
 RANGES = 4
 
 
-def paragraphs(text: str, longest: int = LONGEST) -> list[bytes]:
-    found: list[bytes] = []
-    for line in text.split("\n"):
-        line = line.strip(SPACES)
-        if not line:
-            continue
-        for part in [line] if len(line) <= longest else SENTENCE_END.split(line):
-            data = part.encode("utf-8", "surrogatepass")
-            if len(part) <= longest:
-                found.append(data)
-                continue
-            words = data.split()
-            start = 0
-            for i, word in enumerate(words, 1):
-                if i == len(words) or zlib.crc32(word) % 8 == 0:
-                    found.append(b" ".join(words[start:i]))
-                    start = i
-    return found
+def paragraphs(text: Column, longest: int = LONGEST) -> Column:
+    """The parts of a text, an array of strings."""
+
+    def cut(parts: Column, pieces) -> Column:
+        return F.flatten(F.transform(parts, lambda p: F.when(F.length(p) <= longest, F.array(p)).otherwise(pieces(p))))
+
+    def by_words(part: Column) -> Column:
+        ends = lambda w: F.when(F.crc32(w.cast("binary")) % 8 == 0, "\n").otherwise(" ")
+        return F.split(F.array_join(F.transform(F.split(part, SPACE), lambda w: F.concat(w, ends(w))), ""), "\n", -1)
+
+    parts = cut(cut(F.split(text, "\n", -1), lambda p: F.split(p, SENTENCE_END, -1)), by_words)
+    return F.filter(F.transform(parts, lambda p: F.btrim(p, F.lit(SPACES))), lambda p: p != "")
+
+
+def digests(text: Column, longest: int = LONGEST) -> Column:
+    """A 64-bit digest for each paragraph, repeated ones alike."""
+    return F.transform(paragraphs(text, longest), lambda p: F.xxhash64(p))
 
 
-def digests(parts: Iterable[bytes]) -> list[int]:
-    """One 64-bit digest for each part; the n-th equal one has n in it."""
+def numbered(found: list[int]) -> list[int]:
+    """Unsigned digests; the n-th equal one has n in it."""
     seen: Counter = Counter()
     keys = []
-    for part in parts:
-        keys.append(xxhash.xxh3_64_intdigest(part, seen[part]))
-        seen[part] += 1
+    for key in found:
+        n = seen[key]
+        seen[key] = n + 1
+        keys.append((key + n * CHECK) & MASK)
     return keys
 
 
@@ -96,12 +95,11 @@ def check(key: int) -> int:
     return ((key ^ key >> 29) * CHECK & MASK) >> 32
 
 
-def places(key: int, cells: int) -> tuple[int, int, int]:
-    third = cells // 3
-    mixed = (key + cells * CHECK) & MASK  # each size deals the digests anew
-    mixed ^= mixed >> 31
-    a, b, c = ((mixed * odd & MASK) >> 20 for odd in PLACES)
-    return a % third, third + b % third, 2 * third + c % third
+def places(key: int) -> tuple[int, int, int]:
+    """Three numbers of 44 bits; their remainders are the places in the parts."""
+    mixed = key ^ key >> 31
+    a, b, c = PLACES
+    return (mixed * a & MASK) >> 20, (mixed * b & MASK) >> 20, (mixed * c & MASK) >> 20
 
 
 class Sketch:
@@ -111,17 +109,6 @@ class Sketch:
         self.counts = [0] * cells
         self.sums = [0] * cells
 
-    @classmethod
-    def of(cls, keys: list[int], cells: int) -> Sketch:
-        sketch = cls(cells)
-        counts, sums = sketch.counts, sketch.sums
-        for key in keys:
-            value = key << 32 | check(key)
-            for i in places(key, cells):
-                counts[i] += 1
-                sums[i] ^= value
-        return sketch
-
     def __sub__(self, other: Sketch) -> Sketch:
         rest = Sketch(0)
         rest.counts = [a - b for a, b in zip(self.counts, other.counts)]
@@ -132,25 +119,30 @@ class Sketch:
         """The digests of only the first and of only the second version, or None
         if the cells are too few (or would give more than ``most`` digests)."""
         counts, sums = self.counts, self.sums
-        cells = len(counts)
+        third = len(counts) // 3
         sides: tuple[list[int], list[int]] = ([], [])
-        todo = [i for i in range(cells) if counts[i] in (1, -1)]
+        todo = [i for i, n in enumerate(counts) if n in (1, -1)]
+        push = todo.append
         while todo:
             i = todo.pop()
             n, value = counts[i], sums[i]
-            if n not in (1, -1):
+            if n != 1 and n != -1:
                 continue
             key = value >> 32
-            if check(key) != value & LOW or i not in places(key, cells):
+            if check(key) != value & LOW:
+                continue
+            x, y, z = places(key)
+            cells = (x % third, third + y % third, 2 * third + z % third)
+            if i not in cells:
                 continue
             sides[n < 0].append(key)
             if len(sides[0]) + len(sides[1]) > most:
                 return None
-            for j in places(key, cells):
-                counts[j] -= n
+            for j in cells:
+                left = counts[j] = counts[j] - n
                 sums[j] ^= value
-                if counts[j] in (1, -1):
-                    todo.append(j)
+                if left == 1 or left == -1:
+                    push(j)
         return None if any(counts) or any(sums) else sides
 
     def text(self) -> str:
@@ -160,13 +152,25 @@ class Sketch:
 class Version:
     """The digests of a text, and its sketches as they are asked for."""
 
-    def __init__(self, text: str, longest: int = LONGEST):
-        self.keys = digests(paragraphs(text, longest))
+    def __init__(self, found: list[int]):
+        self.found = found
+        self.keys = numbered(found)
+        self._placed = [(key << 32 | check(key), *places(key)) for key in self.keys]
         self._sketches: dict[int, Sketch] = {}
 
     def sketch(self, cells: int) -> Sketch:
         if cells not in self._sketches:
-            self._sketches[cells] = Sketch.of(self.keys, cells)
+            made = Sketch(cells)
+            counts, sums, third = made.counts, made.sums, cells // 3
+            for value, a, b, c in self._placed:
+                a, b, c = a % third, third + b % third, 2 * third + c % third
+                counts[a] += 1
+                counts[b] += 1
+                counts[c] += 1
+                sums[a] ^= value
+                sums[b] ^= value
+                sums[c] ^= value
+            self._sketches[cells] = made
         return self._sketches[cells]
 
 
@@ -174,6 +178,8 @@ def difference(old: Version, new: Version, cells: int = CELLS) -> tuple[list[int
     """Digests that only ``old`` holds, those that only ``new`` holds, and the
     number of cells that gave them."""
     most = len(old.keys) + len(new.keys)
+    while cells < abs(len(old.keys) - len(new.keys)):  # at least so many differ
+        cells *= GROWTH
     while True:
         sides = (old.sketch(cells) - new.sketch(cells)).peel(most)
         if sides is not None:
@@ -190,43 +196,45 @@ def _signed(keys: list[int]) -> list[int]:
     return [k - (1 << 64) if k >> 63 else k for k in keys]
 
 
-def compare(rows: DataFrame, text: str, others: list[str], columns: list[str] | None = None, cells: int = CELLS, longest: int = LONGEST, digests: bool = True) -> DataFrame:
-    """``row`` (the columns named, or all) with ``fingerprint`` of column ``text``, and for each column of
-    ``others`` a struct of that name: fingerprint, likeness, the number of cells that
-    were needed, and the digests that only the one or the other text holds (left
-    empty without ``digests``)."""
+def compare(rows: DataFrame, own: str, others: list[str], columns: list[str] | None = None, cells: int = CELLS, full: bool = True) -> DataFrame:
+    """``row`` (the columns named, or all) with the ``fingerprint`` of the ``digests`` in
+    column ``own``, and for each column of ``others`` a struct of that name: fingerprint,
+    likeness, the number of cells that were needed, and the digests that only the one
+    or the other text holds (left empty unless ``full``)."""
     if cells % 3:
         raise ValueError("cells come in three equal parts")
-    found = "struct<fingerprint:string,likeness:double,cells:bigint,lost:array<bigint>,gained:array<bigint>>"
     row = F.struct(*[F.col(f"`{c}`") for c in (rows.columns if columns is None else columns)]).alias("row")
-    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(f"text{i}") for i, c in enumerate([text, *others])]
-    inputs = rows.select(row, *texts)
-    schema = with_fields(inputs, "row", ", ".join(["fingerprint string", *[f"other{i} {found}" for i in range(len(others))]]))
+    inputs = rows.select(row, *[F.col(f"`{c}`").alias(f"keys{i}") for i, c in enumerate([own, *others])])
+    each = {"fingerprint": "string", "likeness": "double", "cells": "bigint", "lost": "array<bigint>", "gained": "array<bigint>"}
+    flat = {f"{name}{i}": kind for i in range(len(others)) for name, kind in each.items()}
+    schema = with_fields(inputs, "row", ", ".join(f"{name} {kind}" for name, kind in {"fingerprint": "string", **flat}.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[dict]:
-        recent: dict[str, Version] = {}  # the next row's text is often one of this row's
+        recent: list[Version] = []  # the next row's text is often one of this row's
         for batch in batches:
-            prints, compared = [], [[] for _ in others]
-            for row in zip(*(batch.column(f"text{i}") for i in range(len(others) + 1))):
-                own, *rest = (t.as_py() for t in row)
-                recent = {t: recent[t] if t in recent else Version(t, longest) for t in (own, *rest)}
-                version = recent[own]
-                prints.append(version.sketch(cells).text())
-                for into, other in zip(compared, rest):
-                    lost, gained, used = difference(version, recent[other], cells)
-                    into.append(
-                        {
-                            "fingerprint": recent[other].sketch(cells).text(),
-                            "likeness": likeness(version, recent[other], len(lost) + len(gained)),
-                            "cells": used,
-                            "lost": _signed(sorted(lost)) if digests else [],
-                            "gained": _signed(sorted(gained)) if digests else [],
-                        }
-                    )
-            yield {"row": batch.column("row"), "fingerprint": prints} | {f"other{i}": c for i, c in enumerate(compared)}
+            out: dict[str, list] = {name: [] for name in ("fingerprint", *flat)}
+            for lists in zip(*(_lists(batch.column(f"keys{i}")) for i in range(len(others) + 1))):
+                recent = [next((v for v in recent if v.found == k), None) or Version(k) for k in lists]
+                version, *rest = recent
+                out["fingerprint"].append(version.sketch(cells).text())
+                for i, other in enumerate(rest):
+                    lost, gained, used = difference(version, other, cells)
+                    out[f"fingerprint{i}"].append(other.sketch(cells).text())
+                    out[f"likeness{i}"].append(likeness(version, other, len(lost) + len(gained)))
+                    out[f"cells{i}"].append(used)
+                    out[f"lost{i}"].append(_signed(sorted(lost)) if full else [])
+                    out[f"gained{i}"].append(_signed(sorted(gained)) if full else [])
+            yield {"row": batch.column("row")} | out
 
     done = map_partitions(inputs, run, schema)
-    return done.select("row", "fingerprint", *[F.col(f"other{i}").alias(c) for i, c in enumerate(others)])
+    return done.select(
+        "row", "fingerprint", *[F.struct(*[F.col(f"{name}{i}").alias(name) for name in each]).alias(c) for i, c in enumerate(others)]
+    )
+
+
+def _lists(column: pa.ListArray) -> Iterable[list[int]]:
+    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return (values[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:]))
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:
@@ -241,9 +249,9 @@ def _range_of(key: Column, bounds: list[int]) -> Column:
     return F.when(at < 0, 0).otherwise(at * step + F.size(F.filter(chunk, lambda b: b <= key)))
 
 
-def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """row, text, next_text: each document with the text of the next one by
-    descending ``doc_id``; the first one follows the last."""
+def with_next(docs: DataFrame, ranges: int | None = None, longest: int = LONGEST, columns: list[str] | None = None) -> DataFrame:
+    """row (the columns named, or all), text, keys (its digests), next_text, next_keys: each document with the
+    text of the next one by descending ``doc_id``; the first one follows the last."""
     spark = docs.sparkSession
     if ranges is None:
         ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -259,22 +267,28 @@ def with_next(docs: DataFrame, ranges: int | None = None) -> DataFrame:
     used = [r["at"] for r in sorted(heads, key=lambda r: r["at"])]
     # The head of a range ends the next higher range; the highest one ends the lowest.
     ends = spark.createDataFrame([(top, at) for top, at in zip(tops, used[1:] + used[:1])], "head bigint, ends int")
-    rows = packed(docs, key.alias("key"), text_or_empty().alias("body"))
+    kept = F.struct(*[F.col(f"`{c}`") for c in (docs.columns if columns is None else columns)]).alias("row")
+    rows = docs.select(kept, key.alias("key"), text_or_empty().alias("body"))
     sent = rows.join(F.broadcast(ends), rows["key"] == ends["head"], "left")  # at most ``ranges`` rows
     own = F.struct(_range_of(F.col("key"), bounds).alias("at"), F.lit(False).alias("copy"))
     copy = F.struct(F.col("ends").alias("at"), F.lit(True).alias("copy"))
     places = F.explode(F.when(F.col("ends").isNull(), F.array(own)).otherwise(F.array(own, copy)))
     dealt = sent.select("key", "body", F.xxhash64("body").alias("tie"), "row", places.alias("to"))
+    # Digests are made once for each text, after the shuffle.
+    dealt = dealt.repartition("to.at").withColumn("keys", digests(F.col("body"), longest))
     order = Window.partitionBy("to.at").orderBy("to.copy", F.desc("key"), "tie", "body")
-    return dealt.select("row", "to", "body", F.lead("body").over(order).alias("next_text")).where("not to.copy").select(
-        "row", F.col("body").alias("text"), "next_text"
+    following = F.lead(F.struct("body", "keys")).over(order).alias("next")
+    return dealt.select("row", "to", "body", "keys", following).where("not to.copy").select(
+        "row", F.col("body").alias("text"), "keys", F.col("next.body").alias("next_text"), F.col("next.keys").alias("next_keys")
     )
 
 
-def with_edit(docs: DataFrame, ranges: int | None = None) -> DataFrame:
-    """doc_id, n_chars, text, edited, next_text: the last half of the code points
-    replaced by as many from the start of the next document, or all it has."""
+def with_edit(docs: DataFrame, ranges: int | None = None, longest: int = LONGEST) -> DataFrame:
+    """doc_id, n_chars, edited, and the digests of the text, the edited text and the
+    next text: the last half of the code points replaced by as many from the start of
+    the next document, or all it has."""
     half = F.floor(F.length("text") / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring("next_text", F.lit(1), half))
-    pairs = with_next(docs.select("doc_id", "text"), ranges)
-    return pairs.select("row.doc_id", F.length("text").cast("bigint").alias("n_chars"), "text", edited.alias("edited"), "next_text")
+    pairs = with_next(docs, ranges, longest, ["doc_id"])
+    known = pairs.select("row.doc_id", F.length("text").cast("bigint").alias("n_chars"), edited.alias("edited"), "keys", "next_keys")
+    return known.withColumn("edited_keys", digests(F.col("edited"), longest))

@@ -93,15 +93,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = fingerprints.with_edit(table(spark, sf_dir, "documents"))
-    shown = pairs.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "text", "edited", "next_text")
-    compared = fingerprints.compare(shown, "text", ["edited", "next_text"], columns=["doc_id", "n_chars", "edited_sha256"], digests=False)
+    shown = pairs.withColumn("edited_sha256", F.sha2("edited", 256))
+    compared = fingerprints.compare(shown, "keys", ["edited_keys", "next_keys"], columns=["doc_id", "n_chars", "edited_sha256"], full=False)
     return compared.select(
         "row.*",
         "fingerprint",
-        F.col("edited.fingerprint").alias("edited_fingerprint"),
-        F.col("edited.likeness").alias("near_edited"),
-        F.col("next_text.likeness").alias("near_next"),
-        F.col("edited.cells").alias("edited_cells"),
+        F.col("edited_keys.fingerprint").alias("edited_fingerprint"),
+        F.col("edited_keys.likeness").alias("near_edited"),
+        F.col("next_keys.likeness").alias("near_next"),
+        F.col("edited_keys.cells").alias("edited_cells"),
     )
 
 
