@@ -27,17 +27,16 @@ the root; an empty table gives an empty result; further columns pass through ins
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stockpilot.llm.ordering import ranked
 from stockpilot.llm.text import staged
 
 FANOUT = 3
 DEPTH = 6
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 
-PART_BITS = 33  # monotonically_increasing_id: partition number above, place below
-
 
 def leaf(values: list[Column]) -> Column:
     """Digest of the values: ``-`` if null, else UTF-8 bytes, a colon, the value."""
@@ -45,21 +44,6 @@ def leaf(values: list[Column]) -> Column:
     return F.sha2(F.concat(*written), 256)
 
 
-def ranked(rows: DataFrame, group: str, order: list[str]) -> DataFrame:
-    """The rows with ``rank`` (from 0) within their group and ``total``, the rows of
-    the group.  ``group`` is a string column without nulls."""
-    in_order = rows.repartitionByRange(group, *order).sortWithinPartitions(group, *order)
-    placed = staged(in_order.withColumn("place", F.monotonically_increasing_id()), "merkle-order")
-    part, within = F.shiftright("place", PART_BITS), F.col("place").bitwiseAND((1 << PART_BITS) - 1)
-    # One row for each partition.
-    sizes = placed.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
-    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    numbered = placed.withColumn("part", part).join(before, "part").withColumn("at", F.col("before") + within)
-    groups = numbered.groupBy(group).agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("total"))
-    return numbered.join(groups, group).withColumn("rank", F.col("at") - F.col("first")).drop("place", "part", "before", "at", "first")
-
-
 def nodes_at(total: Column, level: int) -> Column:
     """How many nodes a tree of ``total`` leaves has on a level."""
     return F.ceil(total / FANOUT**level) if level else total

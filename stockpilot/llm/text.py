@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 import stockpilot
-from stockpilot.session import scratch_path
+from stockpilot.session import discard, scratch_path
 
 # ASCII white space as the contracts name it: [\x20\x09-\x0D].  bytes.split()
 # without arguments splits on exactly these.
@@ -52,6 +53,36 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Staging:
+    """Staged tables of one run that later steps stop reading."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, str] = {}
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        self.paths[name] = scratch_path(self.spark, f"llm-{name}")
+        df.write.parquet(self.paths[name])
+        return self.spark.read.schema(df.schema).parquet(self.paths[name])
+
+    def remove(self, *names: str) -> None:
+        """Nothing reads these tables from now on."""
+        for name in names:
+            discard(self.spark, self.paths.pop(name))
+
+
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Batches of at most ``rows`` rows for the Python functions of jobs run inside."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def arrow_schema(schema: str | StructType) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
