@@ -23,7 +23,12 @@ that is, the least changed of a group of copies.  Then all pairs of different
 components that meet in a list are compared, the smaller side of a list against
 the rest.  Where two sets meet in a list, what precedes that shingle in either is
 shared no more, or they meet in an earlier list: a pair is left to that list where
-the rest of either set is too short for the needed overlap.  And each node carries
+the rest of either set is too short for the needed overlap.  A list whose smaller side
+has more than ``LONG`` nodes is not paired at all: its nodes are listed again under
+``KEYS`` keys of ``TOGETHER`` shingles each, the least ones in as many random orders.  Similar
+sets agree in such a key with a chance of 0.75 to the power ``TOGETHER`` at least, so
+the chance that they share none is below 1e-18, while sets that share one passage of
+several hardly meet; a pair is left to the first key that it shares.  And each node carries
 the parities of its shingles in ``BITS`` groups: two sets differ in at least as many
 shingles as parities, so pairs that differ in too many are left out.  No similar pair of
 different components is left out, and a group of copies costs a few comparisons for
@@ -38,6 +43,7 @@ have none; an empty table gives an empty result; further columns pass through.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
@@ -66,6 +72,12 @@ HOT_MAX = 200_000
 HOT_CHUNK = 1 << 21
 HOT_LEAST = 3
 
+#: Keys of several shingles for a node, and shingles in each.
+KEYS, TOGETHER = 76, 3
+#: Nodes outside of a list's main component beyond which its nodes are listed under
+#: such keys: then that makes fewer rows than pairing the list.
+LONG = KEYS
+
 #: Parities that stand for a set where pairs are left out.
 BITS = 512
 
@@ -221,8 +233,8 @@ def first_listed(most: int) -> int:
     return -(-PERCENT * (most + 1) // 100)
 
 
-def small_links(nodes: DataFrame, most: int) -> DataFrame:
-    """Links among the sets of at most ``most`` shingles, by shared subsets."""
+def small_subsets(nodes: DataFrame, most: int) -> DataFrame:
+    """id, n, a, b, subset: the subsets that similar sets of a and b shingles share."""
 
     def run(batch: pa.RecordBatch) -> dict:
         rows = []
@@ -235,7 +247,12 @@ def small_links(nodes: DataFrame, most: int) -> DataFrame:
         return dict(zip(("id", "n", "a", "b", "subset"), zip(*rows) if rows else [[]] * 5))
 
     small = nodes.where(F.col("n") <= most).select("id", "n", "whole")
-    subsets = staged(map_batches(small, run, "id bigint, n bigint, a bigint, b bigint, subset binary"), "subsets")
+    return staged(map_batches(small, run, "id bigint, n bigint, a bigint, b bigint, subset binary"), "subsets")
+
+
+def small_links(nodes: DataFrame, most: int) -> DataFrame:
+    """Links that join the sets of at most ``most`` shingles, by shared subsets."""
+    subsets = small_subsets(nodes, most)
     met = (
         subsets.groupBy("a", "b", "subset")
         .agg(F.min("id").alias("head"), F.min("n").alias("low"), F.max("n").alias("high"), F.count(F.lit(1)).alias("of"))
@@ -321,41 +338,117 @@ def few_differences(n: str, bits: str, m: str, m_bits: str) -> Column:
     return (100 + PERCENT) * (both - sum(words, F.lit(0))) >= 2 * PERCENT * both
 
 
-def crossing_pairs(entries: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs of different components that meet in a list and may be similar:
-    in each list, the nodes outside of its most frequent component with all others.
-    entries: s, id, n, at, part; nodes: id, bits."""
+def several_keys(shingles: np.ndarray) -> np.ndarray:
+    """Keys of the least ``TOGETHER`` shingles in random orders, ``KEYS`` of them."""
+    salts = _mixed(np.arange(1, KEYS * TOGETHER + 1, dtype=np.uint64))
+    least = np.array([_mixed(shingles ^ salt).min() for salt in salts], dtype=np.uint64).reshape(KEYS, TOGETHER)
+    held = np.zeros(KEYS, dtype=np.uint64)
+    for i in range(TOGETHER):
+        held = _mixed(held * np.uint64(0x9E3779B97F4A7C15) + least[:, i])
+    return (held >> np.uint64(32)).astype(np.uint32)
+
+
+def listed_again(nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """s, id, n, at, part, bits, keys: the nodes in a list for each of their keys of
+    several shingles; ``s`` is the place of the key among them and the key."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        keys = [several_keys(np.frombuffer(v.as_buffer(), dtype=np.uint64)).view(np.int32) for v in batch.column("shingles")]
+        return {"id": batch.column("id"), "keys": keys}
+
+    keyed = map_batches(nodes.select("id").join(sets, "id"), run, "id bigint, keys array<int>")
+    place = nodes.join(keyed, "id").select("id", "n", F.lit(0).alias("at"), "part", "bits", "keys", F.posexplode("keys").alias("place", "key"))
+    whole = F.shiftleft(F.col("place").cast("bigint"), 32).bitwiseOR(F.col("key").cast("bigint").bitwiseAND(0xFFFFFFFF))
+    return place.select(whole.alias("s"), "id", "n", "at", "part", "bits", "keys")
+
+
+def met_before(s: str, keys: str, others: str) -> Column:
+    """Whether two nodes that meet in the list of a key share an earlier key."""
+    place = F.shiftright(F.col(s), 32).cast("int")
+    return F.exists(F.arrays_zip(F.slice(keys, 1, place).alias("x"), F.slice(others, 1, place).alias("y")), lambda k: k["x"] == k["y"])
+
+
+def main_parts(entries: DataFrame) -> DataFrame:
+    """s, main, fewer: of each list with several components the most frequent one, and
+    how many nodes are outside of it."""
     parts = entries.groupBy("s", "part").agg(F.count(F.lit(1)).alias("of"))
-    main = parts.groupBy("s").agg(F.max_by("part", F.struct("of", "part")).alias("main"), F.count(F.lit(1)).alias("parts"))
-    main = staged(main.where("parts > 1").select("s", "main"), "list-components")
-    marked = staged(entries.join(main, "s").join(nodes, "id"), "crossing-lists")
-    fewer = marked.where("part <> main").select("s", *[F.col(c).alias(f"a_{c}") for c in ("id", "n", "at", "part", "bits")])
-    met = fewer.join(marked, "s").where(
+    lists = parts.groupBy("s").agg(F.max_by("part", F.struct("of", "part")).alias("main"), F.max("of").alias("most"), F.sum("of").alias("of"))
+    return lists.where("of > most").select("s", "main", (F.col("of") - F.col("most")).alias("fewer"))
+
+
+def met_in_lists(marked: DataFrame) -> DataFrame:
+    """a, b: in each list, the nodes outside of its main component with all others.
+    marked: s, id, n, at, part, bits, main, and keys where these made the lists."""
+    by_keys = "keys" in marked.columns
+    own = ("id", "n", "at", "part", "bits", *(["keys"] if by_keys else []))
+    fewer = marked.where("part <> main").select("s", *[F.col(c).alias(f"a_{c}") for c in own])
+    wanted = (
         (F.col("a_part") != F.col("part"))
+        & ((F.col("part") == F.col("main")) | (F.col("a_id") < F.col("id")))
         & may_be_similar("a_n", "a_at", "n", "at")
         & few_differences("a_n", "a_bits", "n", "bits")
-        & ((F.col("part") == F.col("main")) | (F.col("a_id") < F.col("id")))
     )
-    return met.select(F.greatest("a_id", "id").alias("a"), F.least("a_id", "id").alias("b")).distinct()
+    met = fewer.join(marked, "s").where(wanted & ~met_before("s", "a_keys", "keys") if by_keys else wanted)
+    return met.select(F.greatest("a_id", "id").alias("a"), F.least("a_id", "id").alias("b"))
 
 
-def ngram_join(docs: DataFrame) -> DataFrame:
-    """doc, version, n_shingles, component_id for each row of ``docs``."""
+def crossing_pairs(entries: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
+    """All pairs of different components that meet in a list and may be similar.
+    entries: s, id, n, at, part; nodes: id, bits; sets: id, shingles."""
+    main = staged(main_parts(entries), "list-components")
+    marked = staged(entries.join(main, "s").join(nodes, "id"), "crossing-lists")
+    pairs = met_in_lists(marked.where(F.col("fewer") <= LONG))
+    crowded = marked.where(F.col("fewer") > LONG).select("id", "n", "part", "bits").dropDuplicates(["id"])
+    crowded = staged(crowded, "crowded-nodes")
+    if not crowded.isEmpty():
+        again = staged(listed_again(crowded, sets), "several-shingles")
+        pairs = pairs.union(met_in_lists(again.join(staged(main_parts(again), "several-components"), "s")))
+    return pairs.distinct()
+
+
+def small_pairs(nodes: DataFrame, most: int) -> DataFrame:
+    """a, b: all similar pairs among the sets of at most ``most`` shingles."""
+    subsets = small_subsets(nodes, most)
+    one = subsets.select("a", "b", "subset", F.col("id").alias("one"), F.col("n").alias("one_n"))
+    both = subsets.join(one, ["a", "b", "subset"]).where(
+        (F.col("id") > F.col("one")) & (F.least("n", "one_n") == F.col("a")) & (F.greatest("n", "one_n") == F.col("b"))
+    )
+    return both.select(F.col("id").alias("a"), F.col("one").alias("b")).distinct()
+
+
+@dataclass(frozen=True)
+class Lists:
+    rows: DataFrame  # a row for each document
+    nodes: DataFrame  # distinct sets
+    most: int  # the largest size that is enumerated
+    entries: DataFrame  # s, id, n, at
+    sets: DataFrame  # id, shingles
+
+
+def lists_of(docs: DataFrame) -> Lists:
+    """The distinct sets and their inverted lists."""
     hot = hot_shingles(_texts(docs).select("text"))
     rows = staged(described(docs, hot), "shingle-prefixes")
     nodes = staged(node_table(rows), "shingle-nodes")
     most = boundary(nodes)
-    links = [staged(small_links(nodes, most), "small-links")]
     listed = nodes.where(F.col("n") >= first_listed(most)).select("id", "n", F.posexplode("listed").alias("at", "s"))
     shared = staged(listed.groupBy("s").agg(F.count(F.lit(1)).alias("of")).where("of > 1").select("s"), "shared-shingles")
     entries = staged(listed.join(shared, "s").select("s", "id", "n", "at"), "inverted-lists")
     wanted = entries.select("id").distinct().join(nodes.select("id", "doc", "version"), "id")
-    sets = staged(sets_of(docs, wanted), "shingle-sets")
+    return Lists(rows, nodes, most, entries, staged(sets_of(docs, wanted), "shingle-sets"))
+
+
+def ngram_join(docs: DataFrame) -> DataFrame:
+    """doc, version, n_shingles, component_id for each row of ``docs``."""
+    found = lists_of(docs)
+    rows, nodes, entries, sets = found.rows, found.nodes, found.entries, found.sets
+    links = [staged(small_links(nodes, found.most), "small-links")]
     heads = list_heads(entries, nodes.select("id", F.size("listed").alias("listed_as")))
     pairs = staged(best_heads(entries, heads), "head-pairs")
     links.append(staged(compared(pairs, sets).where(similar()).select("a", "b"), "head-links"))
     roots = components(_all(links))
-    pairs = staged(crossing_pairs(staged(labelled(entries, roots), "labelled-lists"), nodes.select("id", "bits")), "crossing-pairs")
+    lists = staged(labelled(entries, roots), "labelled-lists")
+    pairs = staged(crossing_pairs(lists, nodes.select("id", "bits"), sets), "crossing-pairs")
     links.append(staged(compared(pairs, sets).where(similar()).select("a", "b"), "crossing-links"))
     roots = components(_all(links))
     named = nodes.join(roots, nodes["id"] == roots["node"], "left").select("digest", "low", F.coalesce("root", "id").alias("root"))
@@ -367,6 +460,32 @@ def ngram_join(docs: DataFrame) -> DataFrame:
     )
 
 
+def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """All links: (a, b) of the numbers of distinct similar sets, each pair once, and the
+    members (id, doc, version, copies) of the sets, ``copies`` being the rows of a set.
+    As many rows as there are links: a group of k near copies has up to k (k - 1) / 2."""
+    found = lists_of(docs)
+    alone = found.entries.withColumn("part", F.col("id"))
+    pairs = staged(crossing_pairs(alone, found.nodes.select("id", "bits"), found.sets), "all-pairs")
+    large = compared(pairs, found.sets).where(similar()).select("a", "b")
+    links = staged(large.union(small_pairs(found.nodes, found.most)).distinct(), "all-links")
+    sizes = found.rows.where("n > 0").groupBy("digest").agg(F.count(F.lit(1)).alias("copies"))
+    classes = found.nodes.select("digest", "id").join(sizes, "digest")
+    members = found.rows.select("doc", "version", "digest").join(classes, "digest", "left").select("id", "doc", "version", "copies")
+    return links, staged(members, "set-members")
+
+
+def link_counts(docs: DataFrame) -> DataFrame:
+    """doc, version, n_links for each row: how many other rows are similar, copies
+    included.  Rows without words have none."""
+    links, members = set_links(docs)
+    both = links.select(F.col("a").alias("id"), F.col("b").alias("to")).union(links.select(F.col("b").alias("id"), F.col("a").alias("to")))
+    sizes = members.where("id is not null").groupBy(F.col("id").alias("to")).agg(F.first("copies").alias("copies"))
+    linked = both.join(sizes, "to").groupBy("id").agg(F.sum("copies").alias("others"))
+    counts = F.coalesce(F.col("copies") - 1 + F.coalesce("others", F.lit(0)), F.lit(0)).cast("bigint")
+    return members.join(linked, "id", "left").select("doc", "version", counts.alias("n_links"))
+
+
 def _all(links: list[DataFrame]) -> DataFrame:
     out = links[0]
     for more in links[1:]:

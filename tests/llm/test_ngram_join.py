@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from cases import ROWS, documents, empty, plain
 from conftest import SF0001
+from pyspark.sql import functions as F
 from stockpilot.llm import ngram_join, queries
 from stockpilot.llm.components import components
 
@@ -137,3 +138,86 @@ def test_parities_never_rule_out_a_similar_pair(a, b, shared):
     x, y = ngram_join.parities(pool[:a]), ngram_join.parities(pool[a - shared :])
     differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
     assert differ <= a + b - 2 * shared
+
+
+def blocks(rng, pages, kinds=12, of=4, words=30):
+    """Pages made of some of a few shared passages, and near copies of pages."""
+    passages = [" ".join(f"b{k}_{i}" for i in range(words)) for k in range(kinds)]
+    texts = [" ".join(rng.sample(passages, of)) for _ in range(pages)]
+    for text in rng.sample(texts, pages // 5):
+        copy = text.split()
+        copy[rng.randrange(len(copy))] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+@pytest.mark.parametrize("hot_max", [0, 200_000])
+def test_crowded_lists_against_brute_force(spark, monkeypatch, hot_max):
+    """Lists whose nodes are listed again under keys of several shingles."""
+    monkeypatch.setattr(ngram_join, "LONG", 3)
+    monkeypatch.setattr(ngram_join, "HOT_MAX", hot_max)
+    again, seen = ngram_join.listed_again, []
+    monkeypatch.setattr(ngram_join, "listed_again", lambda *a: seen.append(1) or again(*a))
+    texts = blocks(random.Random(5), 150) + corpus(random.Random(12))[:200]
+    assert joined(plain(spark, texts)) == brute(list(enumerate(texts)))
+    assert seen
+
+
+def test_similar_sets_share_a_key_of_several_shingles():
+    rng = np.random.default_rng(2)
+    for n in (20, 60, 300):
+        for _ in range(40):
+            pool = rng.integers(0, 2**63, 5 * n, dtype=np.uint64)
+            a, b = pool[: 4 * n], np.concatenate((pool[: 3 * n], pool[4 * n :]))  # 3 n of 5 n: not similar
+            similar = pool[: 4 * n], np.concatenate((pool[: 4 * n], pool[4 * n : 5 * n]))  # 4 n of 5 n
+            keys = [set(ngram_join.several_keys(x).tolist()) for x in (*similar, a, b)]
+            assert keys[0] & keys[1]
+
+
+def list_pairs(spark, monkeypatch, pages, long):
+    """Pairs in the lists of single shingles and of several."""
+    counted, met = [], ngram_join.met_in_lists
+    monkeypatch.setattr(ngram_join, "LONG", long)
+    monkeypatch.setattr(ngram_join, "met_in_lists", lambda marked: counted.append(lists_of_pairs(marked)) or met(marked))
+    ngram_join.ngram_join(plain(spark, pages)).count()
+    monkeypatch.setattr(ngram_join, "met_in_lists", met)
+    return counted
+
+
+def lists_of_pairs(marked):
+    """Pairs that the lists hold before any filter."""
+    sizes = marked.groupBy("s").agg(F.count_if(F.col("part") != F.col("main")).alias("few"), F.count(F.lit(1)).alias("of"))
+    return sizes.agg(F.coalesce(F.sum(F.col("few") * F.col("of")), F.lit(0))).first()[0]
+
+
+def test_pairs_of_pages_with_shared_passages(spark, monkeypatch):
+    """Pages of 4 of 30 passages: the lists of a passage are not paired out."""
+    rng = random.Random(8)
+    pages = blocks(rng, 800, kinds=30, words=40)
+    half, whole = (list_pairs(spark, monkeypatch, pages[:n], 16) for n in (400, 800))
+    plain_lists = sum(list_pairs(spark, monkeypatch, pages[:800], 10**9))
+    print("pairs in lists:", half, whole, "without splitting:", plain_lists)
+    assert whole[0] < 16 * 120 * 960 and 10 * sum(whole) < plain_lists
+
+
+def brute_links(rows):
+    """How many other rows are similar to each, and the pairs of distinct sets."""
+    sets = [shingles(text) for _, text in rows]
+    near = lambda a, b: bool(a) and bool(b) and 100 * len(a & b) >= 75 * len(a | b)
+    counts = sorted(((doc, sum(near(s, t) for j, t in enumerate(sets) if j != i)) for i, ((doc, _), s) in enumerate(zip(rows, sets))), key=str)
+    distinct = list({s for s in sets if s})
+    return counts, sum(near(a, b) for i, a in enumerate(distinct) for b in distinct[:i])
+
+
+@pytest.mark.parametrize("long", [2, 32])
+def test_links_against_brute_force(spark, monkeypatch, long):
+    monkeypatch.setattr(ngram_join, "LONG", long)
+    texts = corpus(random.Random(13))[:260]
+    texts += texts[:25] + texts[:5] + [None, "", "a b"]
+    docs = plain(spark, texts)
+    counts, links = brute_links(list(enumerate(texts)))
+    assert sorted(((r["doc"], r["n_links"]) for r in ngram_join.link_counts(docs).collect()), key=str) == counts
+    assert ngram_join.set_links(docs)[0].count() == links
+    cases = brute_links([(r[0], r[1]) for r in ROWS])[0]
+    assert sorted(((r["doc"], r["n_links"]) for r in ngram_join.link_counts(documents(spark)).collect()), key=str) == cases
+    assert ngram_join.link_counts(empty(spark)).count() == 0
