@@ -109,7 +109,9 @@ def reply_paths(links: DataFrame) -> DataFrame:
 
 
 def chosen_paths(messages: DataFrame, branches: int | None) -> DataFrame:
-    """conv_id, leaf, up, role, text of the ``branches`` best branches (all: None)."""
+    """conv_id, leaf, up, role, text of the ``branches`` best branches of each
+    conversation (all: None), by the mean score of their messages; of equal scores the
+    branch with the smallest leaf comes first."""
     key = F.struct("conv_id", "msg_id")
     messages = staged(
         messages.select(

@@ -5,9 +5,11 @@ pass appends one entry per row to an ingest log: digest of the stripped text,
 the integer ``doc_id``, the length of the original text and a content locator
 (file and row number).  A Structured Streaming aggregation over that log keeps,
 per digest and without expiry, the entry that stays and the number of rows; its
-state lives on disk in RocksDB and is saved under the shared folder, so a query
-restarted on the same checkpoint goes on where it stopped.  Entries of a digest
-are combined in each task before they are shuffled: a text that a third of all
+state lives on disk in RocksDB and is saved under the shared folder.  A caller that
+names a folder keeps log and state there: the next call appends its documents to the
+log, the stream goes on where it stopped, and the result holds all documents of the
+log.  The log is read in ``batches`` micro-batches or more, so hits across batches go
+through the state.  Entries of a digest are combined in each task before they are shuffled: a text that a third of all
 rows hold leaves each task as one row.
 
 The state is then read as a table.  On hits (digests of several rows) the full
@@ -18,7 +20,9 @@ their whole text.
 Cases: a null text counts as empty; of equal texts the row with the most code
 points stays, then the smallest ``doc_id`` (null last), then the first locator,
 so that of fully repeated rows exactly one stays; an empty table gives an empty
-result; further columns are not read.  The input must be read from files.
+result; further columns are not read.  The input must be read from files, which must
+be parquet and stay where they are if a folder is kept; a document that is read
+again from the same file counts again.
 """
 
 from __future__ import annotations
@@ -78,15 +82,13 @@ def rank() -> Column:
     )
 
 
-def keep_state(spark: SparkSession, log_path: str, log: DataFrame, checkpoint: str, files_per_batch: int | None) -> None:
+def keep_state(spark: SparkSession, log_path: str, log: DataFrame, checkpoint: str, files_per_batch: int) -> None:
     """Bring the keyed state under ``checkpoint`` up to date with the log."""
     before = {k: spark.conf.get(k, None) for k in STATE_CONF}
     for k, v in STATE_CONF.items():
         spark.conf.set(k, v)
     try:
-        reader = spark.readStream.schema(log.schema)
-        if files_per_batch:
-            reader = reader.option("maxFilesPerTrigger", files_per_batch)
+        reader = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", files_per_batch)
         groups = reader.parquet(log_path).groupBy("digest").agg(F.min(rank()).alias("stays"), F.count(F.lit(1)).alias("n"))
         query = (
             groups.writeStream.format("noop")
@@ -123,6 +125,12 @@ def check_bytes(docs: DataFrame, hits: DataFrame) -> DataFrame:
     )
 
 
+def _earlier(docs: DataFrame, log: DataFrame) -> DataFrame:
+    """The documents of all files that the log names, as far as they are needed."""
+    files = [r["file"] for r in log.select("file").distinct().collect()]  # paths, as Spark's own file list
+    return docs.sparkSession.read.schema(docs.select(F.col("text").cast("string")).schema).parquet(*files)
+
+
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The entries of ``wanted`` with their stripped text, found by locator."""
     place = docs.metadataColumn("_metadata")
@@ -141,16 +149,24 @@ def _decided(entries: DataFrame) -> DataFrame:
     )
 
 
-def exact_dedup(docs: DataFrame, digest: Callable[[Column], Column] = sha256, files_per_batch: int | None = None) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``."""
+def exact_dedup(
+    docs: DataFrame, digest: Callable[[Column], Column] = sha256, batches: int = 1, folder: str | None = None
+) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for each row of ``docs``, and for
+    those of earlier calls with the same ``folder``."""
     spark = docs.sparkSession
-    log_path, checkpoint = scratch_path(spark, "llm-ingest-log"), scratch_path(spark, "llm-dedup-state")
+    if folder is None:
+        log_path, checkpoint = scratch_path(spark, "llm-ingest-log"), scratch_path(spark, "llm-dedup-state")
+    else:
+        log_path, checkpoint = f"{folder.rstrip('/')}/log", f"{folder.rstrip('/')}/state"
     entries = ingest_log(docs, digest)
-    entries.write.parquet(log_path)
+    entries.write.mode("append").parquet(log_path)
     log = spark.read.schema(entries.schema).parquet(log_path)
     if log.isEmpty():
         return spark.createDataFrame([], RESULT)
-    keep_state(spark, log_path, entries, checkpoint, files_per_batch)
+    keep_state(spark, log_path, entries, checkpoint, max(1, len(log.inputFiles()) // batches))
+    if folder is not None:
+        docs = _earlier(docs, log)
     state = staged(read_state(spark, checkpoint), "dedup-state")
     hits = log.select("digest", "file", "at").join(state.where("n > 1").select("digest"), "digest")
     differing = staged(check_bytes(docs, hits), "differing-digests")

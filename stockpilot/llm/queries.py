@@ -34,7 +34,7 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame(
         [(EXTRA_CONVERSATION, turn, role, EXTRA_TEXT) for turn, role in enumerate(("user", "assistant"))], rows.schema
     )
-    return chat_format.read_back(chat_format.chat_format(chat_format.threads(rows.unionByName(extra))))
+    return chat_format.read_back(chat_format.chat_format(chat_format.threads(rows.unionByName(extra)), branches=1))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,7 +74,7 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"), batches=3)
 
 
 def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,7 @@ import hashlib
 import re
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from cases import ROWS, documents, empty
@@ -44,10 +45,31 @@ def test_digests_that_collide_are_told_apart_by_their_bytes(spark, tmp_path):
 
 def test_several_batches(spark, tmp_path):
     docs = stored(spark, documents(spark).repartition(4), tmp_path)
-    got = exact_dedup.exact_dedup(docs, files_per_batch=1).collect()
+    got = exact_dedup.exact_dedup(docs, batches=4).collect()
     assert sorted(map(tuple, got), key=str) == brute(ROWS)
 
 
+def weak_digest(body):
+    return F.unhex(F.when(F.length(body) % 2 == 0, "00").otherwise("01"))
+
+
+@pytest.mark.parametrize("digest", [exact_dedup.sha256, weak_digest])
+def test_halves_in_turn_equal_the_whole(spark, tmp_path, digest):
+    """State and log outlive a call; copies of earlier documents meet them there."""
+    rows = [*ROWS, (20, ROWS[0][1], "en", "s9"), (0, " " + ROWS[9][1] + " \n", "en", "s9")] if ROWS[9][1] else [*ROWS, (20, ROWS[0][1], "en", "s9")]
+    folder, calls = str(tmp_path / "kept"), [rows[:6], rows[6:11], rows[11:]]
+    for i, part in enumerate(calls):
+        documents(spark, part).repartition(2).write.parquet(str(tmp_path / f"docs{i}"))
+        got = exact_dedup.exact_dedup(spark.read.parquet(str(tmp_path / f"docs{i}")), digest, batches=2, folder=folder).collect()
+        assert sorted(map(tuple, got), key=str) == brute([r for p in calls[: i + 1] for r in p])
+
+
+def test_log_is_read_in_batches(spark, tmp_path):
+    docs = stored(spark, documents(spark).repartition(6), tmp_path)
+    exact_dedup.exact_dedup(docs, batches=3, folder=str(tmp_path / "kept"))
+    assert len([f for f in (tmp_path / "kept" / "state" / "commits").iterdir() if f.name.isdigit()]) >= 3
+
+
 def test_no_documents(spark, tmp_path):
     assert exact_dedup.exact_dedup(stored(spark, empty(spark), tmp_path)).count() == 0
 
