@@ -3,8 +3,9 @@
 Every text gives a vector of transformed statistics: log length, log word length,
 share of symbols, of repeated lines, of repeated passages and of letters and digits.  For
 each language and source, the minimum-covariance-determinant estimate of centre
-and scatter is found by concentration steps: from medians on, the ``SUPPORT``
-share of the rows nearest to the current estimate gives the next one; a last,
+and scatter is found by concentration steps from three starts: the ``SUPPORT``
+share of the rows nearest to the current estimate gives the next one, and the start
+that ends with the smallest determinant is taken (ties: the first); a last,
 reweighted estimate uses all rows that are not far.  Rows beyond a chi-squared
 quantile of the Mahalanobis distance are rejected.
 
@@ -46,11 +47,11 @@ MIN_ROWS = 60
 REJECT = 1e-5
 FEATURES = ("length", "word_length", "symbols", "repeated_lines", "repeated_words", "alphanumeric")
 #: Spread that is always granted to a statistic.
-SPREAD = (1.0, 0.1, 0.1, 0.2, 0.15, 0.05)
+SPREAD = (1.0, 0.1, 0.1, 0.15, 0.15, 0.05)
 N = len(FEATURES)
 
 STATS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, n_lines bigint, n_alphanumeric bigint"
-PARAMS = "level int, lang string, source string, centre array<double>, inverse array<double>"
+PARAMS = "level int, lang string, source string, start int, centre array<double>, inverse array<double>, logdet double"
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -161,63 +162,108 @@ def _x(i: int) -> Column:
     return F.col(f"x{i}")
 
 
+PAIRS = [(i, j) for i in range(N) for j in range(i, N)]
+
+
 def starting_params(rows: DataFrame) -> DataFrame:
-    """Medians, and median deviations as a diagonal scatter."""
+    """Three starts for each cell: medians with median deviations as a diagonal
+    scatter; means with the covariance; medians with the covariance of what a
+    hyperbolic tangent leaves of the standardised deviations, so that far rows count
+    little but correlations are there from the start."""
     medians = staged(rows.groupBy("cell").agg(*[F.percentile_approx(_x(i), 0.5).alias(f"m{i}") for i in range(N)]), "quality-medians")
     off = rows.join(medians, "cell").groupBy("cell")
     spreads = off.agg(
         *[F.first(f"m{i}").alias(f"m{i}") for i in range(N)],
         *[F.percentile_approx(F.abs(_x(i) - F.col(f"m{i}")), 0.5).alias(f"s{i}") for i in range(N)],
     )
-    width = [1 / (F.pow(1.4826 * F.col(f"s{i}"), 2) + SPREAD[i] ** 2) for i in range(N)]
-    inverse = [width[i] if i == j else F.lit(0.0) for i in range(N) for j in range(N)]
-    return spreads.select("cell", F.array(*[F.col(f"m{i}") for i in range(N)]).alias("centre"), F.array(*inverse).alias("inverse"))
+    widths = [F.sqrt(F.pow(1.4826 * F.col(f"s{i}"), 2) + SPREAD[i] ** 2).alias(f"w{i}") for i in range(N)]
+    spreads = staged(spreads.select("cell", *[f"m{i}" for i in range(N)], *widths), "quality-spreads")
+    z = [F.tanh((_x(i) - F.col(f"m{i}")) / F.col(f"w{i}")) for i in range(N)]
+    sums = rows.join(spreads, "cell").groupBy("cell").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.array(*[F.sum(_x(i)) for i in range(N)]).alias("first"),
+        F.array(*[F.sum(_x(i) * _x(j)) for i, j in PAIRS]).alias("second"),
+        F.array(*[F.sum(z[i] * z[j]) for i, j in PAIRS]).alias("signs"),
+        F.array(*[F.first(f"m{i}") for i in range(N)]).alias("medians"),
+        F.array(*[F.first(f"w{i}") for i in range(N)]).alias("widths"),
+    )
+
+    def begin(batch: pa.RecordBatch) -> dict:
+        out: dict[str, list] = {c: [] for c in (*CELL, "start", "centre", "inverse", "logdet")}
+        cells = [batch.column(c).to_pylist() for c in CELL]
+        for cell, n, first, second, signs, medians, widths in zip(
+            zip(*cells), *(batch.column(c).to_pylist() for c in ("n", "first", "second", "signs", "medians", "widths"))
+        ):
+            centre, width = np.array(first) / n, np.array(widths)
+            starts = (
+                (np.array(medians), np.diag(np.square(width))),
+                (centre, _symmetric(second) / n - np.outer(centre, centre) + np.diag(np.square(SPREAD))),
+                (np.array(medians), (_symmetric(signs) / n + 1e-3 * np.eye(N)) * np.outer(width, width)),
+            )
+            for k, (middle, scatter) in enumerate(starts):
+                for c, v in zip(out, (*cell, k, middle.tolist(), np.linalg.inv(scatter).ravel().tolist(), float(np.linalg.slogdet(scatter)[1]))):
+                    out[c].append(v)
+        return out
+
+    return _as_params(map_batches(sums.select("cell.*", *[c for c in sums.columns if c != "cell"]), begin, PARAMS))
+
+
+def _symmetric(upper: list[float]) -> np.ndarray:
+    matrix = np.zeros((N, N))
+    for (i, j), v in zip(PAIRS, upper):
+        matrix[i, j] = matrix[j, i] = v
+    return matrix
+
+
+def _as_params(solved: DataFrame) -> DataFrame:
+    return solved.select(F.struct(*CELL).alias("cell"), "start", "centre", "inverse", "logdet")
 
 
 def distance() -> Column:
     """Squared Mahalanobis distance."""
     d = [_x(i) - F.get("centre", F.lit(i)) for i in range(N)]
-    return sum(
-        (F.get("inverse", F.lit(i * N + j)) * d[i] * d[j] * (1 if i == j else 2) for i in range(N) for j in range(i, N)), F.lit(0.0)
-    )
+    return sum((F.get("inverse", F.lit(i * N + j)) * d[i] * d[j] * (1 if i == j else 2) for i, j in PAIRS), F.lit(0.0))
 
 
 def estimated(rows: DataFrame, factor: float) -> DataFrame:
-    """cell, centre, inverse of the scatter, from sums of products of the rows."""
-    pairs = [(i, j) for i in range(N) for j in range(i, N)]
-    sums = rows.groupBy("cell").agg(
+    """cell, start, centre, inverse and log of the determinant of the scatter, from
+    sums of products of the rows."""
+    sums = rows.groupBy("cell", "start").agg(
         F.count(F.lit(1)).alias("n"),
         F.array(*[F.sum(_x(i)) for i in range(N)]).alias("first"),
-        F.array(*[F.sum(_x(i) * _x(j)) for i, j in pairs]).alias("second"),
+        F.array(*[F.sum(_x(i) * _x(j)) for i, j in PAIRS]).alias("second"),
     )
 
     def solve(batch: pa.RecordBatch) -> dict:
-        centres, inverses = [], []
+        out: dict[str, list] = {"centre": [], "inverse": [], "logdet": []}
         for n, first, second in zip(*(batch.column(c).to_pylist() for c in ("n", "first", "second"))):
             centre = np.array(first) / n
-            scatter = np.zeros((N, N))
-            for (i, j), v in zip(pairs, second):
-                scatter[i, j] = scatter[j, i] = v / n - centre[i] * centre[j]
-            centres.append(centre.tolist())
-            inverses.append(np.linalg.inv(factor * scatter + np.diag(np.square(SPREAD))).ravel().tolist())
-        return {c: batch.column(c) for c in CELL} | {"centre": centres, "inverse": inverses}
+            scatter = factor * (_symmetric(second) / n - np.outer(centre, centre)) + np.diag(np.square(SPREAD))
+            out["centre"].append(centre.tolist())
+            out["inverse"].append(np.linalg.inv(scatter).ravel().tolist())
+            out["logdet"].append(float(np.linalg.slogdet(scatter)[1]))
+        return {c: batch.column(c) for c in (*CELL, "start")} | out
+
+    return _as_params(map_batches(sums.select("cell.*", "start", "n", "first", "second"), solve, PARAMS))
+
 
-    solved = map_batches(sums.select("cell.*", "n", "first", "second"), solve, PARAMS)
-    return solved.select(F.struct(*CELL).alias("cell"), "centre", "inverse")
+FITTED = ("start", "centre", "inverse", "logdet")
 
 
 def robust_params(rows: DataFrame) -> DataFrame:
-    """The reweighted minimum-covariance-determinant estimate of each cell.
+    """The reweighted minimum-covariance-determinant estimate of each cell: of all
+    starts, the one whose nearest rows have the smallest determinant in the end.
     rows: cell, x0, x1, ..."""
     params = staged(starting_params(rows), "quality-start")
     for _ in range(STEPS):
-        near = rows.join(params, "cell").withColumn("d2", distance()).drop("centre", "inverse")
-        limits = staged(near.groupBy("cell").agg(F.percentile_approx("d2", SUPPORT).alias("limit")), "quality-limits")
-        nearest = near.join(limits, "cell").where("d2 <= limit")
+        near = rows.join(params, "cell").withColumn("d2", distance()).drop("centre", "inverse", "logdet")
+        limits = staged(near.groupBy("cell", "start").agg(F.percentile_approx("d2", SUPPORT).alias("limit")), "quality-limits")
+        nearest = near.join(limits, ["cell", "start"]).where("d2 <= limit")
         params = staged(estimated(nearest, consistency(SUPPORT)), "quality-step")
+    chosen = params.groupBy("cell").agg(F.min_by(F.struct(*FITTED), F.struct("logdet", "start")).alias("best")).select("cell", "best.*")
     far = chi2_quantile(0.975, N)
-    clean = rows.join(params, "cell").withColumn("d2", distance()).where(F.col("d2") <= far).drop("centre", "inverse")
-    return staged(estimated(clean, consistency(0.975)), "quality-params")
+    clean = rows.join(chosen, "cell").withColumn("d2", distance()).where(F.col("d2") <= far).drop("centre", "inverse", "logdet")
+    return staged(estimated(clean, consistency(0.975)).drop("start", "logdet"), "quality-params")
 
 
 def _with_features(stats: DataFrame) -> DataFrame:

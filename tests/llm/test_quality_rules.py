@@ -75,3 +75,46 @@ def test_the_estimate_withstands_outliers(spark):
 def test_chi_squared():
     assert abs(quality_rules.chi2_quantile(0.975, 6) - 14.4494) < 1e-3
     assert abs(quality_rules.chi2_quantile(0.95, 8) - 15.5073) < 1e-3
+
+
+def mcd_rows(spark, points):
+    columns = ", ".join(f"x{i} double" for i in range(6))
+    frame = spark.createDataFrame([("a", *map(float, x)) for x in points], f"lang string, {columns}")
+    return frame.selectExpr("named_struct('level', 2, 'lang', lang, 'source', 's') cell", *[f"x{i}" for i in range(6)])
+
+
+def test_the_smallest_determinant_is_chosen(spark):
+    """Rows along a line, a tenth of the rows beside it but inside of all margins: the
+    start from medians alone keeps them, the chosen one leaves them out."""
+    rng = np.random.default_rng(3)
+    good = rng.normal(size=(2000, 1)) * 40 @ np.ones((1, 6)) + rng.normal(size=(2000, 6)) * 0.5
+    bad = np.array([8, -8, 8, -8, 8, -8]) + rng.normal(size=(220, 6)) * 0.5
+    rows = mcd_rows(spark, np.vstack([good, bad]))
+    starts = quality_rules.staged(quality_rules.starting_params(rows), "starts").collect()
+    assert sorted(r["start"] for r in starts) == [0, 1, 2]
+
+    def distances(points, got):
+        off = points - np.array(got["centre"])
+        return np.einsum("ni,ij,nj->n", off, np.array(got["inverse"]).reshape(6, 6), off)
+
+    first = next(r for r in starts if r["start"] == 0)
+    assert np.median(distances(bad, first)) < np.median(distances(good, first))
+    limit = quality_rules.chi2_quantile(1 - quality_rules.REJECT, 6)
+    got = quality_rules.robust_params(rows).first()
+    assert (distances(bad, got) > limit).all() and (distances(good, got) < limit).mean() > 0.99
+
+
+def test_pages_of_repeated_lines_are_rejected(spark):
+    """Nothing is wrong with these pages but that most of their lines come again."""
+    rng = np.random.default_rng(4)
+    word = lambda: "".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9)))
+    lines = lambda n: [word() + str(rng.integers(1000)) for _ in range(n)]
+    pages = ["\n".join(lines(160)) for _ in range(300)]
+    for i in range(3):
+        few = lines(24)  # in another order each time, so that no passage comes again
+        pages.append("\n".join(rng.permutation((few * 7)[:160])))
+    docs = documents(spark, [(i, t, "en", "s") for i, t in enumerate(pages)])
+    got = {r["row"]["doc_id"]: r for r in quality_rules.quality_rules(docs).collect()}
+    assert all(not got[i]["base_failed"] for i in range(300))
+    assert sum(got[i]["kept"] for i in range(300)) >= 298
+    assert not any(got[i]["base_failed"] or got[i]["kept"] for i in range(300, 303))
