@@ -45,7 +45,7 @@ def _not_null(cols: str, alias: str = "") -> str:
 
 def _order_feed(odd: int, location: str) -> str:
     def shifted(day: str) -> str:
-        return f"{AS_OF} + CAST(date_diff('day', {EPOCH}, {day}) % 120 - 30 AS INTEGER)"
+        return f"{AS_OF} + CAST(date_diff('day', {EPOCH}, {day}) % 120 - 30 + CASE WHEN l_partkey % 20 = 7 THEN 400 ELSE 0 END AS INTEGER)"
 
     return f"""
     SELECT l_partkey AS sku, CAST({location} AS INTEGER) AS store,

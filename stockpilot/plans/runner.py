@@ -31,12 +31,13 @@ class JobResult:
     missing_skus: str
     request_has_nulls: bool
     request_duplicate_rows: int
+    # All repeated request rows, as ``quality.duplicate_rows`` gives them; None without any.
+    repeated_requests: DataFrame | None = None
 
 
 def check_request(request: DataFrame) -> tuple[bool, int]:
-    """DQ-1 and DQ-2 on the request: both only warn, as in the reference.  The
-    repeated rows themselves are ``quality.duplicate_rows(request)``; a few are
-    logged."""
+    """DQ-1 and DQ-2 on the request: both only warn, as in the reference.  A few
+    repeated rows are logged; all of them are in ``JobResult.repeated_requests``."""
     nulls = quality.has_nulls(request)
     if nulls:
         log.warning("the request has missing values; review it and make sure every field is filled")
@@ -68,10 +69,11 @@ def run_job(
     """
     nulls, extra = check_request(inputs.request)
     stages = Stages(inputs, cfg)
+    stages.extract_all()
     quality.assert_no_duplicates(stages.warehouse_orders, "warehouse order rows")
     quality.assert_no_duplicates(stages.store_orders, "store order rows")
     sinks.write_recommendations(stages.recommendations, recommendations_target, mode, single_file, by_request)
     sinks.write_missing(stages.missing_skus, missing_target, mode, single_file, by_request)
     stages.close()
     log.info("request %s written to %s and %s", cfg.request_id, recommendations_target, missing_target)
-    return JobResult(cfg.request_id, recommendations_target, missing_target, nulls, extra)
+    return JobResult(cfg.request_id, recommendations_target, missing_target, nulls, extra, quality.duplicate_rows(inputs.request) if extra else None)

@@ -103,6 +103,19 @@ class Stages:
         extract = self.inventory_extract
         return aggregates.with_store_count(extract, self._keep(aggregates.store_counts(extract), "store-counts"))
 
+    def _together(self, *names: str) -> None:
+        """Write independent extracts at the same time: Spark runs jobs submitted
+        from several threads side by side."""
+        if not self.staged:
+            return
+        _ = self.expanded, self.skus  # what all of them read
+        with ThreadPoolExecutor(max_workers=len(names)) as pool:
+            for done in [pool.submit(getattr, self, name) for name in names]:
+                done.result()
+
+    def extract_all(self) -> None:
+        self._together("inventory", "warehouse_orders", "store_orders")
+
     # -- positions ---------------------------------------------------------
     @cached_property
     def warehouse_onhand(self) -> DataFrame:
@@ -110,6 +123,7 @@ class Stages:
 
     @cached_property
     def warehouse_rows(self) -> DataFrame:
+        self._together("inventory", "warehouse_orders")
         return positions.position_rows(self.warehouse_onhand, self.warehouse_orders, self.expanded, positions.WAREHOUSE, self.quirks)
 
     @cached_property
@@ -122,6 +136,7 @@ class Stages:
 
     @cached_property
     def store_rows(self) -> DataFrame:
+        self._together("inventory", "store_orders")
         return positions.position_rows(self.inventory, self.store_orders, self.expanded, positions.STORE, self.quirks)
 
     @cached_property
@@ -167,14 +182,12 @@ class Stages:
         return replenishment.projected_on_hand(self.warehouse_position, self.warehouse_need)
 
     def prepare(self) -> None:
-        """Write the staged intermediates, the two independent branches at the
-        same time: warehouse positions, and store positions then store
-        forecast.  Spark runs jobs submitted from several threads side by
-        side, so the branches share the executors instead of queueing.  The
-        stages both branches read are built first, in this thread."""
+        """Write the staged intermediates: the three extracts at the same time, then
+        the two independent branches (warehouse positions, and store positions then
+        store forecast), which share the executors instead of queueing."""
         if not self.staged:
             return
-        _ = self.inventory, self.warehouse_orders, self.store_orders
+        self.extract_all()
         with ThreadPoolExecutor(max_workers=2) as pool:
             branches = [pool.submit(lambda: self.warehouse_per_position), pool.submit(lambda: self.store_forecast)]
             for b in branches:

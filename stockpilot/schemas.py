@@ -118,8 +118,9 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def check_keys(**tables: DataFrame) -> None:
-    """Raise when a key has different types in different tables: joining them
-    would need a cast that may change keys ('00123' and 123)."""
+    """Raise when a key is text in one table and a number in another: joining them
+    would need a cast that may change keys ('00123' and 123).  Whole numbers of any
+    width agree; Spark widens the narrower ones where they meet."""
     places = {
         "sku": (("catalog", "sku"), ("inventory", "parent_sku"), ("inventory", "baby_sku"), ("warehouse_orders", "sku"),
                 ("store_orders", "sku"), ("forecast", "sku")),
@@ -127,6 +128,7 @@ def check_keys(**tables: DataFrame) -> None:
         "warehouse": (("inventory", "input_source_store"), ("warehouse_orders", "store")),
     }
     for key, where in places.items():
-        types = {f"{t}.{c}": tables[t].schema[c].dataType.simpleString() for t, c in where}
-        if len(set(types.values())) > 1:
+        given = {f"{t}.{c}": tables[t].schema[c].dataType for t, c in where}
+        if len({"whole" if isinstance(t, WHOLE) else t.simpleString() for t in given.values()}) > 1:
+            types = {place: t.simpleString() for place, t in given.items()}
             raise TypeError(f"the {key} key has different types: {types}")

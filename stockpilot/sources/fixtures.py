@@ -26,6 +26,9 @@ REQUEST_ID = "fixture_run"
 # Order lines of every RESENT-th part appear twice in the order feeds, as an
 # extract that overlaps the one before would hold them.
 RESENT = 40
+# Orders of every LATE-th part (from LATE_FROM on) arrive LATE_DAYS later, past any
+# coverage date: their warehouse positions have no order in any window.
+LATE, LATE_FROM, LATE_DAYS = 20, 7, 400
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -111,7 +114,8 @@ def order_lines(lineitem: DataFrame, orders: DataFrame, supplier: DataFrame, nat
 
 def _shifted(day_col: str) -> F.Column:
     days = F.datediff(F.to_date(F.col(day_col)), F.lit(EPOCH))
-    return F.date_add(F.lit(AS_OF), days % 120 - 30)
+    late = F.when(F.col("l_partkey") % LATE == LATE_FROM, LATE_DAYS).otherwise(0)
+    return F.date_add(F.lit(AS_OF), days % 120 - 30 + late)
 
 
 def order_feed(lines: DataFrame, odd: int, location_col: str) -> DataFrame:
@@ -126,8 +130,8 @@ def order_feed(lines: DataFrame, odd: int, location_col: str) -> DataFrame:
         F.when(rf == "N", F.lit(None).cast("date")).otherwise(_shifted("l_shipdate")).alias("transit_date"),
         F.when(rf == "A", F.lit("Y")).when(rf == "R", F.lit("")).when(rf == "N", F.lit("N")).alias("promo_fl"),
     )
-    once = schemas.conform(rows, schemas.ORDERS)
-    return once.unionByName(once.where(F.col("sku") % RESENT == 0))
+    times = F.when(F.col("sku") % RESENT == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return schemas.conform(rows.withColumn("sent", F.explode(times)), schemas.ORDERS)
 
 
 def forecast_view(inventory: DataFrame) -> DataFrame:

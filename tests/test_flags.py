@@ -15,7 +15,7 @@ FLAGS = {
     "require_both_periods": (Quirks(require_both_periods=False), True),
     "pack_max_scope": (Quirks(pack_max_scope="warehouse"), False),
     "zero_fill_grain": (Quirks(zero_fill_grain="position"), True),
-    "dedupe_zero_fill": (Quirks(dedupe_zero_fill=True), False),
+    "dedupe_zero_fill": (Quirks(dedupe_zero_fill=True), True),
 }
 
 
@@ -45,7 +45,7 @@ def test_bad_switch_values_are_refused():
 
 
 def test_pack_scope_changes_rows_at_sf001(spark):
-    """Q5 shows first at sf0.01 (246 rows in FIXTURES.md)."""
+    """Q5 shows first at sf0.01 (192 rows in FIXTURES.md)."""
     from conftest import SF001
 
     quirks = Quirks(pack_max_scope="warehouse")

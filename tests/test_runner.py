@@ -94,6 +94,28 @@ def test_keys_of_different_types_are_refused(spark):
         )
 
 
+def test_keys_of_any_whole_width_agree(spark, tmp_path):
+    """An int key beside a bigint one is the same key."""
+    i = hand._inputs(spark, [hand._inv(11, 100, 5, 6), hand._inv(12, 100, 5, 1)], hand.H1_WAREHOUSE)
+    narrow = lambda df, *keys: df.withColumns({k: F.col(k).cast("int") for k in keys})
+    mixed = Inputs(
+        i.request, narrow(i.catalog, "sku"), narrow(i.inventory, "parent_sku"), narrow(i.warehouse_orders, "sku"), i.store_orders, i.forecast
+    )
+    for name, inputs in (("same", i), ("mixed", mixed)):
+        run_job(inputs, RunConfig(hand.AS_OF, "widths"), str(tmp_path / name), str(tmp_path / f"{name}-missing"))
+    read = [sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / name)).collect()) for name in ("same", "mixed")]
+    assert read[0] and read[0] == read[1]
+
+
+def test_repeated_request_rows_are_in_the_result(spark, tmp_path):
+    i = hand._inputs(spark, [hand._inv(11, 100, 5, 6)], hand.H1_WAREHOUSE)
+    extra = spark.createDataFrame([("none such", "RED", "2024-01-10", 10)] * 3, i.request.schema)
+    repeated = Inputs(i.request.unionByName(extra), i.catalog, i.inventory, i.warehouse_orders, i.store_orders, i.forecast)
+    result = run_job(repeated, RunConfig(hand.AS_OF, "again"), str(tmp_path / "r"), str(tmp_path / "m"))
+    assert result.request_duplicate_rows == 2
+    assert {r["style"] for r in result.repeated_requests.collect()} == {"none such"}
+
+
 def test_missing_and_fractional_values_of_the_sources(spark):
     rows = spark.createDataFrame([("00123", 1.75, float("nan"))], "sku string, store_oh double, forecast double")
     schema = T.StructType([T.StructField("sku", T.LongType()), T.StructField("store_oh", T.LongType()), T.StructField("forecast", T.DoubleType())])
