@@ -81,7 +81,7 @@ LONG = KEYS
 #: Parities that stand for a set where pairs are left out.
 BITS = 512
 
-_known = Recent(xxhash.xxh3_64_intdigest, 200_000)
+_known = Recent(xxhash.xxh3_64_intdigest, 50_000)
 
 
 def _mixed(h: np.ndarray) -> np.ndarray:
