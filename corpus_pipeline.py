@@ -47,7 +47,7 @@ STAGES: list[tuple[str, Stage]] = [
 ]
 
 # Robust covariance, randomness tests and packing have no SQL form; tests compare
-# the stages with brute force.
+# each operator with brute force, and check what the chain keeps.
 ORACLE_SQL = None
 
 
