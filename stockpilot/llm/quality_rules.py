@@ -91,7 +91,9 @@ def stats_column(text: Column) -> Column:
     def stats(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame([text_stats(t) for t in texts], columns=names)
 
-    return stats(text)
+    # Otherwise a filter on the statistics is moved below them, with a second call of
+    # the function (and a second Python worker for each core) in the same stage.
+    return stats.asNondeterministic()(text)
 
 
 def base_failed(s: str = "stats") -> Column:

@@ -118,3 +118,10 @@ def test_pages_of_repeated_lines_are_rejected(spark):
     assert all(not got[i]["base_failed"] for i in range(300))
     assert sum(got[i]["kept"] for i in range(300)) >= 298
     assert not any(got[i]["base_failed"] or got[i]["kept"] for i in range(300, 303))
+
+
+def test_texts_are_read_by_python_once(spark, capsys):
+    """A filter on what is kept moves no second call of the statistics below the first."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    quality_rules.keep_good(docs).explain()
+    assert capsys.readouterr().out.count("ArrowEvalPython") == 1
