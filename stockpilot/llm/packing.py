@@ -13,10 +13,12 @@ exactly (then it needs no padding); otherwise it grows to the next tier's size.
 Long windows are padded.  Sequences of one size are dealt to step groups round
 robin, so the groups of a size hold equally many tokens and equally little padding.
 
-Each piece finds its place by its rank among the pieces of its length: its rank
-within its input partition, given while encoding, plus the number of such pieces
-in earlier partitions.  No text or id is shuffled, and no length, however common,
-meets in one task.
+Each piece finds its place by its rank among the pieces of its length.  The pieces
+(numbers only, no text or id) are dealt by ranges of length and origin, so that a
+partition holds few lengths and a length, however common, is spread over as many
+partitions as its share.  The rank is a count within the partition plus the number
+of such pieces in earlier partitions: a table of at most one row for each partition
+and one more for each length, which is joined to the pieces.
 
 Cases: a null or empty text is one piece, the closing id alone; texts are encoded
 whole; rows that repeat a ``doc_id`` are packed each on their own; an empty table
@@ -49,6 +51,7 @@ END_ID = 0
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, part int, nth bigint"
+NUMBERED = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, range int, nth bigint"
 RESULT = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
     "sequence_id bigint, offset bigint, window bigint, step_group bigint"
@@ -76,25 +79,45 @@ def tokenizer(data: bytes) -> tiktoken.Encoding:
 
 
 def encoded_pieces(docs: DataFrame, vocabulary_path: str, window: int) -> DataFrame:
-    """The pieces of each document, numbered per partition and length."""
+    """The pieces of each document, numbered per partition."""
     vocabulary = read_file(vocabulary_path)
 
     def run(batches):
-        coder, part, seen = tokenizer(vocabulary), TaskContext.get().partitionId(), Counter()
+        coder, part, nth = tokenizer(vocabulary), TaskContext.get().partitionId(), 0
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
                 ids = np.array([*coder.encode(text.as_py() or "", allowed_special="all"), END_ID], dtype="<u4")
                 for start in range(0, len(ids), window):
                     piece = ids[start : start + window]
-                    rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), part, seen[len(piece)]))
-                    seen[len(piece)] += 1
+                    rows.append((doc_id, start, len(piece), zlib.crc32(piece.tobytes()), len(ids), part, nth))
+                    nth += 1
             yield dict(zip(names, zip(*rows) if rows else [[]] * len(names)))
 
     names = [f.name for f in arrow_schema(PIECES)]
     return map_partitions(docs.selectExpr("cast(doc_id as bigint) doc_id", "cast(text as string) text"), run, PIECES)
 
 
+def numbered_pieces(pieces: DataFrame) -> DataFrame:
+    """The pieces by ranges of length, numbered per range and length.  Within a length
+    ranges go by origin, which no two pieces share: equal lengths, ids and even equal
+    rows never force pieces into one partition."""
+
+    def run(batches):
+        part, seen = TaskContext.get().partitionId(), Counter()
+        for batch in batches:
+            lengths = batch.column("length").to_numpy()
+            nth = np.empty(len(lengths), dtype=np.int64)
+            for length in np.unique(lengths).tolist():
+                at = np.flatnonzero(lengths == length)
+                nth[at] = seen[length] + np.arange(len(at))
+                seen[length] += len(at)
+            kept = {c: batch.column(c) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens")}
+            yield kept | {"range": np.full(len(lengths), part, dtype=np.int32), "nth": nth}
+
+    return map_partitions(pieces.repartitionByRange("length", "part", "nth"), run, NUMBERED)
+
+
 def plan_patterns(counts: dict[int, int], window: int, tiers: tuple[int, ...]) -> list[tuple[tuple[int, ...], int]]:
     """[(lengths of the pieces of a sequence, number of such sequences)].
 
@@ -161,17 +184,17 @@ def packing(
 ) -> DataFrame:
     """A row for each piece: where it comes from and where it stands."""
     pieces = staged(encoded_pieces(docs, vocabulary_path, window), "pieces")
-    by_part = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
-    by_part = staged(by_part, "piece-counts")
-    counts = {r["length"]: r["n"] for r in by_part.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``window`` rows
+    pieces = staged(numbered_pieces(pieces), "numbered-pieces")
+    by_range = staged(pieces.groupBy("range", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    counts = {r["length"]: r["n"] for r in by_range.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``window`` rows
     if not counts:
         return docs.sparkSession.createDataFrame([], RESULT)
     place = places(plan_patterns(counts, window, tiers), window)
     span = 1 << 40
     keys = place["length"] * span + place["rank"]
-    earlier = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    before = by_part.select("part", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["part", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
+    earlier = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = by_range.select("range", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    ranked = pieces.join(before, ["range", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
 
     def put(batch: pa.RecordBatch) -> dict:
         length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))

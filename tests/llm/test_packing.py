@@ -72,3 +72,22 @@ def test_the_plan_uses_every_piece_once():
                 used[length] += times
         assert used == Counter(counts)
         assert len(plan) <= 4 * len(counts)
+
+
+def test_the_table_of_ranks_stays_small(spark):
+    """At most a row for each range of pieces and one more for each length, however many
+    input partitions there are and however common a length is."""
+    texts = ["a b c"] * 3000 + [("word " * n).strip() for n in range(60)] * 5
+    docs = plain(spark, texts).repartition(40)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        numbered = packing.numbered_pieces(packing.encoded_pieces(docs, PATH, 1024)).select("range", "length", "nth").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    ranges, lengths = {r["range"] for r in numbered}, Counter(r["length"] for r in numbered)
+    rows = Counter((r["range"], r["length"]) for r in numbered)
+    assert len(ranges) > 4 and len(rows) <= len(ranges) + len(lengths)
+    assert max(rows.values()) < 0.5 * max(lengths.values())  # the common length is spread
+    for (part, length), n in rows.items():
+        assert sorted(r["nth"] for r in numbered if (r["range"], r["length"]) == (part, length)) == list(range(n))
