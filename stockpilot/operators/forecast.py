@@ -4,7 +4,8 @@ Plan.  Store positions carry a ``weight`` (the number of times the
 reference lists each).  They join the daily forecast
 on (baby_sku, store), the largest join of the job; the per-position sums, the
 per-(parent, baby, store) window totals and the both-periods filter all run on
-that join's hash partitioning, so nothing shuffles again.  A (parent, baby,
+that join's hash partitioning, so nothing shuffles again.  Columns that follow from the SKU are
+left out of the join and looked up in the expanded request afterwards.  A (parent, baby,
 store) group holds one distinct position per warehouse, so its window
 partition stays small however skewed the forecast is.
 """
@@ -18,10 +19,12 @@ from pyspark.sql import functions as F
 
 from stockpilot.config import Quirks
 from stockpilot.functions import first_period, second_period
-from stockpilot.operators.positions import STORE
+from stockpilot.operators.positions import SKU_COLUMNS, STORE, with_sku_attributes
 
 STORE_KEYS = ("parent_sku", "baby_sku", "store")
 POSITION_COLUMNS = STORE.columns + (STORE.first_col, STORE.second_col)
+#: What tells positions apart: all but what follows from ``parent_sku``.
+OWN_COLUMNS = tuple(c for c in POSITION_COLUMNS if c not in SKU_COLUMNS)
 TOTAL_COLUMNS = ("first_period_total_forecast", "second_period_total_forecast")
 
 
@@ -66,18 +69,19 @@ def period_totals(positions: DataFrame, forecast: DataFrame, as_of: dt.date, qui
     )
 
 
-def store_period_forecast(positions: DataFrame, forecast: DataFrame, as_of: dt.date, quirks: Quirks) -> DataFrame:
+def store_period_forecast(positions: DataFrame, forecast: DataFrame, expanded: DataFrame, as_of: dt.date, quirks: Quirks) -> DataFrame:
     """CMP-4: each distinct store position with its two period totals.
 
     A (parent, baby, store) without forecast rows in either period drops out
     (JN-6) unless ``quirks.require_both_periods`` is off, which gives the
     empty period a zero total.
     """
-    sums = period_sums(attach_forecast(weighted_positions(positions), forecast), as_of, quirks, POSITION_COLUMNS + ("weight",))
+    own = weighted_positions(positions).drop(*SKU_COLUMNS)
+    sums = period_sums(attach_forecast(own, forecast), as_of, quirks, OWN_COLUMNS + ("weight",))
     group = Window.partitionBy(*STORE_KEYS)
     w = F.col("weight")
     out = sums.select(
-        *POSITION_COLUMNS,
+        *OWN_COLUMNS,
         F.sum(w * F.col("first_sum")).over(group).alias("first_period_total_forecast"),
         F.sum(w * F.col("second_sum")).over(group).alias("second_period_total_forecast"),
         F.sum("first_rows").over(group).alias("first_period_rows"),
@@ -85,4 +89,4 @@ def store_period_forecast(positions: DataFrame, forecast: DataFrame, as_of: dt.d
     )
     if quirks.require_both_periods:
         out = out.where((F.col("first_period_rows") > 0) & (F.col("second_period_rows") > 0))
-    return out.select(*POSITION_COLUMNS, *TOTAL_COLUMNS)
+    return with_sku_attributes(out, expanded).select(*POSITION_COLUMNS, *TOTAL_COLUMNS)

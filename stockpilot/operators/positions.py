@@ -11,9 +11,13 @@ once per matched order row.
 
 Plan.  Orders are first reduced to one row per (sku, location, arrival base
 day) with their unit sums and row count, before any join; a SKU holding a large
-share of the orders is thus reduced map-side.  The reduced orders join the
-on-hand rows on (parent_sku, location), and the per-position aggregate runs on
-that join's hash partitioning without another shuffle.  The per-(sku, location)
+share of the orders is thus reduced map-side.  Store on-hand rows that agree in
+every column used here are likewise reduced to one with their number
+(``onhand_rows``).  The reduced orders join the on-hand rows on (parent_sku,
+location), and the per-position aggregate runs on that join's hash partitioning
+without another shuffle.  Columns that follow from the SKU (``SKU_COLUMNS``) are
+neither shuffled nor grouped by: they are looked up in the expanded request, which
+is unique by SKU, once the positions are made.  The per-(sku, location)
 totals are a combinable aggregate of the (written) per-position frame with one
 row per key, joined back to it; the zero-fill test needs only the in-window
 SKUs' distinct keys.  Zero-filled rows carry their repeat count in ``copies``
@@ -71,6 +75,9 @@ STORE = Grain(
     extra_lead=True,
 )
 
+#: Position columns that the expanded request gives for ``parent_sku``.
+SKU_COLUMNS = ("sku", "style", "color", "provided_date")
+
 WAREHOUSE_ONHAND_KEYS = ("input_source_store", "parent_sku", "baby_sku", "parent_oh", "baby_oh")
 WAREHOUSE_ONHAND_VALUES = ("ppk_qty", "lt_days", "num_of_store")
 
@@ -110,12 +117,23 @@ def with_coverage_dates(df: DataFrame) -> DataFrame:
     )
 
 
+def counted_onhand(onhand: DataFrame, grain: Grain) -> DataFrame:
+    """On-hand rows that agree in every column the positions read, as one row with
+    their number ``onhand_rows``.  Rows that repeat are combined where they are read: a
+    SKU and location holding a third of them leaves each task as one row."""
+    read = [c for c in onhand.columns if c in (*grain.columns, "lt_days")]
+    return onhand.groupBy(*read).agg(F.count(F.lit(1)).alias("onhand_rows"))
+
+
 def position_rows(onhand: DataFrame, orders: DataFrame, expanded: DataFrame, grain: Grain, quirks: Quirks) -> DataFrame:
     """On-hand rows x requested SKU x reduced orders, with the window flags.
 
     One row per (on-hand row, order base day); ``order_rows`` is NULL where
-    the on-hand row has no order at all (left join)."""
-    base = with_coverage_dates(with_sku_attributes(onhand, expanded))
+    the on-hand row has no order at all (left join).  A row without
+    ``onhand_rows`` (see ``counted_onhand``) stands for itself alone."""
+    if "onhand_rows" not in onhand.columns:
+        onhand = onhand.withColumn("onhand_rows", F.lit(1).cast("bigint"))
+    base = with_coverage_dates(with_sku_attributes(onhand, expanded)).drop(*SKU_COLUMNS, "item_id", "coverage_day")
     buckets = order_buckets(orders, grain.location).withColumnRenamed("sku", "parent_sku")
     extra = "lt_days" if (grain.extra_lead and quirks.store_extra_lead) else None
     return (
@@ -126,20 +144,22 @@ def position_rows(onhand: DataFrame, orders: DataFrame, expanded: DataFrame, gra
     )
 
 
-def per_position(rows: DataFrame, grain: Grain) -> DataFrame:
+def per_position(rows: DataFrame, expanded: DataFrame, grain: Grain) -> DataFrame:
     """One row per position: whether any order is in the window, the
     in-window unit sums split at the received date, and the number of
     (on-hand x order) rows behind it."""
-    win = F.col("in_window")
+    win, times = F.col("in_window"), F.col("onhand_rows")
     early = win & F.col("by_received")
     late = win & ~F.col("by_received")
-    return rows.groupBy(*grain.columns).agg(
-        F.bool_or(win).alias("has_window"),
-        F.sum(F.when(early, F.col("ord_units"))).alias("early_ordered"),
-        F.sum(F.when(early, F.col("rcvd_units"))).alias("early_received"),
-        F.sum(F.when(late, F.col("ord_units"))).alias("late_ordered"),
-        F.sum(F.coalesce(F.col("order_rows"), F.lit(1))).alias("copies"),
-    )
+    sums = {
+        "has_window": F.bool_or(win),
+        "early_ordered": F.sum(F.when(early, F.col("ord_units") * times)),
+        "early_received": F.sum(F.when(early, F.col("rcvd_units") * times)),
+        "late_ordered": F.sum(F.when(late, F.col("ord_units") * times)),
+        "copies": F.sum(F.coalesce(F.col("order_rows"), F.lit(1)) * times),
+    }
+    grouped = rows.groupBy(*[c for c in grain.columns if c not in SKU_COLUMNS]).agg(*[v.alias(c) for c, v in sums.items()])
+    return with_sku_attributes(grouped, expanded).select(*grain.columns, *sums)
 
 
 def open_order_totals(positions: DataFrame, grain: Grain) -> DataFrame:

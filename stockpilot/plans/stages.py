@@ -128,7 +128,7 @@ class Stages:
 
     @cached_property
     def warehouse_per_position(self) -> DataFrame:
-        return self._keep(positions.per_position(self.warehouse_rows, positions.WAREHOUSE), "warehouse-per-position")
+        return self._keep(positions.per_position(self.warehouse_rows, self.expanded, positions.WAREHOUSE), "warehouse-per-position")
 
     @cached_property
     def warehouse_position(self) -> DataFrame:
@@ -137,11 +137,12 @@ class Stages:
     @cached_property
     def store_rows(self) -> DataFrame:
         self._together("inventory", "store_orders")
-        return positions.position_rows(self.inventory, self.store_orders, self.expanded, positions.STORE, self.quirks)
+        onhand = positions.counted_onhand(self.inventory, positions.STORE)
+        return positions.position_rows(onhand, self.store_orders, self.expanded, positions.STORE, self.quirks)
 
     @cached_property
     def store_per_position(self) -> DataFrame:
-        return self._keep(positions.per_position(self.store_rows, positions.STORE), "store-per-position")
+        return self._keep(positions.per_position(self.store_rows, self.expanded, positions.STORE), "store-per-position")
 
     @cached_property
     def store_position(self) -> DataFrame:
@@ -165,7 +166,7 @@ class Stages:
 
     @cached_property
     def store_forecast(self) -> DataFrame:
-        spf = forecast.store_period_forecast(self.store_position, self.forecast, self.cfg.as_of, self.quirks)
+        spf = forecast.store_period_forecast(self.store_position, self.forecast, self.expanded, self.cfg.as_of, self.quirks)
         return self._keep(spf, "store-forecast")
 
     # -- replenishment -----------------------------------------------------

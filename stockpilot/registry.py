@@ -19,6 +19,7 @@ from stockpilot.functions import blank_to, first_period, second_period, to_day,
 from stockpilot.functions.expressions import NO
 from stockpilot.operators import aggregates, forecast, joins, packs, positions, projection, quality, replenishment
 from stockpilot.oracle import sql as oracle
+from stockpilot.plans.materialize import materialize
 from stockpilot.plans.stages import Inputs, Stages
 from stockpilot.session import scratch_path
 from stockpilot.sources import extracts, sinks
@@ -109,11 +110,13 @@ def q_dq_null_check(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_dq_duplicate_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.duplicate_rows(fixture_tables(spark, sf).warehouse_feed)
+    feed = fixture_tables(spark, sf).warehouse_feed
+    return quality.duplicate_rows(feed, materialize(quality.repeated_digests(feed), "repeated-digests"))
 
 
 def q_dq_duplicate_gate(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.duplicate_summary(fixture_tables(spark, sf).warehouse_feed)
+    feed = fixture_tables(spark, sf).warehouse_feed
+    return quality.duplicate_summary(feed, materialize(quality.repeated_digests(feed), "repeated-digests"))
 
 
 # ---- projections and filters ---------------------------------------------------
