@@ -10,21 +10,24 @@ mixed letters, base 62 or 64):
 * serial correlation of neighbouring characters.
 
 A run that is too uneven, or too regular, for random characters (Bonferroni over
-the three) is no key.  For the rest, what the three tests look at is compared with
-what text would give: the likelihood of the characters (frequencies), of the changes
-between digits, lower case, upper case and signs (runs) and of neighbours (serial)
-under a chain learnt from the corpus' own runs, against that of random characters.
-Text exceeds a ratio of r in one run of r at most, so 1 / ratio is a p-value; it is
-small for random runs of 20 characters already.  Random runs hardly teach the chain:
-each run counts by the chance that it is text, found in ``ROUNDS`` rounds from
-English letters on.  Parts of a run between signs are tested too, for keys inside of
-paths and names; of overlapping finds the one with the highest ratio is reported.
-Benjamini-Hochberg control within bands of length picks the runs that are reported.
+the three) is no key.  For the rest, each statistic has a p-value against text: the
+share of the corpus' own text runs, of the same alphabet and band of length, that come
+as near to random characters.  ``1 / (2 sqrt(p))`` is evidence with a mean of one under
+text.  A fourth piece of evidence looks at the same properties together: the likelihood
+of characters, of changes between digits, lower case, upper case and signs and of
+neighbours as random characters, over that under a chain learnt from the corpus' own
+runs; it is large for random runs of 20 characters already.  The weighted mean of the
+four (``WEIGHTS``) has a mean of one under text however they depend on each other, so
+text exceeds r in one run of r at most and its inverse is a p-value.  Random runs hardly
+teach what text is: each run counts by the chance that it is text, found in ``ROUNDS``
+rounds from English letters on.  Parts of a run between signs are tested too, for keys
+inside of paths and names; of overlapping finds the one with the highest ratio is
+reported.  Benjamini-Hochberg control within bands of length picks the runs reported.
 
 Spans in texts come from splitting at a pattern and adding up the lengths of the
 pieces.  Everything is DataFrame functions; whole texts are read once, and only
-pairs of characters and a histogram of p-values (fixed numbers of rows) are
-aggregated.
+pairs of characters and histograms of the statistics and of p-values (fixed numbers
+of rows) are aggregated.
 
 Cases: a null text counts as empty; empty texts and tables have no spans; rows
 that repeat a ``doc_id`` are scanned each on their own; further columns pass
@@ -34,6 +37,7 @@ through.
 from __future__ import annotations
 
 import math
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -58,6 +62,10 @@ FDR = 0.01
 BANDS = (20, 24, 28, 32, 40, 48, 64, 96, 128, 256)
 #: Levels of -log10 p: a tenth each, up to 60.
 LEVELS = 600
+#: Shares of the ratio, the chi-squared, the runs and the serial test in the evidence.
+WEIGHTS = (0.7, 0.1, 0.1, 0.1)
+#: Levels of a statistic's -log10 tail: steps of a quarter.
+TAIL_LEVELS, TAIL_STEP = 41, 0.25
 
 #: Rounds in which the text's chain is learnt.
 ROUNDS = 3
@@ -76,7 +84,7 @@ PRIOR_STAY = 0.9
 
 ADDED = "struct<start:bigint,kind:int,end:bigint>"
 SPAN = "struct<kind:int,start:bigint,end:bigint>"
-PROBE = "struct<start:bigint,end:bigint,k:int,n:int,regular:double,codes:array<int>,part:boolean>"
+PROBE = "struct<start:bigint,end:bigint,k:int,n:int,regular:double,tails:array<double>,codes:array<int>,part:boolean>"
 
 
 def _starts(text: Column, pattern: str, found: Column) -> Column:
@@ -206,10 +214,19 @@ def _statistics(k: Column, codes: Column, x: Column, span: Column, part: Column)
     mean = _total(x, lambda v: v) / n
     around = _total(x, lambda v: (v - mean) * (v - mean))
     z_serial = F.when(around > 0, _total(pairs, lambda w: (w["p"] - mean) * (w["q"] - mean)) / around * F.sqrt(n)).otherwise(F.lit(99.0))
-    regular = F.greatest(_tail(z_chi), _two_sided(z_runs), _two_sided(z_serial))
-    return F.struct(
-        span["start"].alias("start"), span["end"].alias("end"), k.alias("k"), n.cast("int").alias("n"), regular.alias("regular"), codes.alias("codes"), part.alias("part")
-    )
+    return F.transform(
+        F.array(F.array(_tail(z_chi), _two_sided(z_runs), _two_sided(z_serial))),
+        lambda tails: F.struct(
+            span["start"].alias("start"),
+            span["end"].alias("end"),
+            k.alias("k"),
+            n.cast("int").alias("n"),
+            F.array_max(tails).alias("regular"),
+            tails.alias("tails"),
+            codes.alias("codes"),
+            part.alias("part"),
+        ),
+    )[0]
 
 
 def probes(text: Column) -> Column:
@@ -285,48 +302,96 @@ def _mixed(p: Column) -> Column:
     return ~p["k"].isin(10, 26)
 
 
-def _ratio(p: Column, model: tuple[list[float], list[float]]) -> Column:
+class TextModel(NamedTuple):
+    """What text is: the chain, and the evidence that a statistic gives, by ``_null_cell``."""
+
+    first: list[float]
+    after: list[float]
+    evidence: list[float]
+
+
+def _ratio(p: Column, first: list[float], after: list[float]) -> Column:
     """log10 of how much likelier random characters of its alphabet make a run than text."""
-    first, after = _numbers(model[0]), _numbers(model[1])
+    first, after = _numbers(first), _numbers(after)
     text = F.get(first, p["codes"][0]) + F.aggregate(_steps(p["codes"]), F.lit(0.0), lambda acc, i: acc + F.get(after, i))
     return -p["n"] * F.log10(p["k"].cast("double")) - math.log10(len(ALPHABETS)) - text
 
 
-def text_model(scan: DataFrame) -> tuple[list[float], list[float]]:
+def _band(p: Column) -> Column:
+    band = F.lit(0)
+    for i, low in enumerate(BANDS):
+        band = F.when(p["n"] >= low, i).otherwise(band)
+    return band
+
+
+def _null_cell(p: Column, statistic: Column | int) -> Column:
+    """Statistic, alphabet and band of length, as one number."""
+    alphabet = F.array_position(F.array(*[F.lit(k) for k in ALPHABETS]), p["k"]).cast("int") - 1
+    return (statistic * len(ALPHABETS) + alphabet) * len(BANDS) + _band(p)
+
+
+def _tail_level(tail: Column) -> Column:
+    return F.least(F.ceil(tail / TAIL_STEP), F.lit(TAIL_LEVELS - 1)).cast("int")
+
+
+def text_evidence(weighed: DataFrame) -> list[float]:
+    """``1 / (2 sqrt(p))`` for each cell and level: p is the share of the cell's text
+    runs whose tail is at most at that level, with one more counted on both sides."""
+    p = F.col("p")
+    each = weighed.where(_mixed(p)).select(p, "random", F.posexplode(p["tails"]).alias("statistic", "tail"))
+    rows = (
+        each.select(_null_cell(p, F.col("statistic")).alias("cell"), _tail_level(F.col("tail")).alias("level"), (1 - F.col("random")).alias("weight"))
+        .groupBy("cell", "level")
+        .agg(F.sum("weight").alias("n"))
+        .collect()  # at most 3 x alphabets x bands x levels rows
+    )
+    seen = {(r["cell"], r["level"]): r["n"] for r in rows}
+    evidence = []
+    for cell in range(3 * len(ALPHABETS) * len(BANDS)):
+        counts = [seen.get((cell, level), 0.0) for level in range(TAIL_LEVELS)]
+        below = 1.0
+        for count in counts:
+            below += count
+            evidence.append(0.5 * math.sqrt((sum(counts) + 1) / below))
+    return evidence
+
+
+def text_model(scan: DataFrame) -> TextModel:
     """The chain of the corpus' runs that are text: changes between kinds of characters
-    from mixed runs, which are those tested, and characters from all but digits."""
+    from mixed runs, which are those tested, and characters from all but digits; then
+    what the three statistics are like in the mixed ones."""
     p = F.col("p")
     runs = scan.select(F.explode("probes").alias("p")).where(~p["part"] & (p["k"] != 10))
-    model, odds = _chain({}), RANDOM_SHARE / (1 - RANDOM_SHARE)
+    chain, odds = _chain({}), RANDOM_SHARE / (1 - RANDOM_SHARE)
+
+    def weighed() -> DataFrame:
+        random = 1 / (1 + F.pow(F.lit(10.0), F.least(-_ratio(p, *chain), F.lit(300.0))) / odds)
+        return runs.select(p, F.when(_testable(p), random).otherwise(0.0).alias("random"))
+
     for _ in range(ROUNDS):
-        random = F.when(_mixed(p) & (p["regular"] <= -math.log10(ALPHA / 3)), 1 / (1 + F.pow(F.lit(10.0), F.least(-_ratio(p, model), F.lit(300.0))) / odds)).otherwise(0.0)
-        weighed = runs.select(p, random.alias("random"))
-        step = weighed.select(F.explode(_steps(p["codes"])).alias("step"), _mixed(p).alias("mixed"), (1 - F.col("random")).alias("weight"))
+        step = weighed().select(F.explode(_steps(p["codes"])).alias("step"), _mixed(p).alias("mixed"), (1 - F.col("random")).alias("weight"))
         pairs = step.groupBy("step", "mixed").agg(F.sum("weight").alias("n")).collect()  # at most 2 x 64 x 64 rows
-        share, count = weighed.where(_mixed(p)).agg(F.sum("random"), F.count(F.lit(1))).first()
-        model = _chain({(r["step"] // SYMBOLS, r["step"] % SYMBOLS, r["mixed"]): r["n"] for r in pairs})
+        share, count = weighed().where(_mixed(p)).agg(F.sum("random"), F.count(F.lit(1))).first()
+        chain = _chain({(r["step"] // SYMBOLS, r["step"] % SYMBOLS, r["mixed"]): r["n"] for r in pairs})
         share = ((share or 0.0) + RANDOM_SHARE) / (count + 1)
         odds = share / (1 - share)
-    return model
+    return TextModel(*chain, text_evidence(weighed()))
 
 
-def _level(p: Column, model: tuple[list[float], list[float]]) -> Column:
-    """-log10 of the chance that text gives a ratio as high, in tenths."""
-    return F.greatest(F.least(F.floor(10 * _ratio(p, model)), F.lit(LEVELS)), F.lit(0)).cast("int")
-
-
-def _band(p: Column) -> Column:
-    band = F.lit(0)
-    for i, low in enumerate(BANDS):
-        band = F.when(p["n"] >= low, i).otherwise(band)
-    return band
+def _level(p: Column, model: TextModel) -> Column:
+    """-log10 of the chance that text gives as much evidence, in tenths."""
+    found = _numbers(model.evidence)
+    mean = WEIGHTS[0] * F.pow(F.lit(10.0), F.least(_ratio(p, model.first, model.after), F.lit(LEVELS / 10 + 1)))
+    for i, weight in enumerate(WEIGHTS[1:]):
+        mean = mean + weight * F.get(found, _null_cell(p, i) * TAIL_LEVELS + _tail_level(p["tails"][i]))
+    return F.greatest(F.least(F.floor(10 * F.log10(mean)), F.lit(LEVELS)), F.lit(0)).cast("int")
 
 
 def _testable(p: Column) -> Column:
     return _mixed(p) & (p["regular"] <= -math.log10(ALPHA / 3))
 
 
-def thresholds(scan: DataFrame, model: tuple[list[float], list[float]], fdr: float) -> dict[int, int]:
+def thresholds(scan: DataFrame, model: TextModel, fdr: float) -> dict[int, int]:
     """band -> lowest reported level, by Benjamini-Hochberg within the band."""
     p = F.col("p")
     levels = (
@@ -348,7 +413,7 @@ def thresholds(scan: DataFrame, model: tuple[list[float], list[float]], fdr: flo
     return found
 
 
-def _added(base: Column, probed: Column, model: tuple[list[float], list[float]], limits: dict[int, int]) -> Column:
+def _added(base: Column, probed: Column, model: TextModel, limits: dict[int, int]) -> Column:
     """The spans that the tests add, outside of the plain ones."""
 
     def reported(p: Column) -> Column:
@@ -360,7 +425,7 @@ def _added(base: Column, probed: Column, model: tuple[list[float], list[float]],
 
     rated = F.transform(
         F.filter(probed, reported),
-        lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["part"].alias("part"), _ratio(p, model).alias("ratio")),
+        lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), p["part"].alias("part"), _ratio(p, model.first, model.after).alias("ratio")),
     )
     # Highest first; a run lies before its parts where both are the same.
     order = F.sort_array(F.transform(rated, lambda r: F.struct((-r["ratio"]).alias("less"), r["part"], r["start"], r["end"])))

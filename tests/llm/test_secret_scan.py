@@ -1,6 +1,11 @@
 import base64
+import math
 import random
 import re
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
 
 from cases import ROWS, documents, empty, plain
 from conftest import SF0001
@@ -144,3 +149,73 @@ def test_key_inside_of_a_path(spark):
     found = secret_scan.secret_scan(plain(spark, [text]))
     spans = found.select(secret_scan.digest(found["spans"])).first()[0]
     assert [text[int(a) : int(z)] for _, a, z in (s.split(":") for s in spans.split(",") if s)] == [key]
+
+
+def tail(z):
+    return -math.log10(max(math.erfc(z / math.sqrt(2)) / 2, 1e-300))
+
+
+def plain_battery(run, alphabet):
+    """-log10 tails of the chi-squared, the runs and the serial test of one run."""
+    x, k, n = [alphabet.index(c) for c in run], len(alphabet), len(run)
+    chi = sum((x.count(j) - n / k) ** 2 / (n / k) for j in range(k))
+    z_chi = (chi - (k - 1)) / math.sqrt(2 * (k - 1) * (n - 1) / n)
+    high = [2 * v >= k for v in x]
+    a, b = sum(high), n - sum(high)
+    runs, expected = 1 + sum(p != q for p, q in zip(high, high[1:])), 1 + 2 * a * b / n
+    z_runs = (runs - expected) / math.sqrt((expected - 1) * (expected - 2) / (n - 1))
+    mean = sum(x) / n
+    z_serial = sum((p - mean) * (q - mean) for p, q in zip(x, x[1:])) / sum((v - mean) ** 2 for v in x) * math.sqrt(n)
+    return [tail(z_chi), *(max(tail(abs(z)) - math.log10(2), 0) for z in (z_runs, z_serial))]
+
+
+def test_the_three_statistics_against_a_plain_computation(spark):
+    rng = random.Random(21)
+    runs = []
+    for k in (16, 36, 62):
+        for length in (20, 27, 31, 64, 200):
+            runs.append(("".join(rng.choices(ALPHABETS[k], k=length - 3)) + {16: "a1b", 36: "z1g", 62: "Za1"}[k], k))
+        runs.append((ALPHABETS[k] * 2, k))  # even and sorted: runs and neighbours are far off
+        runs.append(((ALPHABETS[k][0] + ALPHABETS[k][-1]) * 15 + {16: "a1", 36: "g1", 62: "Aa"}[k], k))
+    scan = secret_scan.scanned(plain(spark, [r for r, _ in runs]), ["doc_id"])
+    got = {r["doc_id"]: r for r in scan.selectExpr("row.doc_id", "probes[0].k k", "probes[0].tails tails", "probes[0].regular regular").collect()}
+    for i, (run, k) in enumerate(runs):
+        want = plain_battery(run, ALPHABETS[k])
+        assert got[i]["k"] == k and got[i]["regular"] == max(got[i]["tails"])
+        for a, b in zip(got[i]["tails"], want):
+            assert b > 250 or abs(a - b) <= 0.02 + 0.01 * b, (run, got[i]["tails"], want)
+
+
+def test_evidence_of_a_statistic_has_a_mean_of_one_at_most_under_text(spark):
+    rng = random.Random(22)
+    scan = secret_scan.scanned(plain(spark, [" ".join(name(rng) for _ in range(300)) for _ in range(8)]), ["doc_id"])
+    scan = spark.createDataFrame(scan.collect(), scan.schema)
+    model = secret_scan.text_model(scan)
+    cells = [model.evidence[i : i + secret_scan.TAIL_LEVELS] for i in range(0, len(model.evidence), secret_scan.TAIL_LEVELS)]
+    p = F.col("p")
+    runs = scan.select(F.explode("probes").alias("p")).where("not p.part and p.k not in (10, 26)")
+    for i in range(3):
+        rows = runs.select(secret_scan._null_cell(p, i).alias("cell"), secret_scan._tail_level(p["tails"][i]).alias("level")).collect()
+        of_cell = defaultdict(list)
+        for r in rows:
+            of_cell[r["cell"]].append(cells[r["cell"]][r["level"]])
+        assert rows and all(sum(own) / len(own) <= 1.0001 for own in of_cell.values())
+        assert all(a >= b for own in cells for a, b in zip(own, own[1:]))
+
+
+@pytest.mark.parametrize("fdr", [0.01, 0.1])
+def test_share_of_false_discoveries(spark, fdr):
+    rng = random.Random(23)
+    texts, keys = [], []
+    for _ in range(24):
+        keys.append({"".join(rng.choices(ALPHABETS[rng.choice((36, 62))], k=rng.choice((20, 22, 26, 36)))) for _ in range(6)})
+        texts.append(" ".join([name(rng) for _ in range(300)] + sorted(keys[-1])))
+    found = secret_scan.secret_scan(plain(spark, texts), fdr=fdr)
+    right = wrong = 0
+    for doc, spans in found.select("row.doc_id", secret_scan.digest(found["spans"])).collect():
+        for _, a, z in (span.split(":") for span in spans.split(",") if span):
+            if texts[doc][int(a) : int(z)] in keys[doc]:
+                right += 1
+            else:
+                wrong += 1
+    assert right >= 0.9 * 144 and wrong <= fdr * (right + wrong) + 1, (right, wrong)
