@@ -4,12 +4,14 @@ their input is when shuffled."""
 import datetime as dt
 import re
 from contextlib import contextmanager
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
+from stockpilot import registry
 from stockpilot.config import Quirks
-from stockpilot.operators import aggregates, forecast, positions
+from stockpilot.operators import aggregates, forecast, positions, replenishment
 from stockpilot.operators.joins import without
 from stockpilot.sources import extracts, fixtures
 
@@ -58,6 +60,49 @@ def test_joined_forecast_rows_are_not_put_into_one_task(spark, no_broadcast, tmp
     assert got.count() == 100 and _written_by(got, tmp_path / "rows") > 2
 
 
+def test_orders_joined_row_by_row_are_not_put_into_one_task(spark, no_broadcast, tmp_path):
+    onhand = spark.range(100).select(F.col("id").alias("parent_sku"), (F.col("id") % 3).alias("store"))
+    orders = onhand.select(F.col("parent_sku").alias("sku"), "store", F.lit(7).alias("ord_units"))
+    got = positions.attach_orders(onhand, orders.union(orders), "store")
+    assert got.count() == 200 and _written_by(got, tmp_path / "rows") > 2
+
+
+def test_distinct_positions_are_not_put_into_one_task(spark, no_broadcast, tmp_path):
+    rows = spark.range(100).select(*[(F.col("id") % (100 if c == "baby_sku" else 3)).alias(c) for c in forecast.POSITION_COLUMNS])
+    got = registry._distinct_store_positions(SimpleNamespace(store_position=rows.union(rows).coalesce(1)))
+    assert got.count() == 100 and _written_by(got, tmp_path / "rows") > 2
+
+
+def test_projected_rows_and_their_sums_are_not_put_into_one_task(spark, no_broadcast, tmp_path):
+    item = spark.range(100).select(*[(F.col("id") % m).alias(c) for m, c in zip((100, 50, 3), replenishment.WAREHOUSE_ITEM)])
+    rows = item.withColumns(
+        {c: F.lit(2) for c in ("ppk_qty", "num_of_store", "baby_oh", "first_period_short_term_oo", "second_period_short_term_oo", "copies")}
+        | {"coverage_date": F.lit(DAY)}
+    )
+    need = item.withColumn("total_replenishment_order_qty", F.lit(1.0))
+    got = replenishment.projected_on_hand(rows, need)
+    assert got.count() == 100 and _written_by(got, tmp_path / "rows") > 2
+    assert {r["total_projected_warehouse_oh"] for r in got.collect()} == {6.0}
+
+
+def test_forecast_by_text_is_dealt_as_it_is_joined(spark, no_broadcast):
+    part, nation = _tables(spark)
+    inventory = fixtures.inventory_view(part, nation)
+    rows = fixtures.forecast_view(inventory)
+    skus = rows.select("sku")
+    view = fixtures.text_key_tables(fixtures.FixtureTables(skus, skus, inventory, skus, skus, rows, skus, skus)).forecast
+    want = rows.withColumn("sku", F.lpad(F.col("sku").cast("string"), 12, "0"))
+    assert view.schema == want.schema and sorted(map(str, view.collect())) == sorted(map(str, want.collect()))
+    babies = spark.range(1000010, 1000100).select(F.lpad(F.col("id").cast("string"), 12, "0").alias("baby_sku"))
+    days = [spark.range(1).select(F.lit(d).alias("d")) for d in (DAY, DAY + dt.timedelta(30))]
+    got = extracts.extract_forecast(view, babies, *days)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # The join reads the daily rows where they are made: the pairs are shuffled before.
+    joined = plan.index("LeftSemi")
+    made = plan.index("Generate explode", joined)
+    assert "Exchange" not in plan[joined:made]
+
+
 def test_forecast_keeps_its_place_in_the_semi_join(spark, no_broadcast):
     view = fixtures.forecast_view(fixtures.inventory_view(*_tables(spark)))
     babies = spark.range(1000010, 1000100).select(F.col("id").alias("baby_sku"))
