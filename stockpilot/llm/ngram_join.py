@@ -54,7 +54,7 @@ from pyspark.sql import functions as F
 
 from stockpilot.llm.byte_bpe import Recent
 from stockpilot.llm.components import components
-from stockpilot.llm.text import lower_bytes, map_batches, map_partitions, staged
+from stockpilot.llm.text import batch_rows, lower_bytes, map_batches, map_partitions, staged
 
 WORDS = 5
 PERCENT = 75
@@ -81,6 +81,9 @@ LONG = KEYS
 #: Parities that stand for a set where pairs are left out.
 BITS = 512
 
+#: Rows that a task hands to Python and back at once: whole texts and sets, held on both sides.
+SLICE = 1000
+
 _known = Recent(xxhash.xxh3_64_intdigest, 50_000)
 
 
@@ -440,6 +443,11 @@ def lists_of(docs: DataFrame) -> Lists:
 
 def ngram_join(docs: DataFrame) -> DataFrame:
     """doc, version, n_shingles, component_id for each row of ``docs``."""
+    with batch_rows(docs.sparkSession, SLICE):
+        return _joined(docs)
+
+
+def _joined(docs: DataFrame) -> DataFrame:
     found = lists_of(docs)
     rows, nodes, entries, sets = found.rows, found.nodes, found.entries, found.sets
     links = [staged(small_links(nodes, found.most), "small-links")]
@@ -464,6 +472,11 @@ def set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All links: (a, b) of the numbers of distinct similar sets, each pair once, and the
     members (id, doc, version, copies) of the sets, ``copies`` being the rows of a set.
     As many rows as there are links: a group of k near copies has up to k (k - 1) / 2."""
+    with batch_rows(docs.sparkSession, SLICE):
+        return _set_links(docs)
+
+
+def _set_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     found = lists_of(docs)
     alone = found.entries.withColumn("part", F.col("id"))
     pairs = staged(crossing_pairs(alone, found.nodes.select("id", "bits"), found.sets), "all-pairs")

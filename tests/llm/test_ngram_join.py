@@ -221,3 +221,20 @@ def test_links_against_brute_force(spark, monkeypatch, long):
     cases = brute_links([(r[0], r[1]) for r in ROWS])[0]
     assert sorted(((r["doc"], r["n_links"]) for r in ngram_join.link_counts(documents(spark)).collect()), key=str) == cases
     assert ngram_join.link_counts(empty(spark)).count() == 0
+
+
+def test_few_rows_at_once_reach_python(spark, monkeypatch):
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, seen, write = spark.conf.get(name), [], ngram_join.staged
+
+    def watched(df, what):
+        seen.append(spark.conf.get(name))
+        return write(df, what)
+
+    monkeypatch.setattr(ngram_join, "staged", watched)
+    docs = plain(spark, ["a b c d e f g h", "a b c d e f g h i", "another text of six words"])
+    joined = ngram_join.ngram_join(docs)
+    ngram_join.set_links(docs)
+    assert seen and set(seen) == {str(ngram_join.SLICE)} and spark.conf.get(name) == before
+    # What is left to do when the result is read runs no Python.
+    assert "MapInArrow" not in joined._jdf.queryExecution().executedPlan().toString() and joined.count() == 3
