@@ -67,6 +67,26 @@ def test_orders_joined_row_by_row_are_not_put_into_one_task(spark, no_broadcast,
     assert got.count() == 200 and _written_by(got, tmp_path / "rows") > 2
 
 
+def test_order_rows_are_not_shuffled_for_the_request(spark, no_broadcast):
+    onhand = spark.createDataFrame([(1, 7, 3.5), (1, 7, 3.5), (2, 7, 1.0), (3, 8, None), (None, 7, 1.0)], "parent_sku long, input_source_store int, lt_days double")
+    orders = spark.createDataFrame(
+        [(1, 7, 5, DAY, None), (1, 7, 6, DAY, DAY), (2, 8, 1, DAY, DAY), (3, None, 1, DAY, DAY), (None, 7, 1, DAY, DAY)],
+        "sku long, input_source_store int, ord_units int, first_ship_date date, transit_date date",
+    )
+    expanded = spark.createDataFrame(
+        [("s", "c", 1, 10, DAY, 28), (None, "c", 3, None, None, None), ("s", "d", 4, 40, DAY, 28), ("s", "e", None, 50, DAY, 28)],
+        "style string, color string, sku long, item_id long, provided_date date, coverage_day int",
+    )
+    want = positions.with_sku_attributes(positions.attach_orders(onhand, orders, "input_source_store"), expanded)
+    joined = positions.requested_orders(onhand, orders, expanded, "input_source_store")
+    assert joined.columns == want.columns and sorted(map(str, joined.collect())) == sorted(map(str, want.collect()))
+    got = positions.order_rows(onhand, orders, expanded, positions.WAREHOUSE, Quirks())
+    assert got.count() == want.count() == 5
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # Nothing is shuffled above the join that multiplies the on-hand rows.
+    assert "Exchange" not in plan[: plan.index("LeftOuter")]
+
+
 def test_distinct_positions_are_not_put_into_one_task(spark, no_broadcast, tmp_path):
     rows = spark.range(100).select(*[(F.col("id") % (100 if c == "baby_sku" else 3)).alias(c) for c in forecast.POSITION_COLUMNS])
     got = registry._distinct_store_positions(SimpleNamespace(store_position=rows.union(rows).coalesce(1)))
