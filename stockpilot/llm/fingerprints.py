@@ -7,7 +7,8 @@ change in one place leaves the other parts as they were.  Texts are cut and hash
 Spark's functions; only digests go to Python.  A paragraph that comes again counts
 again, with its number in the digest.
 
-Each digest goes to one cell in each of three parts of a sketch.  A cell holds the
+The texts of a batch are sketched and peeled together, by arrays.  Each digest goes to
+one cell in each of three parts of a sketch.  A cell holds the
 number of its digests, and their exclusive or beside that of their check values.
 Subtracting the sketches of two versions leaves the digests of only one of them;
 peeling takes a cell with a single digest, removes that digest from its other
@@ -33,10 +34,9 @@ from __future__ import annotations
 
 import base64
 import math
-import struct
-from collections import Counter
 from collections.abc import Iterable
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,10 +48,14 @@ GROWTH = 4
 LONGEST = 120
 
 MASK = (1 << 64) - 1
-LOW = (1 << 32) - 1
 # Odd multipliers of 64 bits: three for the places of a digest, one for its check.
-PLACES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
-CHECK = 0xD6E8FEB86659FD93
+PLACES = tuple(map(np.uint64, (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)))
+CHECK = np.uint64(0xD6E8FEB86659FD93)
+
+#: Digests of the texts, and cells of their sketches, that Python handles at once; a text
+#: that has more is handled by itself.
+GROUP = 1 << 16
+MOST_CELLS = 1 << 18
 
 SPACE = r"[\x20\x09-\x0D]+"
 SENTENCE_END = rf"(?<=[.!?]){SPACE}"
@@ -80,120 +84,186 @@ def digests(text: Column, longest: int = LONGEST) -> Column:
     return F.transform(paragraphs(text, longest), lambda p: F.xxhash64(p))
 
 
+def _numbered(keys: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    order = np.lexsort((keys, rows))  # equal ones keep their order
+    k, r = keys[order], rows[order]
+    first = np.ones(len(k), bool)
+    first[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
+    if first.all():
+        return keys
+    at = np.arange(len(k))
+    out = np.empty_like(keys)
+    out[order] = k + (at - np.maximum.accumulate(np.where(first, at, 0))).astype(np.uint64) * CHECK
+    return out
+
+
 def numbered(found: list[int]) -> list[int]:
     """Unsigned digests; the n-th equal one has n in it."""
-    seen: Counter = Counter()
-    keys = []
-    for key in found:
-        n = seen[key]
-        seen[key] = n + 1
-        keys.append((key + n * CHECK) & MASK)
-    return keys
+    return Version(found).keys
 
 
-def check(key: int) -> int:
-    return ((key ^ key >> 29) * CHECK & MASK) >> 32
+def check(keys: np.ndarray) -> np.ndarray:
+    return (keys ^ keys >> np.uint64(29)) * CHECK >> np.uint64(32)
 
 
-def places(key: int) -> tuple[int, int, int]:
+def places(keys: np.ndarray) -> list[np.ndarray]:
     """Three numbers of 44 bits; their remainders are the places in the parts."""
-    mixed = key ^ key >> 31
-    a, b, c = PLACES
-    return (mixed * a & MASK) >> 20, (mixed * b & MASK) >> 20, (mixed * c & MASK) >> 20
+    mixed = keys ^ keys >> np.uint64(31)
+    return [mixed * p >> np.uint64(20) for p in PLACES]
+
+
+def _cells_of(placed: list[np.ndarray], rows: np.ndarray, cells: int) -> list[np.ndarray]:
+    """The cell in each part, with the ``cells`` of all rows one after the other."""
+    third = cells // 3
+    return [(p % np.uint64(third)).astype(np.int64) + (rows * cells + i * third) for i, p in enumerate(placed)]
 
 
 class Sketch:
-    """``counts`` and ``sums`` (digest and check in one number) of each cell."""
+    """Sketches of some texts, a row for each: ``counts``, and the exclusive or of the
+    digests (``keys``) and of their ``checks``, of each cell."""
 
-    def __init__(self, cells: int):
-        self.counts = [0] * cells
-        self.sums = [0] * cells
+    def __init__(self, counts: np.ndarray, keys: np.ndarray, checks: np.ndarray):
+        self.counts, self.keys, self.checks = counts, keys, checks
 
     def __sub__(self, other: Sketch) -> Sketch:
-        rest = Sketch(0)
-        rest.counts = [a - b for a, b in zip(self.counts, other.counts)]
-        rest.sums = [a ^ b for a, b in zip(self.sums, other.sums)]
-        return rest
+        return Sketch(self.counts - other.counts, self.keys ^ other.keys, self.checks ^ other.checks)
+
+    def of(self, rows: np.ndarray) -> Sketch:
+        return Sketch(self.counts[rows], self.keys[rows], self.checks[rows])
+
+    def peel_each(self, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which rows were peeled until all cells were empty (not those whose cells are too
+        few, or would give more than ``most`` digests), and the row, digest and whether only
+        the second version holds it, of the digests found in any.  In each round all
+        digests that are alone in a cell are taken."""
+        n, cells = self.counts.shape
+        counts, sums, checks = self.counts.ravel().copy(), self.keys.ravel().copy(), self.checks.ravel().copy()
+        left = np.array(most, np.int64)
+        found = []
+        todo = np.flatnonzero(np.abs(counts) == 1)
+        while len(todo):
+            key = sums[todo]
+            right = check(key) == checks[todo]
+            todo, key = todo[right], key[right]
+            row = todo // cells
+            at = _cells_of(places(key), row, cells)
+            right = (at[0] == todo) | (at[1] == todo) | (at[2] == todo)
+            # A digest may be alone in two or three of its cells.
+            order = np.lexsort((key, row))
+            order = order[right[order]]
+            once = np.ones(len(order), bool)
+            once[1:] = (key[order[1:]] != key[order[:-1]]) | (row[order[1:]] != row[order[:-1]])
+            order = order[once]
+            left -= np.bincount(row[order], minlength=n)
+            order = order[left[row[order]] >= 0]
+            key, row, sign, at = key[order], row[order], counts[todo[order]], [c[order] for c in at]
+            found.append((row, key, sign < 0))
+            values = check(key)
+            for c in at:
+                np.subtract.at(counts, c, sign)
+                np.bitwise_xor.at(sums, c, key)
+                np.bitwise_xor.at(checks, c, values)
+            todo = np.unique(np.concatenate(at))
+            todo = todo[np.abs(counts[todo]) == 1]
+        rest = (counts != 0) | (sums != 0) | (checks != 0)
+        solved = (left >= 0) & ~rest.reshape(n, cells).any(axis=1)
+        rows, keys, second = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t) for i, t in enumerate((np.int64, np.uint64, bool)))
+        return solved, rows, keys, second
 
     def peel(self, most: int) -> tuple[list[int], list[int]] | None:
-        """The digests of only the first and of only the second version, or None
-        if the cells are too few (or would give more than ``most`` digests)."""
-        counts, sums = self.counts, self.sums
-        third = len(counts) // 3
-        sides: tuple[list[int], list[int]] = ([], [])
-        todo = [i for i, n in enumerate(counts) if n in (1, -1)]
-        push = todo.append
-        while todo:
-            i = todo.pop()
-            n, value = counts[i], sums[i]
-            if n != 1 and n != -1:
-                continue
-            key = value >> 32
-            if check(key) != value & LOW:
-                continue
-            x, y, z = places(key)
-            cells = (x % third, third + y % third, 2 * third + z % third)
-            if i not in cells:
-                continue
-            sides[n < 0].append(key)
-            if len(sides[0]) + len(sides[1]) > most:
-                return None
-            for j in cells:
-                left = counts[j] = counts[j] - n
-                sums[j] ^= value
-                if left == 1 or left == -1:
-                    push(j)
-        return None if any(counts) or any(sums) else sides
+        """Of a single text: the digests of only the first and of only the second version,
+        or None if the cells are too few (or would give more than ``most`` digests)."""
+        solved, _, keys, second = self.peel_each(np.array([most]))
+        return (keys[~second].tolist(), keys[second].tolist()) if solved[0] else None
+
+    def texts(self) -> list[str]:
+        shown = np.empty(self.counts.shape, [("count", "<u4"), ("key", "<u8"), ("check", "<u4")])
+        shown["count"], shown["key"], shown["check"] = self.counts, self.keys, self.checks
+        whole, size = shown.tobytes(), shown.itemsize * shown.shape[1]
+        return [base64.b64encode(whole[i : i + size]).decode() for i in range(0, len(whole), size)]
 
     def text(self) -> str:
-        return base64.b64encode(b"".join(struct.pack("<IQI", n, s >> 32, s & LOW) for n, s in zip(self.counts, self.sums))).decode()
+        return self.texts()[0]
 
 
-class Version:
-    """The digests of a text, and its sketches as they are asked for."""
+class Versions:
+    """The digests of some texts, those of text i from ``offsets[i]`` on, and their sketches."""
 
-    def __init__(self, found: list[int]):
-        self.found = found
-        self.keys = numbered(found)
-        self._placed = [(key << 32 | check(key), *places(key)) for key in self.keys]
+    def __init__(self, found: np.ndarray, offsets: np.ndarray):
+        self.offsets, self.sizes = offsets, np.diff(offsets)
+        self.digests = _numbered(found, np.repeat(np.arange(len(self.sizes)), self.sizes))
+        self._checks, self._places = check(self.digests), places(self.digests)
         self._sketches: dict[int, Sketch] = {}
 
     def sketch(self, cells: int) -> Sketch:
+        """Of all texts; kept."""
         if cells not in self._sketches:
-            made = Sketch(cells)
-            counts, sums, third = made.counts, made.sums, cells // 3
-            for value, a, b, c in self._placed:
-                a, b, c = a % third, third + b % third, 2 * third + c % third
-                counts[a] += 1
-                counts[b] += 1
-                counts[c] += 1
-                sums[a] ^= value
-                sums[b] ^= value
-                sums[c] ^= value
-            self._sketches[cells] = made
+            self._sketches[cells] = self.sketch_of(np.arange(len(self.sizes)), cells)
         return self._sketches[cells]
 
+    def sketch_of(self, rows: np.ndarray, cells: int) -> Sketch:
+        if cells in self._sketches:
+            return self._sketches[cells].of(rows)
+        sizes = self.sizes[rows]
+        n, ends = len(rows), np.cumsum(sizes)
+        take = np.arange(sizes.sum()) + np.repeat(self.offsets[rows] - (ends - sizes), sizes)
+        keys, checks = self.digests[take], self._checks[take]
+        counts, sums, marks = np.zeros(n * cells, np.int64), np.zeros(n * cells, np.uint64), np.zeros(n * cells, np.uint64)
+        for at in _cells_of([p[take] for p in self._places], np.repeat(np.arange(n), sizes), cells):
+            counts += np.bincount(at, minlength=n * cells)
+            np.bitwise_xor.at(sums, at, keys)
+            np.bitwise_xor.at(marks, at, checks)
+        return Sketch(*(x.reshape(n, cells) for x in (counts, sums, marks)))
+
+
+class Version(Versions):
+    """One text."""
+
+    def __init__(self, found: list[int]):
+        super().__init__(np.array([k & MASK for k in found], np.uint64), np.array([0, len(found)]))
+        self.keys = self.digests.tolist()
+
+
+def differences(old: Versions, new: Versions, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each pair of versions the number of cells that were needed, and the row, digest
+    and whether only the new version holds it, of the digests that only one of them holds."""
+    most, apart = old.sizes + new.sizes, np.abs(old.sizes - new.sizes)
+    level = np.full(len(most), cells)
+    while (low := level < apart).any():  # at least so many differ
+        level[low] *= GROWTH
+    used = np.zeros(len(most), np.int64)
+    found = []
+    while not used.all():
+        at = np.flatnonzero((level == cells) & (used == 0))
+        step = max(1, MOST_CELLS // cells)
+        for some in (at[i : i + step] for i in range(0, len(at), step)):
+            solved, rows, keys, second = (old.sketch_of(some, cells) - new.sketch_of(some, cells)).peel_each(most[some])
+            right = solved[rows]
+            found.append((some[rows[right]], keys[right], second[right]))
+            used[some[solved]] = cells
+            level[some[~solved]] *= GROWTH
+        cells *= GROWTH
+    rows, keys, second = (np.concatenate([f[i] for f in found]) if found else np.zeros(0, t) for i, t in enumerate((np.int64, np.uint64, bool)))
+    return used, rows, keys, second
+
 
 def difference(old: Version, new: Version, cells: int = CELLS) -> tuple[list[int], list[int], int]:
     """Digests that only ``old`` holds, those that only ``new`` holds, and the
     number of cells that gave them."""
-    most = len(old.keys) + len(new.keys)
-    while cells < abs(len(old.keys) - len(new.keys)):  # at least so many differ
-        cells *= GROWTH
-    while True:
-        sides = (old.sketch(cells) - new.sketch(cells)).peel(most)
-        if sides is not None:
-            return *sides, cells
-        cells *= GROWTH
+    used, _, keys, second = differences(old, new, cells)
+    return keys[~second].tolist(), keys[second].tolist(), int(used[0])
 
 
-def likeness(old: Version, new: Version, changed: int) -> float:
-    total = len(old.keys) + len(new.keys)
-    return (total - changed) / (total + changed) if total else 1.0
+def likeness(old: Versions, new: Versions, changed: np.ndarray | int) -> np.ndarray:
+    """Of each pair, by the number of digests that only one of them holds."""
+    total = old.sizes + new.sizes
+    return np.where(total > 0, (total - changed) / np.maximum(total + changed, 1), 1.0)
 
 
-def _signed(keys: list[int]) -> list[int]:
-    return [k - (1 << 64) if k >> 63 else k for k in keys]
+def _lists_of(rows: np.ndarray, keys: np.ndarray, n: int) -> list[np.ndarray]:
+    """The digests of each of ``n`` rows, as sorted unsigned ones but with their sign."""
+    order = np.lexsort((keys, rows))
+    return np.split(keys[order].view(np.int64), np.searchsorted(rows[order], np.arange(1, n)))
 
 
 def compare(rows: DataFrame, own: str, others: list[str], columns: list[str] | None = None, cells: int = CELLS, full: bool = True) -> DataFrame:
@@ -210,21 +280,20 @@ def compare(rows: DataFrame, own: str, others: list[str], columns: list[str] | N
     schema = with_fields(inputs, "row", ", ".join(f"{name} {kind}" for name, kind in {"fingerprint": "string", **flat}.items()))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterable[dict]:
-        recent: list[Version] = []  # the next row's text is often one of this row's
         for batch in batches:
-            out: dict[str, list] = {name: [] for name in ("fingerprint", *flat)}
-            for lists in zip(*(_lists(batch.column(f"keys{i}")) for i in range(len(others) + 1))):
-                recent = [next((v for v in recent if v.found == k), None) or Version(k) for k in lists]
-                version, *rest = recent
-                out["fingerprint"].append(version.sketch(cells).text())
+            columns = [batch.column(f"keys{i}") for i in range(len(others) + 1)]
+            lists = [(c.offsets.to_numpy(), c.values.to_numpy().view(np.uint64)) for c in columns]
+            for a, b in _groups(sum(np.diff(offsets) for offsets, _ in lists)):
+                version, *rest = (Versions(values[o[a] : o[b]], o[a : b + 1].astype(np.int64) - o[a]) for o, values in lists)
+                out = {"row": batch.column("row").slice(a, b - a), "fingerprint": version.sketch(cells).texts()}
                 for i, other in enumerate(rest):
-                    lost, gained, used = difference(version, other, cells)
-                    out[f"fingerprint{i}"].append(other.sketch(cells).text())
-                    out[f"likeness{i}"].append(likeness(version, other, len(lost) + len(gained)))
-                    out[f"cells{i}"].append(used)
-                    out[f"lost{i}"].append(_signed(sorted(lost)) if full else [])
-                    out[f"gained{i}"].append(_signed(sorted(gained)) if full else [])
-            yield {"row": batch.column("row")} | out
+                    out[f"fingerprint{i}"] = other.sketch(cells).texts()
+                    used, rows, keys, second = differences(version, other, cells)
+                    out[f"cells{i}"] = used
+                    out[f"likeness{i}"] = likeness(version, other, np.bincount(rows, minlength=b - a))
+                    out[f"lost{i}"] = _lists_of(rows[~second], keys[~second], b - a) if full else [[]] * (b - a)
+                    out[f"gained{i}"] = _lists_of(rows[second], keys[second], b - a) if full else [[]] * (b - a)
+                yield out
 
     done = map_partitions(inputs, run, schema)
     return done.select(
@@ -232,9 +301,11 @@ def compare(rows: DataFrame, own: str, others: list[str], columns: list[str] | N
     )
 
 
-def _lists(column: pa.ListArray) -> Iterable[list[int]]:
-    offsets, values = column.offsets.to_numpy(), column.values.to_numpy()
-    return (values[a:b].tolist() for a, b in zip(offsets[:-1], offsets[1:]))
+def _groups(sizes: np.ndarray) -> Iterable[tuple[int, int]]:
+    """Bounds of rows that have about ``GROUP`` digests together."""
+    number = np.cumsum(sizes) // GROUP
+    bounds = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), len(sizes)]
+    return ((a, b) for a, b in zip(bounds, bounds[1:]) if a < b)
 
 
 def _range_of(key: Column, bounds: list[int]) -> Column:

@@ -1,9 +1,11 @@
 import hashlib
 import random
 import re
+import sys
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -169,3 +171,67 @@ def test_long_text(spark):
 
 def test_no_documents(spark):
     assert with_edit(empty(spark)).count() == 0
+
+
+def versions(lists):
+    return fingerprints.Versions(np.array(sum(lists, []), np.uint64), np.cumsum([0, *map(len, lists)]))
+
+
+def random_pairs(rng, n, sizes):
+    pairs = []
+    for _ in range(n):
+        shared, old, new = ([rng.getrandbits(64) for _ in range(rng.choice(sizes))] for _ in range(3))
+        pairs.append((shared + old + shared[:2] * rng.randint(0, 2), shared + new))
+    return pairs
+
+
+@pytest.mark.parametrize("cells", [1, 24 * 64, 1 << 18])
+def test_many_pairs_at_once_against_sets(monkeypatch, cells):
+    monkeypatch.setattr(fingerprints, "MOST_CELLS", cells)
+    pairs = random_pairs(random.Random(7), 300, (0, 0, 1, 6, 40, 300))
+    old, new = (versions([p[i] for p in pairs]) for i in (0, 1))
+    used, rows, keys, second = fingerprints.differences(old, new)
+    lost, gained = ({i: set() for i in range(len(pairs))} for _ in range(2))
+    for row, key, later in zip(rows.tolist(), keys.tolist(), second.tolist()):
+        (gained if later else lost)[row].add(key)
+    near = likeness(old, new, np.bincount(rows, minlength=len(pairs)))
+    for i, (a, b) in enumerate(pairs):
+        one, two = set(numbered(a)), set(numbered(b))
+        assert lost[i] == one - two and gained[i] == two - one and used[i] == difference(Version(a), Version(b))[2]
+        assert near[i] == (len(one & two) / len(one | two) if one | two else 1.0)
+        assert old.sketch(24).texts()[i] == Version(a).sketch(24).text()
+    assert len(rows) == sum(map(len, lost.values())) + sum(map(len, gained.values()))
+
+
+def test_groups_hold_all_rows(monkeypatch):
+    monkeypatch.setattr(fingerprints, "GROUP", 10)
+    for sizes in ([], [0], [0, 0], [3, 30, 0, 1, 9, 9, 0, 0, 100], [1] * 35):
+        groups = list(fingerprints._groups(np.array(sizes, np.int64)))
+        assert [i for a, b in groups for i in range(a, b)] == list(range(len(sizes)))
+        assert all(sum(sizes[a : b - 1]) <= 10 + max(sizes) for a, b in groups)
+
+
+def test_work_is_done_by_arrays_and_not_by_digest():
+    pairs = random_pairs(random.Random(8), 500, (10, 20, 30))
+    calls = Counter()
+    sys.setprofile(lambda frame, event, arg: calls.update([event]))
+    try:
+        old, new = (versions([p[i] for p in pairs]) for i in (0, 1))
+        old.sketch(24).texts()
+        fingerprints.differences(old, new)
+    finally:
+        sys.setprofile(None)
+    assert calls["call"] + calls["c_call"] < 20 * len(pairs)
+
+
+def test_compared_lists_are_those_of_single_pairs(spark):
+    rng = random.Random(9)
+    pairs = random_pairs(rng, 40, (0, 1, 6, 40))
+    signed = lambda keys: [k - (1 << 64) if k >> 63 else k for k in keys]
+    rows = spark.createDataFrame([(i, signed(a), signed(b)) for i, (a, b) in enumerate(pairs)], "id int, a array<long>, b array<long>")
+    got = {r["row"]["id"]: r for r in compare(rows, "a", ["b"], columns=["id"]).collect()}
+    assert len(got) == len(pairs)
+    for i, (a, b) in enumerate(pairs):
+        lost, gained, cells = difference(Version(a), Version(b))
+        assert got[i]["b"]["lost"] == signed(sorted(lost)) and got[i]["b"]["gained"] == signed(sorted(gained))
+        assert got[i]["b"]["cells"] == cells and got[i]["fingerprint"] == Version(a).sketch(24).text()
