@@ -9,8 +9,9 @@ document loses them.  The rest is put together again by position.
 Only hashes and positions are shuffled by line.  The counts are combined before
 the shuffle, so a line that a third of all documents hold leaves each task as
 one row; the join back to the lines has two plain shuffled sides, which
-adaptive execution splits where one key is hot.  Whole texts move once, by
-document.
+adaptive execution splits where one key is hot.  The keys found are few beside the
+lines: they go from the counts into that join, without files of their own for each
+shuffle partition.  Whole texts move once, by document.
 
 Cases: a null text is one empty line (and stays null in ``deduplicate``); rows
 that repeat a ``doc_id`` count as one document, each row keeps its own lines;
@@ -51,13 +52,15 @@ def line_keys(docs: DataFrame, min_chars: int) -> DataFrame:
 
 
 def shared_keys(lines: DataFrame, min_docs: int) -> DataFrame:
-    """h1, h2, owner: keys found in ``min_docs`` documents or more."""
-    keys = lines.groupBy("h1", "h2")
+    """h1, h2, owner: keys found in ``min_docs`` documents or more.
+
+    Grouped by one struct, so that the join by h1 and h2 shuffles them anew."""
+    keys = lines.groupBy(F.struct("h1", "h2").alias("key"))
     if min_docs == 2:  # two documents differ: no distinct count is needed
         counted = keys.agg(F.min("doc").alias("owner"), F.max("doc").alias("last")).where("owner <> last")
     else:
         counted = keys.agg(F.min("doc").alias("owner"), F.count_distinct("doc").alias("n")).where(F.col("n") >= min_docs)
-    return counted.select("h1", "h2", "owner")
+    return counted.select("key.h1", "key.h2", "owner")
 
 
 def dropped_positions(lines: DataFrame, shared: DataFrame) -> DataFrame:
@@ -73,8 +76,7 @@ def dropped_positions(lines: DataFrame, shared: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> DataFrame:
     """row (the input's columns), n_lines, n_dropped, kept: a row for each input row."""
     lines = staged(line_keys(docs, min_chars), "line-keys")
-    shared = staged(shared_keys(lines, min_docs), "shared-lines")
-    drops = dropped_positions(lines, shared).hint("shuffle_hash")
+    drops = dropped_positions(lines, shared_keys(lines, min_docs)).hint("shuffle_hash")
     all_lines = F.split("body", "\n", -1)
     rest = F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), F.col("gone"))
     kept = F.array_join(F.transform(rest, lambda i: F.get(all_lines, i)), "\n")

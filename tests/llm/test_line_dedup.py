@@ -1,3 +1,4 @@
+import re
 from collections import defaultdict
 
 import duckdb
@@ -58,3 +59,21 @@ def test_query_matches_sql(spark):
     want = con.sql("SELECT doc_id, n_lines, n_dropped, kept_sha256 FROM (" + oracle.SQL["op1_line_dedup"] + ")").fetchall()
     got = queries.op1_line_dedup(spark, SF0001).select("doc_id", "n_lines", "n_dropped", "kept_sha256").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_shared_keys_go_into_the_join_without_files(spark, monkeypatch):
+    """Only the line keys are written; both sides of their join are shuffled by the key,
+    as adaptive execution needs to split a hot one."""
+    written, staged = [], line_dedup.staged
+    monkeypatch.setattr(line_dedup, "staged", lambda df, name: written.append(name) or staged(df, name))
+    assert line_dedup.line_dedup(documents(spark)).count() == len(ROWS)
+    assert written == ["line-keys"]
+
+    lines = staged(line_dedup.line_keys(documents(spark), 10), "line-keys")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = line_dedup.dropped_positions(lines, line_dedup.shared_keys(lines, 2))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert len(re.findall(r"Exchange hashpartitioning\(h1#\d+L, h2#\d+L, \d+\), ENSURE_REQUIREMENTS", plan)) == 2
