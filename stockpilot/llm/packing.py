@@ -18,7 +18,8 @@ Each piece finds its place by its rank among the pieces of its length.  The piec
 partition holds few lengths and a length, however common, is spread over as many
 partitions as its share.  The rank is a count within the partition plus the number
 of such pieces in earlier partitions: a table of at most one row for each partition
-and one more for each length, which is joined to the pieces.
+and one more for each length, which is counted from the pieces' lengths where it is
+needed and broadcast to the pieces.
 
 Cases: a null or empty text is one piece, the closing id alone; texts are encoded
 whole; rows that repeat a ``doc_id`` are packed each on their own; an empty table
@@ -185,16 +186,18 @@ def packing(
     """A row for each piece: where it comes from and where it stands."""
     pieces = staged(encoded_pieces(docs, vocabulary_path, window), "pieces")
     pieces = staged(numbered_pieces(pieces), "numbered-pieces")
-    by_range = staged(pieces.groupBy("range", "length").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
-    counts = {r["length"]: r["n"] for r in by_range.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most ``window`` rows
+    n = F.count(F.lit(1)).alias("n")
+    counts = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(n).collect()}  # at most ``window`` rows
     if not counts:
         return docs.sparkSession.createDataFrame([], RESULT)
     place = places(plan_patterns(counts, window, tiers), window)
     span = 1 << 40
     keys = place["length"] * span + place["rank"]
     earlier = Window.partitionBy("length").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    by_range = pieces.groupBy("range", "length").agg(n)
     before = by_range.select("range", "length", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
-    ranked = pieces.join(before, ["range", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
+    # At most a row for each range and one for each length: never worth shuffling the pieces for.
+    ranked = pieces.join(F.broadcast(before), ["range", "length"]).withColumn("rank", F.col("before") + F.col("nth"))
 
     def put(batch: pa.RecordBatch) -> dict:
         length, rank = (batch.column(c).to_numpy() for c in ("length", "rank"))

@@ -91,3 +91,21 @@ def test_the_table_of_ranks_stays_small(spark):
     assert max(rows.values()) < 0.5 * max(lengths.values())  # the common length is spread
     for (part, length), n in rows.items():
         assert sorted(r["nth"] for r in numbered if (r["range"], r["length"]) == (part, length)) == list(range(n))
+
+
+def test_piece_counts_are_not_written(spark, monkeypatch):
+    """The table of ranks is counted from the numbered pieces and broadcast: no files of
+    its own, and the pieces are not shuffled for it."""
+    written, staged = [], packing.staged
+    monkeypatch.setattr(packing, "staged", lambda df, name: written.append(name) or staged(df, name))
+    texts = ["same"] * 50 + ["a b c " * n for n in range(30)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        packed = packing.packing(plain(spark, texts).repartition(7), PATH)
+        check(packed.collect(), list(enumerate(texts)))
+        plan = packed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert written == ["pieces", "numbered-pieces"]
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
